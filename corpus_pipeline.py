@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinframe.llm import byte_bpe, decontaminate, secret_scan, toxicity
+from twinframe.llm import byte_bpe, decontaminate, near_dedup, secret_scan, toxicity
 from twinframe.llm.common import written
 from twinframe.llm.queries import table
 from twinframe.shipping import ship
@@ -20,6 +20,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of exact and near copies stays."""
+    ship(spark)
+    return near_dedup.keep_first(docs)
+
+
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents that are mostly benchmark go."""
     ship(spark)
@@ -39,6 +45,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near_dedup", drop_copies),
     ("decontamination", drop_benchmark),
     ("secrets", mask_secrets),
     ("byte_bpe", encode),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from twinframe.llm import byte_bpe, decontaminate, id_files, secret_scan, toxicity
+from twinframe.llm import byte_bpe, decontaminate, id_files, near_dedup, secret_scan, toxicity
 from twinframe.llm.common import fresh_path
 
 
@@ -22,6 +22,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -39,6 +43,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
+    "op5_near_dedup": op5_near_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_ids": op10_token_ids,
