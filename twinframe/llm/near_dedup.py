@@ -7,10 +7,11 @@ A text is lower-cased (A-Z) and read as runs of bytes that are not space or \\t
 1. Documents with equal sets are one class (its smallest doc_id stands for it), so exact copies cost nothing below.
 2. Every class walks down `trees` independent trees. At each depth it is dealt to the child of its minwise token under a hash of the tree's
    own; a pair of similarity s shares a child with probability s. Only nodes with more than `small` classes branch on, down to `depth` levels.
-3. In every final node all members are compared with the node's first class; then, where that left several components, each member
-   outside the first class's component is compared with all members outside its own. Pairs that already hang together need no comparison, so
-   a large group of near copies costs one comparison each and not all pairs; any other pair of a node is compared.
-4. Links are verified where the texts meet: members stream past one text of their partner, in chunks of bounded length.
+3. In every final node all members are compared with its most central one (whose nodes hold the most classes); then, where that left several
+   components, each member outside the central one's component is compared with all members outside its own. Pairs that already hang together
+   need no comparison, so a large group of near copies costs little more than one comparison each and not all pairs; any other pair of a node is compared.
+4. Links are verified where the texts meet: members stream past one text of their partner, in chunks of bounded length. Large nodes are cut into cells of at most
+   about BLOCK outside members and CELL members; within a cell all comparisons run on one inverted index, and only links leave it.
 
 A pair at the least similarity of 0.85 shares a node of depth 3 or less in at least one of 16 trees with probability 1 - (1 - 0.85 ** 3) ** 16 =
 0.9999998; in the deepest nodes (more than `small` classes share 5 minwise tokens) with 0.9995 at least.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinframe.llm.common import lower_ascii, map_slices, mix, run_hashes, runs, text_bytes, written
+from twinframe.llm.common import lower_ascii, map_slices, mix, run_hashes, runs, text_bytes, text_slices, written
 
 SHINGLE = 5
 PERCENT = 85
@@ -37,6 +38,9 @@ DEPTH = 6
 SMALL = 32
 #: Members that stream past one copy of their partner's text.
 CHUNK = 64
+#: Larger nodes are compared in cells, smaller ones pair by pair.
+PAIRWISE = 8
+BLOCK, CELL = 256, 1024
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
@@ -88,15 +92,15 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, depth:
 
 
 def nodes(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, small: int = SMALL) -> DataFrame:
-    """The final nodes with two classes or more: node, id, n, leader, leader_n (the first class and its set size)."""
+    """The final nodes with two classes or more: node, id, n, members."""
     active = classes.select("id", "n", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "tokens")
     active = active.select("id", "n", "tree", F.slice("tokens", F.col("tree") * depth + 1, depth).alias("tokens"))
     out = None
     for d in range(1, depth + 1):
         keyed = active.withColumn("node", F.xxhash64("tree", F.slice("tokens", 1, d), F.lit(d)))
-        sizes = keyed.groupBy("node").agg(F.count("*").alias("members"), F.min(F.struct("id", "n")).alias("first")).where("members > 1")
-        level = written(keyed.join(sizes, "node").select("node", "id", "n", "tree", *(["tokens"] if d < depth else []), "members", F.col("first.id").alias("leader"), F.col("first.n").alias("leader_n")), f"nodes-{d}")
-        done = (level if d == depth else level.where(F.col("members") <= small)).select("node", "id", "n", "leader", "leader_n")
+        sizes = keyed.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
+        level = written(keyed.join(sizes, "node").select("node", "id", "n", "tree", *(["tokens"] if d < depth else []), "members"), f"nodes-{d}")
+        done = (level if d == depth else level.where(F.col("members") <= small)).select("node", "id", "n", "members")
         out = done if out is None else out.unionByName(done)
         if d == depth:
             break
@@ -120,8 +124,6 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, shingle
     met = met.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "member", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from twinframe.llm.common import text_slices
-
         whose, base = None, None
         for batch in batches:
             for rows in text_slices(batch):
@@ -142,6 +144,77 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, shingle
     return met.mapInArrow(run, "a long, b long")
 
 
+def led(final: DataFrame) -> DataFrame:
+    """final with each node's leader and leader_n: the member whose nodes hold the most classes together, then the smallest id."""
+    weight = final.groupBy("id").agg(F.sum("members").alias("weight"))
+    weighed = final.join(weight, "id")
+    first = weighed.groupBy("node").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("id").alias("i"), F.col("n").alias("k"))).alias("first"))
+    return weighed.join(first, "node").select("node", "id", "n", "members", F.col("first.i").alias("leader"), F.col("first.k").alias("leader_n"))
+
+
+def cell_links(open_: DataFrame, texts: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """Links between outside members and members of other components of large nodes, one for each outside member and component of a cell.
+
+    open_: node, id, component, outside, members, outsiders (how many of each the node has).
+    """
+    blocks = F.ceil(F.col("outsiders") / BLOCK).cast("int")
+    cells = F.ceil(F.col("members") / CELL).cast("int")
+    own = open_.where("outside").select("node", F.pmod(F.xxhash64("id"), blocks).alias("block"), F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), F.lit(0).alias("side"), "id", "component")
+    other = open_.select("node", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))).alias("block"), F.pmod(F.xxhash64("id", F.lit(1)), cells).cast("int").alias("cell"), F.lit(1).alias("side"), "id", "component")
+    met = own.unionByName(other).join(texts, "id").select("node", "block", "cell", "side", "id", "component", "text")
+    met = met.repartition("node", "block", "cell").sortWithinPartitions("node", "block", "cell", "side", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, index, told = None, [], None, set()
+        for batch in batches:
+            for rows in text_slices(batch):
+                flat, cut = shingles(rows, shingle)
+                keys = list(zip(*(rows.column(k).to_pylist() for k in range(3)), strict=True))
+                side, ids, component = (rows.column(k).to_pylist() for k in (3, 4, 5))
+                left, right = [], []
+                for r in range(rows.num_rows):
+                    mine = flat[cut[r] : cut[r + 1]]
+                    if keys[r] != now:
+                        now, held, index, told = keys[r], [], None, set()
+                    if not side[r]:
+                        held.append((ids[r], component[r], mine))
+                        continue
+                    if index is None:
+                        index = _inverted([h[2] for h in held])
+                    both = _common(index, mine, len(held))
+                    linked = np.flatnonzero((both > 0) & (100 * both >= percent * (index[3] + len(mine) - both)))
+                    for k in linked.tolist():
+                        own_id, own_component, _ = held[k]
+                        if own_component != component[r] and (k, component[r]) not in told:
+                            told.add((k, component[r]))
+                            left.append(own_id)
+                            right.append(ids[r])
+                yield pa.record_batch([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+    return met.mapInArrow(run, "a long, b long")
+
+
+def _inverted(sets: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Distinct hashes, where their owners begin, the owners, and the sets' sizes."""
+    size = np.array([len(x) for x in sets], np.int64)
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    by = np.argsort(flat, kind="stable")
+    value, first = np.unique(flat[by], return_index=True)
+    return value, np.append(first, len(flat)), np.repeat(np.arange(len(sets)), size)[by], size
+
+
+def _common(index: tuple[np.ndarray, ...], own: np.ndarray, n: int) -> np.ndarray:
+    """How many hashes of `own` each set of the index holds."""
+    value, first, owner, _ = index
+    if not len(value) or not len(own):
+        return np.zeros(n, np.int64)
+    at = np.minimum(np.searchsorted(value, own), len(value) - 1)
+    at = at[value[at] == own]
+    count = first[at + 1] - first[at]
+    where = np.repeat(first[at] - np.cumsum(count) + count, count) + np.arange(count.sum())
+    return np.bincount(owner[where], minlength=n)
+
+
 def components(links: DataFrame) -> DataFrame:
     """id and component (its smallest id) of every id in links (a, b), by alternating large-star and small-star rounds until nothing moves."""
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
@@ -166,7 +239,7 @@ def groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, tree
     some = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "n", "tokens")).alias("first")).select("hi", "lo", F.col("first.doc_id").alias("id"), F.col("first.n").alias("n"), F.col("first.tokens").alias("tokens"))
     # Two sets of one repeated doc_id would both go by it; the smaller hash stands for it in the join, the other keeps to itself.
-    final = written(nodes(classes.dropDuplicates(["id"]), trees, depth, small), "nodes")
+    final = written(led(nodes(classes.dropDuplicates(["id"]), trees, depth, small)), "nodes")
     met = final.select("id").distinct()
     texts = written(docs.select(F.col("doc_id").alias("id"), "text").join(met, "id", "left_semi").dropDuplicates(["id"]), "texts")
     first = final.where((F.col("id") != F.col("leader")) & _alike("n", "leader_n", percent)).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
@@ -174,12 +247,17 @@ def groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, tree
     so_far = components(links)
 
     named = final.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    split = named.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max(F.when(F.col("id") == F.col("leader"), F.col("component"))).alias("main")).where("lo <> hi").select("node", "main")
-    open_ = written(named.join(split, "node").where(F.col("id") != F.col("leader")).select("node", "id", "n", "component", (F.col("component") != F.col("main")).alias("outside")), "open")
-    one, two = (open_.select("node", *(F.col(c).alias(f"{p}_{c}") for c in ("id", "n", "component", "outside"))) for p in ("x", "y"))
+    main = F.max(F.when(F.col("id") == F.col("leader"), F.col("component")))
+    split = named.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), main.alias("main")).where("lo <> hi").select("node", "main")
+    # the leader has been compared with all; two members are done with that
+    open_ = written(named.join(split, "node").where((F.col("id") != F.col("leader")) & (F.col("members") > 2)).select("node", "id", "n", "component", "members", (F.col("component") != F.col("main")).alias("outside")), "open")
+    pairwise = open_.where(F.col("members") <= PAIRWISE)
+    one, two = (pairwise.select("node", *(F.col(c).alias(f"{p}_{c}") for c in ("id", "n", "component", "outside"))) for p in ("x", "y"))
     apart = (F.col("x_component") != F.col("y_component")) & _alike("x_n", "y_n", percent) & (~F.col("y_outside") | (F.col("x_id") < F.col("y_id")))
     second = one.where("x_outside").join(two, "node").where(apart).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
-    more = written(verified(second, texts, percent, shingle), "links-2")
+    large = open_.where(F.col("members") > PAIRWISE)
+    count = large.groupBy("node").agg(F.count_if("outside").alias("outsiders"))
+    more = written(verified(second, texts, percent, shingle).unionByName(cell_links(large.join(count.where("outsiders > 0"), "node"), texts, percent, shingle)), "links-2")
     whole = components(links.unionByName(more))
 
     named = classes.select("hi", "lo", "id").join(whole, "id", "left").select("hi", "lo", F.coalesce("component", "id").alias("component"))
