@@ -2,6 +2,491 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from twinframe.functions import keys, measures, sniff
+from twinframe.operators import candidates as C
+from twinframe.operators import evaluation as E
+from twinframe.operators import extraction as X
+from twinframe.operators import index as I
+from twinframe.operators import matching as M
+from twinframe.plans import oracle as O
+from twinframe.plans import surrogates as S
+
 FLAGSHIP = "candidates"
-QUERIES: dict = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+
+
+def register(parts: str | None = None, body: str | None = None, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql or body:
+            ORACLE[f.__name__] = sql or O.query(parts, body)
+        return f
+
+    return add
+
+
+def r6(name: str) -> F.Column:
+    return F.round(name, 6).alias(name)
+
+
+# Features and candidates
+
+
+@register(O.IMAGES, "SELECT rel, phash, round(edge, 6) AS edge_density, w, h, round(list_max(hist), 6) AS peak FROM img")
+def features(spark, sf_dir):
+    return S.images(spark, sf_dir).select("rel", "phash", r6("edge_density"), "w", "h", F.round(F.array_max("hist"), 6).alias("peak"))
+
+
+@register(O.IMAGES, "SELECT r.rel AS ref, e.rel AS ex, CAST(bit_count(xor(r.phash, e.phash)) AS INTEGER) AS phash_dist FROM img r, img e WHERE r.odd = 0 AND e.odd = 1 AND bit_count(xor(r.phash, e.phash)) <= 24")
+def hamming_ball(spark, sf_dir):
+    refs, others = S.both(spark, sf_dir)
+    return C.hamming_ball(refs.select(F.col("rel").alias("ref"), "phash"), others.select(F.col("rel").alias("ex"), F.col("phash").alias("ex_phash")), F.lit(24), 24).select("ref", "ex", "phash_dist")
+
+
+@register(sql=O.query(O.IMAGES.replace("SELECT rel, vec_id % 2", "SELECT rel, vec_id % 2"), "SELECT r.rel AS ref, e.rel AS ex, CAST(bit_count(xor(r.phash, e.phash)) AS INTEGER) AS phash_dist FROM img r, img e WHERE bit_count(xor(r.phash, e.phash)) <= 6"))
+def hamming_ball_banded(spark, sf_dir):
+    every = S.images(spark, sf_dir)
+    return C.hamming_ball(every.select(F.col("rel").alias("ref"), "phash"), every.select(F.col("rel").alias("ex"), F.col("phash").alias("ex_phash")), F.lit(6), 6).select("ref", "ex", "phash_dist")
+
+
+@register(O.IMAGES, "SELECT r.rel AS ref, e.rel AS ex, round(sqrt(greatest(0.0, 1.0 - list_sum([sqrt(r.hist[i]) * sqrt(e.hist[i]) FOR i IN range(1, 65)]))), 6) AS hist_dist FROM img r JOIN img e ON r.label = e.label AND r.odd = 0 AND e.odd = 1")
+def histogram_distance(spark, sf_dir):
+    refs, others = S.both(spark, sf_dir)
+    met = refs.select(F.col("rel").alias("ref"), "label", F.col("hist").alias("p")).join(others.select(F.col("rel").alias("ex"), "label", F.col("hist").alias("q")), "label")
+    return met.select("ref", "ex", F.round(measures.hellinger(F.col("p"), F.col("q")), 6).alias("hist_dist"))
+
+
+@register(O.CANDIDATES, "SELECT ref, ex, pd AS phash_dist, round(hd, 6) AS hist_dist, passed, cand_ord FROM cand")
+def candidates(spark, sf_dir):
+    return S.found(spark, sf_dir).select("ref", "ex", "phash_dist", r6("hist_dist"), "passed", "cand_ord")
+
+
+@register(
+    O.CANDIDATES,
+    """SELECT count(*) AS reference_total, coalesce(avg(n), 0) AS mean, coalesce(median(n), 0) AS median, coalesce(min(n), 0) AS min, coalesce(max(n), 0) AS max,
+    coalesce(quantile_cont(n, 0.1), 0) AS p10, coalesce(quantile_cont(n, 0.9), 0) AS p90 FROM (SELECT i.rel, count(c.ex) AS n FROM img i LEFT JOIN cand c ON c.ref = i.rel WHERE i.odd = 0 GROUP BY i.rel)""",
+)
+def candidate_stats(spark, sf_dir):
+    return C.count_stats(S.found(spark, sf_dir), S.both(spark, sf_dir)[0])
+
+
+@register(O.NEAR, "SELECT count(*) FILTER (NOT aspect_ok) AS removed_aspect, count(*) FILTER (aspect_ok AND NOT edge_ok) AS removed_edge FROM near")
+def prefilter_stats(spark, sf_dir):
+    return C.prefilter_stats(C.near_pairs(*S.both(spark, sf_dir), S.SETTINGS))
+
+
+def _overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs, _ = S.both(spark, sf_dir)
+    own = refs.where("rel % 5 = 0").select("rel", F.when(F.expr("rel % 10 = 0"), 4).cast("int").alias("radius_delta"), F.lit(None).cast("double").alias("hist"), F.when(F.expr("rel % 15 = 0"), 12).cast("int").alias("min_candidates"))
+    return own.unionByName(spark.range(1).select(F.lit(None).cast("string").alias("rel"), F.lit(2).alias("radius_delta"), F.lit(0.40).alias("hist"), F.lit(None).cast("int").alias("min_candidates")))
+
+
+@register(
+    O.IMAGES,
+    """, own AS (SELECT *, rel::BIGINT % 5 = 0 AS hit FROM img WHERE odd = 0),
+    loc AS (SELECT *, CASE WHEN hit THEN least(28, 20 + CASE WHEN rel::BIGINT % 10 = 0 THEN 4 ELSE 2 END) ELSE 20 END AS rad, CASE WHEN hit THEN 0.40 ELSE 0.37 END AS ht, CASE WHEN hit AND rel::BIGINT % 15 = 0 THEN 12 ELSE 4 END AS mc FROM own),
+    near AS (SELECT r.rel AS ref, e.rel AS ex, CAST(bit_count(xor(r.phash, e.phash)) AS INTEGER) AS pd, r.hist AS p, e.hist AS q, rad, ht, mc FROM loc r, img e
+      WHERE e.odd = 1 AND bit_count(xor(r.phash, e.phash)) <= rad AND abs(ln((e.w / e.h) / (r.w / r.h))) <= 0.5 AND abs(e.edge - r.edge) <= 0.30),
+    rung AS (SELECT *, 20 + CAST(greatest(0, ceil((pd - 20) / 2)) AS INTEGER) * 2 AS rung, 20 + CAST(floor((rad - 20) / 2) AS INTEGER) * 2 AS last FROM near),
+    held AS (SELECT *, count(*) OVER (PARTITION BY ref ORDER BY rung RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS held FROM rung WHERE rung <= last),
+    stop AS (SELECT *, coalesce(min(CASE WHEN held >= mc THEN rung END) OVER (PARTITION BY ref), last) AS stop FROM held),
+    dist AS (SELECT *, sqrt(greatest(0.0, 1.0 - list_sum([sqrt(p[i]) * sqrt(q[i]) FOR i IN range(1, 65)]))) AS hd FROM stop WHERE rung <= stop),
+    fill AS (SELECT *, hd <= ht AS passed, row_number() OVER (PARTITION BY ref ORDER BY (hd <= ht) DESC, hd, pd, ex) AS fill FROM dist)
+    SELECT ref, ex, pd AS phash_dist, round(hd, 6) AS hist_dist, passed, CAST(row_number() OVER (PARTITION BY ref ORDER BY hd, pd, ex) AS INTEGER) AS cand_ord FROM fill WHERE passed OR fill <= mc""",
+)
+def candidates_with_overrides(spark, sf_dir):
+    refs, others = S.both(spark, sf_dir)
+    s = C.Settings(**{**S.SETTINGS.__dict__, "full_ladder": False})
+    return C.candidates(refs, others, s, _overrides(spark, sf_dir)).select("ref", "ex", "phash_dist", r6("hist_dist"), "passed", "cand_ord")
+
+
+# Scores, phases, assignment
+
+_SCORE = "ref, ex, cand_ord, detector, matches, inliers, round(ssim, 6) AS ssim, round(ncc, 6) AS ncc, round(inlier_ratio, 6) AS inlier_ratio, round(score, 6) AS score"
+_PHASE = "ref, ex, detector, phase, acceptable, rank, round(score, 6) AS score, round(margin, 6) AS top2_margin, round(mult, 6) AS top2_multiplier, suspect"
+
+
+def _phased(df: DataFrame) -> DataFrame:
+    return df.select("ref", "ex", "detector", "phase", r6("score"), r6("top2_margin"), r6("top2_multiplier"), "suspect")
+
+
+@register(O.SCORES, f"SELECT {_SCORE.replace('matches, inliers', 'CAST(matches AS INTEGER) AS matches, CAST(inliers AS INTEGER) AS inliers')} FROM rated")
+def pair_scores(spark, sf_dir):
+    return S.scores(spark, sf_dir).select("ref", "ex", "cand_ord", "detector", "matches", "inliers", r6("ssim"), r6("ncc"), r6("inlier_ratio"), r6("score"))
+
+
+@register(O.PAIRS, f"SELECT {_PHASE} FROM flagged")
+def classified_pairs(spark, sf_dir):
+    df = S.pairs(spark, sf_dir)
+    return df.select("ref", "ex", "detector", "phase", "acceptable", "rank", r6("score"), r6("top2_margin"), r6("top2_multiplier"), "suspect")
+
+
+@register(
+    O.SCORES,
+    """, best AS (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY ref, ex ORDER BY score DESC, CASE detector WHEN 'SIFT' THEN 1 ELSE 2 END) = 1)
+    SELECT ref, ex, CASE WHEN inliers >= CASE WHEN ref::BIGINT % 4 = 0 THEN 9 ELSE 12 END AND inlier_ratio >= 0.30 AND (ssim >= CASE WHEN ref::BIGINT % 4 = 0 THEN 0.5 ELSE 0.30 END OR ncc >= 0.30) THEN 'A'
+      WHEN inliers >= 8 AND inlier_ratio >= 0.20 AND (ssim >= least(0.9, CASE WHEN ref::BIGINT % 4 = 0 THEN 0.5 ELSE 0.30 END) OR ncc >= 0.30) THEN 'B' ELSE '?' END AS phase FROM best WHERE cand_ord <= 64""",
+)
+def classified_with_overrides(spark, sf_dir):
+    refs, _ = S.both(spark, sf_dir)
+    none = F.lit(None).cast("double")
+    own = refs.where("rel % 4 = 0").select(F.col("rel").alias("ref"), F.lit(9).alias("min_inliers"), F.lit(0.5).alias("ssim_th"), *(none.alias(n) for n in ("top2_margin", "top2_multiplier", "ncc_th", "min_inlier_ratio")))
+    return M.classified(M.best_detector(S.scores(spark, sf_dir)), S.RULES, own).select("ref", "ex", "phase")
+
+
+_DONE = "ref, ex, detector, phase, round(score, 6) AS score, round(margin, 6) AS top2_margin, round(mult, 6) AS top2_multiplier, suspect"
+
+
+@register(O.GREEDY, f"SELECT {_DONE} FROM assigned")
+def assign_greedy(spark, sf_dir):
+    return _phased(S.mapping(spark, sf_dir))
+
+
+@register(O.PAIRS, f"SELECT {_DONE} FROM flagged WHERE acceptable AND rank = 1")
+def assign_reuse(spark, sf_dir):
+    return _phased(M.assign_reuse(S.pairs(spark, sf_dir)))
+
+
+@register(O.GREEDY, "SELECT rel AS ref FROM img WHERE odd = 0 AND rel NOT IN (SELECT ref FROM assigned)")
+def unassigned(spark, sf_dir):
+    return M.unassigned(S.both(spark, sf_dir)[0], S.mapping(spark, sf_dir))
+
+
+@register(O.GREEDY, "SELECT DISTINCT ref FROM flagged WHERE suspect AND ref IN (SELECT ref FROM assigned)")
+def assigned_suspects(spark, sf_dir):
+    return M.assigned_suspects(S.pairs(spark, sf_dir), S.mapping(spark, sf_dir))
+
+
+@register(
+    O.GREEDY,
+    """SELECT count(*) AS "references", count(a.ref) AS assigned, count(*) - count(a.ref) AS unassigned, count(*) FILTER (a.phase = 'A') AS phase_a, count(*) FILTER (a.phase = 'B') AS phase_b
+    FROM (SELECT DISTINCT rel FROM img WHERE odd = 0) i LEFT JOIN assigned a ON a.ref = i.rel""",
+)
+def match_stats(spark, sf_dir):
+    return M.match_stats(S.both(spark, sf_dir)[0], S.mapping(spark, sf_dir))
+
+
+# Evaluation and feedback: an even and an odd image of one label are a right pair of references 0, 4, 8, ...
+
+_TRUTH = "truth AS (SELECT r.rel AS ref, e.rel AS ex FROM img r JOIN img e ON r.label = e.label AND r.odd = 0 AND e.odd = 1 AND r.rel::BIGINT % 4 = 0)"
+
+
+def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs, others = S.both(spark, sf_dir)
+    right = refs.where("rel % 4 = 0").select(F.col("rel").alias("reference"), "label").join(others.select(F.col("rel").alias("extracted"), "label"), "label")
+    return E.labels(right.drop("label"))
+
+
+@register(
+    O.GREEDY,
+    f""", {_TRUTH}, l AS (SELECT count(DISTINCT ref) AS n FROM truth), good AS (SELECT count(*) AS n FROM assigned a WHERE EXISTS (SELECT 1 FROM truth t WHERE t.ref = a.ref AND t.ex = a.ex)),
+    s AS (SELECT (SELECT count(*) FROM img WHERE odd = 0) AS refs, (SELECT count(*) FROM assigned) AS done)
+    SELECT refs AS "references", done AS assigned, refs - done AS unassigned, l.n AS labels_total, good.n AS correct_on_labeled, round(good.n / nullif(l.n, 0), 6) AS recall_l, CASE WHEN l.n > 0 THEN round(good.n / nullif(done, 0), 6) END AS precision_lb FROM s, l, good""",
+)
+def evaluation(spark, sf_dir):
+    done = S.mapping(spark, sf_dir)
+    return E.evaluation(done, M.unassigned(S.both(spark, sf_dir)[0], done), _truth(spark, sf_dir)).withColumns({c: F.round(c, 6) for c in ("recall_l", "precision_lb")})
+
+
+@register(
+    sql="""WITH s AS (SELECT count(*) AS n, count(*) FILTER (event_type = 'purchase') AS correct FROM events), p AS (SELECT *, correct / n AS p, 1 + 1.96 * 1.96 / n AS scale FROM s)
+    SELECT n, correct, round(p, 6) AS estimate, round(greatest(0.0, (p + 1.96 * 1.96 / (2 * n)) / scale - 1.96 * sqrt(p * (1 - p) / n + 1.96 * 1.96 / (4.0 * n * n)) / scale), 6) AS low,
+    round(least(1.0, (p + 1.96 * 1.96 / (2 * n)) / scale + 1.96 * sqrt(p * (1 - p) / n + 1.96 * 1.96 / (4.0 * n * n)) / scale), 6) AS high FROM p"""
+)
+def sample_precision(spark, sf_dir):
+    return E.sample_precision(S.table(spark, sf_dir, "events"), F.col("event_type") == "purchase").withColumns({c: F.round(c, 6) for c in ("estimate", "low", "high")})
+
+
+@register(
+    O.GREEDY,
+    """SELECT * FROM (SELECT f.ref, f.ex, round(f.score, 6) AS score, CAST(row_number() OVER (PARTITION BY f.ref ORDER BY f.score DESC, f.inliers DESC, f.ex) AS INTEGER) AS rank
+    FROM flagged f LEFT JOIN assigned a ON a.ref = f.ref WHERE a.ex IS NULL OR a.ex <> f.ex) WHERE rank <= 5""",
+)
+def suggestions(spark, sf_dir):
+    return E.suggestions(S.pairs(spark, sf_dir).drop("rank"), S.mapping(spark, sf_dir), 5).select("ref", "ex", r6("score"), "rank")
+
+
+_FEEDBACK = f"""SELECT 'redo_preprocess' AS action, rel AS ref FROM img WHERE odd = 0 AND rel NOT IN (SELECT ref FROM flagged)
+    UNION ALL SELECT DISTINCT 'expand_candidates', ref FROM flagged WHERE ref NOT IN (SELECT ref FROM assigned)
+    UNION ALL SELECT DISTINCT 'tighten_verification', ref FROM (SELECT ref FROM assigned WHERE (ssim < 0.90 AND ncc < 0.85) OR margin < 6.0 OR mult < 1.40 UNION SELECT ref FROM flagged WHERE suspect AND ref IN (SELECT ref FROM assigned))"""
+
+
+def _feedback(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    scored, done = S.pairs(spark, sf_dir), S.mapping(spark, sf_dir)
+    return E.feedback(S.both(spark, sf_dir)[0], scored, done, M.assigned_suspects(scored, done)), scored, done
+
+
+@register(O.GREEDY, _FEEDBACK)
+def feedback_actions(spark, sf_dir):
+    return _feedback(spark, sf_dir)[0].select("action", "ref")
+
+
+@register(
+    O.PAIRS,
+    "SELECT coalesce(bool_or(n >= 3), false) AS enabled FROM (SELECT ex, count(DISTINCT ref) AS n FROM (SELECT ref, ex, row_number() OVER (PARTITION BY ref ORDER BY score DESC, cand_ord) AS k FROM flagged) WHERE k <= 3 GROUP BY ex)",
+)
+def reuse_hint(spark, sf_dir):
+    return E.reuse_hint(S.pairs(spark, sf_dir))
+
+
+@register(O.PAIRS, "SELECT ex, count(DISTINCT ref) AS refs FROM (SELECT ref, ex, row_number() OVER (PARTITION BY ref ORDER BY score DESC, cand_ord) AS k FROM flagged) WHERE k <= 3 GROUP BY ex")
+def top_frequency(spark, sf_dir):
+    return E.top_frequency(S.pairs(spark, sf_dir))
+
+
+@register()
+def feedback_document(spark, sf_dir):
+    actions, scored, done = _feedback(spark, sf_dir)
+    return E.feedback_document(actions, E.reuse_hint(scored), M.match_stats(S.both(spark, sf_dir)[0], done))
+
+
+# The variant index: documents as sources, each with up to four variants
+
+_INDEX = """src AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'reference' ELSE 'extracted' END AS category, source || '/' || doc_id || '.png' AS src_relpath, doc_id, n_chars FROM documents),
+kinds AS (SELECT * FROM (VALUES ('low', 'color', 3), ('low', 'gray', 4), ('high', 'color', 5), ('high', 'gray', 7)) AS k(track, channel, m)),
+idx AS (SELECT category, src_relpath, track, channel, track || '/' || channel || '/' || src_relpath AS out_relpath, doc_id, n_chars FROM src, kinds WHERE doc_id % m <> 0)"""
+
+
+def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = S.table(spark, sf_dir, "documents")
+    src = docs.select(F.when(F.col("doc_id") % 2 == 0, "reference").otherwise("extracted").alias("category"), F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("src_relpath"), "doc_id", "n_chars")
+    kinds = F.array(*(F.struct(F.lit(t).alias("track"), F.lit(c).alias("channel"), F.lit(m).alias("m")) for t, c, m in (("low", "color", 3), ("low", "gray", 4), ("high", "color", 5), ("high", "gray", 7))))
+    rows = src.withColumn("k", F.explode(kinds)).where(F.col("doc_id") % F.col("k.m") != 0)
+    return rows.select("category", "src_relpath", "k.track", "k.channel", F.concat_ws("/", "k.track", "k.channel", "src_relpath").alias("out_relpath"), "doc_id", "n_chars")
+
+
+@register(
+    _INDEX,
+    """, new AS (SELECT category, src_relpath, track, channel, 'v2/' || out_relpath AS out_relpath FROM idx WHERE doc_id % 3 = 1), old AS (SELECT category, src_relpath, track, channel, out_relpath FROM idx WHERE doc_id % 2 = 0)
+    SELECT * FROM new UNION ALL SELECT * FROM old o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.category = o.category AND n.src_relpath = o.src_relpath AND n.track = o.track AND n.channel = o.channel)""",
+)
+def variant_upsert(spark, sf_dir):
+    every = _index(spark, sf_dir)
+    kept = ["category", "src_relpath", "track", "channel", "out_relpath"]
+    new = every.where("doc_id % 3 = 1").withColumn("out_relpath", F.concat(F.lit("v2/"), "out_relpath")).select(kept)
+    return I.upsert(every.where("doc_id % 2 = 0").select(kept), new, I.VARIANT_KEY)
+
+
+@register(
+    O.CANDIDATES,
+    """, new AS (SELECT ref, ex, cand_ord FROM cand WHERE ref::BIGINT % 3 = 0 AND cand_ord <= 2) SELECT * FROM new UNION ALL SELECT ref, ex, cand_ord FROM cand WHERE ref NOT IN (SELECT ref FROM new)""",
+)
+def candidate_merge(spark, sf_dir):
+    old = S.found(spark, sf_dir).select("ref", "ex", "cand_ord")
+    return I.upsert(old, old.where("ref % 3 = 0 AND cand_ord <= 2"), ["ref"])
+
+
+@register(
+    _INDEX,
+    """SELECT category, src_relpath, max(CASE WHEN channel = 'color' AND track = 'low' THEN out_relpath END) AS color_low, max(CASE WHEN channel = 'color' AND track = 'high' THEN out_relpath END) AS color_high,
+    max(CASE WHEN channel = 'gray' AND track = 'low' THEN out_relpath END) AS gray_low, max(CASE WHEN channel = 'gray' AND track = 'high' THEN out_relpath END) AS gray_high FROM idx GROUP BY category, src_relpath""",
+)
+def mapping_pivot(spark, sf_dir):
+    return I.pivoted(_index(spark, sf_dir))
+
+
+_PIVOT = (
+    _INDEX
+    + """, piv AS (SELECT category, src_relpath, max(CASE WHEN channel = 'color' AND track = 'low' THEN out_relpath END) AS color_low, max(CASE WHEN channel = 'color' AND track = 'high' THEN out_relpath END) AS color_high,
+    max(CASE WHEN channel = 'gray' AND track = 'low' THEN out_relpath END) AS gray_low, max(CASE WHEN channel = 'gray' AND track = 'high' THEN out_relpath END) AS gray_high FROM idx GROUP BY category, src_relpath)"""
+)
+
+
+@register(_PIVOT, "SELECT category, count(*) AS total, count(*) FILTER (gray_low IS NULL) AS missing_gray, count(*) FILTER (color_low IS NULL) AS missing_color FROM piv GROUP BY category")
+def integrity(spark, sf_dir):
+    return I.integrity(I.pivoted(_index(spark, sf_dir)))
+
+
+@register(_PIVOT, "SELECT src_relpath, coalesce(gray_high, gray_low, color_high, src_relpath) AS chosen FROM piv")
+def variant_choice(spark, sf_dir):
+    return I.pivoted(_index(spark, sf_dir)).select("src_relpath", I.chosen_variant("color_low", "gray_low", "color_high", "gray_high", "src_relpath", "pre_high_gray").alias("chosen"))
+
+
+@register(_INDEX, "SELECT count(DISTINCT src_relpath) FILTER (category = 'extracted') AS extracted_files, count(DISTINCT src_relpath) FILTER (category = 'reference') AS reference_files, count(*) AS variants_total FROM idx")
+def record_union(spark, sf_dir):
+    every = _index(spark, sf_dir)
+    return I.totals(every.where("category = 'extracted'").unionByName(every.where("category = 'reference'")))
+
+
+@register(_INDEX, "SELECT * FROM src WHERE category = 'reference' AND src_relpath IN (SELECT src_relpath FROM src WHERE doc_id % 10 = 0)")
+def partial_selection(spark, sf_dir):
+    src = _index(spark, sf_dir).select("category", "src_relpath", "doc_id", "n_chars")
+    docs = S.table(spark, sf_dir, "documents")
+    src = docs.select(F.when(F.col("doc_id") % 2 == 0, "reference").otherwise("extracted").alias("category"), F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("src_relpath"), "doc_id", "n_chars")
+    chosen = src.where("doc_id % 10 = 0").select(F.col("src_relpath").alias("ref"))
+    return I.selected(src.where("category = 'reference'"), chosen.limit(0), chosen)
+
+
+@register(
+    _INDEX,
+    """, done AS (SELECT DISTINCT category, src_relpath, n_chars + CASE WHEN doc_id % 6 = 0 THEN 1 ELSE 0 END AS content_hash FROM idx WHERE doc_id % 3 = 0)
+    SELECT category, src_relpath, n_chars AS content_hash FROM src s WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.category = s.category AND d.src_relpath = s.src_relpath AND d.content_hash = s.n_chars)""",
+)
+def skip_existing(spark, sf_dir):
+    docs = S.table(spark, sf_dir, "documents")
+    src = docs.select(F.when(F.col("doc_id") % 2 == 0, "reference").otherwise("extracted").alias("category"), F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("src_relpath"), F.col("n_chars").alias("content_hash"))
+    done = _index(spark, sf_dir).where("doc_id % 3 = 0").select("category", "src_relpath", (F.col("n_chars") + F.when(F.col("doc_id") % 6 == 0, 1).otherwise(0)).alias("content_hash")).distinct()
+    return I.pending(src, done)
+
+
+@register(
+    sql=r"""WITH l AS (SELECT CASE item_id % 5 WHEN 0 THEN '# ' || text WHEN 1 THEN ' low|' || replace(text, ' ', '\') WHEN 2 THEN 'high|' || text WHEN 3 THEN '   ' ELSE text END AS value FROM benchmark)
+    SELECT DISTINCT regexp_replace(replace(trim(value), '\', '/'), '^(low|high)\|', '') AS ref FROM l WHERE trim(value) <> '' AND NOT starts_with(trim(value), '#')"""
+)
+def reference_list(spark, sf_dir):
+    text, k = F.col("text"), F.col("item_id") % 5
+    value = F.when(k == 0, F.concat(F.lit("# "), text)).when(k == 1, F.concat(F.lit(" low|"), F.replace(text, F.lit(" "), F.lit("\\")))).when(k == 2, F.concat(F.lit("high|"), text)).when(k == 3, F.lit("   ")).otherwise(text)
+    return I.listed_references(S.table(spark, sf_dir, "benchmark").select(value.alias("value")))
+
+
+# Containers: documents as entries of a container
+
+_HEADS = ("FFD8FF", "89504E470D0A1A0A", "474946383761", "474946383961", "424D", "49492A00", "4D4D002A", "00000100", "D7CDC69A", "01000000", "52494646", "00")
+_HEAD_SQL = "CASE doc_id % 12 " + " ".join(f"WHEN {i} THEN unhex('{h}')" for i, h in enumerate(_HEADS)) + " END"
+_EXT_SQL = "CASE doc_id % 12 WHEN 0 THEN 'jpg' WHEN 1 THEN 'png' WHEN 2 THEN 'gif' WHEN 3 THEN 'gif' WHEN 4 THEN 'bmp' WHEN 5 THEN 'tif' WHEN 6 THEN 'tif' WHEN 7 THEN 'ico' WHEN 8 THEN 'wmf' WHEN 9 THEN 'emf' WHEN 10 THEN 'webp' END"
+_ENTRIES = f"""ent AS (SELECT doc_id, source AS doc, CASE doc_id % 7 WHEN 0 THEN 'Contents/section' || doc_id || '.XML' WHEN 1 THEN 'Preview/PrvImage' || doc_id || '.png' WHEN 2 THEN 'BinData/font' || doc_id || '.ttf'
+  ELSE 'BinData/image' || doc_id || '.bin' END AS name, octet_length({_HEAD_SQL}) + CASE WHEN doc_id % 12 = 10 THEN 8 ELSE 0 END + octet_length(encode(text)) AS bytes, {_EXT_SQL} AS ext FROM documents)"""
+
+
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("doc_id")
+    heads = F.array(*(F.unhex(F.lit(h)) for h in _HEADS))
+    head = F.element_at(heads, (i % 12 + 1).cast("int"))
+    head = F.when(i % 12 == 10, F.concat(head, F.unhex(F.lit("00000000")), F.unhex(F.lit("57454250")))).otherwise(head)
+    n = i.cast("string")
+    name = F.when(i % 7 == 0, F.concat(F.lit("Contents/section"), n, F.lit(".XML"))).when(i % 7 == 1, F.concat(F.lit("Preview/PrvImage"), n, F.lit(".png"))).when(i % 7 == 2, F.concat(F.lit("BinData/font"), n, F.lit(".ttf"))).otherwise(F.concat(F.lit("BinData/image"), n, F.lit(".bin")))
+    return S.table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("doc"), name.alias("name"), F.concat(head, F.encode("text", "UTF-8")).alias("content"))
+
+
+@register(_ENTRIES, "SELECT doc_id, name, ext FROM ent")
+def signature_sniff(spark, sf_dir):
+    return _entries(spark, sf_dir).select("doc_id", "name", sniff.image_ext(F.col("content")).alias("ext"))
+
+
+@register(_ENTRIES, r"SELECT doc, name, regexp_matches(lower(name), 'preview|thumb|prv|_pv_') AS preview, regexp_matches(lower(name), '\.(xml|rels|ttf|otf)$') AS skipped, lower(split_part(name, '/', 1)) = 'bindata' AS in_bin FROM ent")
+def entry_predicates(spark, sf_dir):
+    name = F.col("name")
+    return _entries(spark, sf_dir).select("doc", "name", keys.looks_like_preview(name).alias("preview"), keys.is_markup_or_font(name).alias("skipped"), keys.in_bin_folder(name).alias("in_bin"))
+
+
+@register(
+    _ENTRIES,
+    r"""SELECT doc, source, ord, 'extracted_' || lpad(ord::VARCHAR, 4, '0') || '.' || ext AS out_path, ext, bytes FROM (SELECT doc, name AS source, CAST(row_number() OVER (PARTITION BY doc ORDER BY name) AS INTEGER) AS ord, ext, CAST(bytes AS INTEGER) AS bytes FROM ent
+    WHERE NOT regexp_matches(lower(name), '\.(xml|rels|ttf|otf)$') AND NOT regexp_matches(lower(name), 'preview|thumb|prv|_pv_') AND bytes >= 200 AND ext IS NOT NULL)""",
+)
+def entry_manifest(spark, sf_dir):
+    return X.manifest(X.named_entries(_entries(spark, sf_dir)), min_bytes=200).select("doc", "source", "ord", "out_path", "ext", "bytes")
+
+
+@register(
+    _ENTRIES,
+    r"""SELECT doc, name, ext FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY name) AS n FROM ent WHERE NOT regexp_matches(lower(name), '\.(xml|rels|ttf|otf)$') AND NOT regexp_matches(lower(name), 'preview|thumb|prv|_pv_')) WHERE n <= 5 AND ext IS NOT NULL AND bytes >= 16""",
+)
+def entry_sample(spark, sf_dir):
+    return X.manifest(X.named_entries(_entries(spark, sf_dir), sample=5)).select("doc", F.col("source").alias("name"), "ext")
+
+
+@register(sql=r"SELECT page_id, nullif(regexp_replace(regexp_extract(url || '/BinData/BIN' || page_id || '.png', '(?i)BinData[\\/]([^\\/]+)', 1), '\.[^.]*$', ''), '') AS leaf, regexp_extract(replace(url, '\', '/'), '[^/]*$') AS base FROM pages")
+def bin_leaf(spark, sf_dir):
+    pages = S.table(spark, sf_dir, "pages")
+    source = F.concat("url", F.lit("/BinData/BIN"), F.col("page_id").cast("string"), F.lit(".png"))
+    return pages.select("page_id", keys.bin_leaf(source).alias("leaf"), keys.base_name(F.col("url")).alias("base"))
+
+
+@register(sql="SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN lang || '/' || doc_id || '.png' ELSE doc_id || '.png' END AS rel FROM documents")
+def relative_path(spark, sf_dir):
+    docs = S.table(spark, sf_dir, "documents")
+    path = F.concat(F.when(F.col("doc_id") % 2 == 0, F.lit("root\\")).otherwise(F.lit("other\\")), F.col("lang"), F.lit("\\"), F.col("doc_id").cast("string"), F.lit(".png"))
+    return docs.select("doc_id", keys.relative_to(path, F.lit("root/")).alias("rel"))
+
+
+@register(
+    O.GREEDY,
+    """, m AS (SELECT ref, ex FROM assigned), man AS (SELECT rel AS ex, 'BIN' || (rel::BIGINT // 3) AS leaf FROM img WHERE rel::BIGINT % 5 <> 0), files AS (SELECT rel AS ref, 'ref/' || rel AS path FROM img WHERE rel::BIGINT % 3 <> 0)
+    SELECT leaf, path AS reference_path FROM m JOIN man USING (ex) JOIN files USING (ref) QUALIFY row_number() OVER (PARTITION BY leaf ORDER BY ref::BIGINT, ref) = 1""",
+)
+def leaf_map(spark, sf_dir):
+    every = S.images(spark, sf_dir).select("rel")
+    manifest = every.where("rel % 5 <> 0").select(F.concat(F.lit("out/"), "rel").alias("out_path"), F.concat(F.lit("HWP:BinData/BIN"), F.expr("cast(rel as bigint) div 3").cast("string"), F.lit(".png")).alias("source"))
+    files = every.where("rel % 3 <> 0").select(F.col("rel").alias("ref"), F.concat(F.lit("ref/"), "rel").alias("path"))
+    return I.leaf_map(S.mapping(spark, sf_dir).select(F.col("ref").cast("long").alias("ord"), "ref", "ex"), manifest, files)
+
+
+@register(sql="SELECT 'bin' || item_id AS leaf, arg_max('x' || turn, turn) AS reference_path FROM (SELECT conv_id AS item_id, turn FROM conversations) GROUP BY item_id")
+def legacy_leaf_map(spark, sf_dir):
+    rows = S.table(spark, sf_dir, "conversations")
+    entry = F.concat(F.lit("BinData/bin"), F.col("conv_id").cast("string"), F.lit(".jpg"))
+    other = F.concat(F.lit("x"), F.col("turn").cast("string"))
+    odd = F.col("turn") % 2 == 1
+    return I.legacy_leaf_map(rows.select(F.col("turn").alias("ord"), F.when(odd, entry).otherwise(other).alias("key"), F.when(odd, other).otherwise(entry).alias("value")))
+
+
+@register(sql="SELECT 'bin' || d.doc_id AS leaf, min('BinData/Bin' || d.doc_id || e.ext) AS stream FROM documents d, (VALUES ('.png'), ('.jpg')) AS e(ext) WHERE d.doc_id % 2 = 0 GROUP BY d.doc_id")
+def stream_lookup(spark, sf_dir):
+    docs = S.table(spark, sf_dir, "documents").where("doc_id % 2 = 0")
+    n = F.col("doc_id").cast("string")
+    streams = docs.select(F.explode(F.array(F.lit(".png"), F.lit(".jpg"))).alias("e"), n.alias("n")).select(F.concat(F.lit("BinData/Bin"), "n", "e").alias("stream"))
+    return I.streams_of(docs.select(F.concat(F.lit("bin"), n).alias("leaf")), streams)
+
+
+@register(
+    sql="""WITH t AS (SELECT * FROM (SELECT i AS attempt, 95 - 5 * i AS quality, 1.0::DOUBLE AS scale FROM range(0, 18) r(i) UNION ALL SELECT 18 + i, 10, [0.9, 0.8, 0.7, 0.6, 0.5][i + 1]::DOUBLE FROM range(0, 5) r(i))),
+    s AS (SELECT doc_id AS stream, 1000 + (doc_id * 7919) % 9000 AS original_size, n_chars FROM documents),
+    tried AS (SELECT stream, original_size, attempt, quality, scale, CAST(floor(n_chars * quality / 40.0 * scale * scale) AS BIGINT) AS size FROM s, t)
+    SELECT stream, original_size, arg_min(quality, attempt) FILTER (size <= original_size) AS quality, arg_min(scale, attempt) FILTER (size <= original_size) AS scale, original_size - arg_min(size, attempt) FILTER (size <= original_size) AS padding,
+    CASE WHEN count(*) FILTER (size <= original_size) = 0 THEN 'fail_adjust' ELSE 'replaced' END AS status FROM tried GROUP BY stream, original_size"""
+)
+def encode_search(spark, sf_dir):
+    return _fitted(spark, sf_dir)
+
+
+def _fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = S.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("stream"), (1000 + (F.col("doc_id") * 7919) % 9000).alias("original_size"), "n_chars")
+    tried = docs.select("*", F.posexplode(X.trials()).alias("attempt", "t")).select("stream", "original_size", "attempt", F.col("t.quality").cast("long").alias("quality"), "t.scale", F.floor(F.col("n_chars") * F.col("t.quality") / 40.0 * F.col("t.scale") * F.col("t.scale")).alias("size"))
+    return X.fitted(tried)
+
+
+@register(sql=ORACLE["encode_search"].replace("SELECT stream, original_size, arg_min", "SELECT status, count(*) AS n FROM (SELECT stream, original_size, arg_min", 1) + ") GROUP BY status")
+def patch_summary(spark, sf_dir):
+    return X.patch_summary(_fitted(spark, sf_dir))
+
+
+@register(
+    sql="""WITH d AS (SELECT doc_id, 100 + (37 * doc_id) % 400 AS w, 100 + (53 * doc_id) % 300 AS h FROM documents), s AS (SELECT *, 640.0::DOUBLE / greatest(w, h) AS scale FROM d),
+    n AS (SELECT *, greatest(1, CAST(round_even(w * scale, 0) AS INTEGER)) AS nw, greatest(1, CAST(round_even(h * scale, 0) AS INTEGER)) AS nh FROM s), p AS (SELECT *, (16 - nw % 16) % 16 AS pw, (16 - nh % 16) % 16 AS ph FROM n)
+    SELECT doc_id, round(scale, 6) AS scale, nw AS w, nh AS h, ph // 2 AS top, ph - ph // 2 AS bottom, pw // 2 AS "left", pw - pw // 2 AS "right" FROM p"""
+)
+def letterbox_geometry(spark, sf_dir):
+    docs = S.table(spark, sf_dir, "documents").select("doc_id", (100 + (37 * F.col("doc_id")) % 400).alias("w"), (100 + (53 * F.col("doc_id")) % 300).alias("h"))
+    box = docs.select("doc_id", measures.letterbox(F.col("w"), F.col("h"), 640).alias("b")).select("doc_id", "b.*")
+    return box.withColumn("scale", F.round("scale", 6))
+
+
+@register(sql="SELECT event_id, coalesce(try_cast(CASE WHEN event_id % 3 = 0 THEN 'n/a' ELSE value::VARCHAR END AS DOUBLE), 0.0) AS number, coalesce((event_id % 4)::VARCHAR IN ('1', 'true', 'True'), false) AS truthy FROM events")
+def safe_numbers(spark, sf_dir):
+    text = F.when(F.col("event_id") % 3 == 0, "n/a").otherwise(F.col("value").cast("string"))
+    return S.table(spark, sf_dir, "events").select("event_id", measures.number_or(text).alias("number"), measures.is_true((F.col("event_id") % 4).cast("string")).alias("truthy"))
+
+
+@register(O.GREEDY, "SELECT printf('%04d', CAST(row_number() OVER (ORDER BY ref) AS INTEGER)) AS idx, ref AS ref_rel, ex AS ex_rel, 'ref/' || ref AS ref_path, CASE WHEN ex::BIGINT % 3 <> 0 THEN 'ex/' || ex END AS ex_path FROM assigned")
+def inspect_manifest(spark, sf_dir):
+    refs, others = S.both(spark, sf_dir)
+    path = lambda df, top: df.select("rel", F.concat(F.lit(top), "rel").alias("path"))
+    return I.inspect_manifest(S.mapping(spark, sf_dir), path(refs, "ref/"), path(others.where("rel % 3 <> 0"), "ex/"))
+
+
+@register(
+    sql="""SELECT doc_id, CASE lower(lang) WHEN 'jpg' THEN 'JPEG' ELSE CASE doc_id % 4 WHEN 0 THEN 'JPEG' WHEN 1 THEN 'TIFF' WHEN 2 THEN 'WEBP' ELSE 'JPEG' END END AS format FROM documents"""
+)
+def encoder_format(spark, sf_dir):
+    k = F.col("doc_id") % 4
+    ext = F.when(k == 0, "jpg").when(k == 2, "webp").otherwise(F.col("lang"))
+    fallback = F.when(k == 1, ".tif").when(k == 3, "")
+    return S.table(spark, sf_dir, "documents").select("doc_id", sniff.encoder_format(ext, fallback).alias("format"))
