@@ -13,8 +13,12 @@ from twinframe.operators import evaluation as E
 from twinframe.operators import extraction as X
 from twinframe.operators import index as I
 from twinframe.operators import matching as M
+from twinframe.operators import pairing, patching
+from twinframe.plans import documents as D
 from twinframe.plans import oracle as O
 from twinframe.plans import surrogates as S
+from twinframe.sources import containers
+from twinframe.sources import images as picture_source
 
 FLAGSHIP = "candidates"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,7 +54,7 @@ def hamming_ball(spark, sf_dir):
     return C.hamming_ball(refs.select(F.col("rel").alias("ref"), "phash"), others.select(F.col("rel").alias("ex"), F.col("phash").alias("ex_phash")), F.lit(24), 24).select("ref", "ex", "phash_dist")
 
 
-@register(sql=O.query(O.IMAGES.replace("SELECT rel, vec_id % 2", "SELECT rel, vec_id % 2"), "SELECT r.rel AS ref, e.rel AS ex, CAST(bit_count(xor(r.phash, e.phash)) AS INTEGER) AS phash_dist FROM img r, img e WHERE bit_count(xor(r.phash, e.phash)) <= 6"))
+@register(sql=O.query(O.IMAGES, "SELECT r.rel AS ref, e.rel AS ex, CAST(bit_count(xor(r.phash, e.phash)) AS INTEGER) AS phash_dist FROM img r, img e WHERE bit_count(xor(r.phash, e.phash)) <= 6"))
 def hamming_ball_banded(spark, sf_dir):
     every = S.images(spark, sf_dir)
     return C.hamming_ball(every.select(F.col("rel").alias("ref"), "phash"), every.select(F.col("rel").alias("ex"), F.col("phash").alias("ex_phash")), F.lit(6), 6).select("ref", "ex", "phash_dist")
@@ -490,3 +494,40 @@ def encoder_format(spark, sf_dir):
     ext = F.when(k == 0, "jpg").when(k == 2, "webp").otherwise(F.col("lang"))
     fallback = F.when(k == 1, ".tif").when(k == 3, "")
     return S.table(spark, sf_dir, "documents").select("doc_id", sniff.encoder_format(ext, fallback).alias("format"))
+
+
+# Bytes and pixels: not expressible in SQL; tests hold the kernels against closed forms and round trips
+
+
+@register()
+def container_scan(spark, sf_dir):
+    found = containers.guarded_inflate(containers.entries(spark, D.documents(spark, sf_dir)))
+    zipped, ole = found.where("kind = 'hwpx'"), found.where("kind = 'hwp'")
+    return X.manifest(X.named_entries(zipped)).unionByName(X.manifest(X.named_entries(ole, "hwp"), raw_least=8))
+
+
+@register()
+def image_features(spark, sf_dir):
+    rows = picture_source.features(D.pictures(spark, sf_dir))
+    return rows.select("rel", "w", "h", measures.pack_hash(F.col("block")).alias("phash"), r6("edge_density"), F.round(F.array_max("hist"), 6).alias("peak"))
+
+
+@register()
+def image_variants(spark, sf_dir):
+    rows = picture_source.variants(D.pictures(spark, sf_dir), low=96)
+    return rows.select("rel", "track", "channel", "w", "h", "trimmed", r6("scale"), "pad", F.length("png").alias("bytes"))
+
+
+@register()
+def image_pairs(spark, sf_dir):
+    every = pairing.described(D.pictures(spark, sf_dir))
+    best = S.found(spark, sf_dir).where(F.col("cand_ord") <= S.SETTINGS.cap)
+    return pairing.scored(best, every, every).select("ref", "ex", "matches", "inliers", r6("score"), r6("ssim"), r6("ncc"), r6("gssim"), "ecc_used")
+
+
+@register()
+def patched_documents(spark, sf_dir):
+    docs = D.documents(spark, sf_dir).where("path LIKE '%.hwp'").select(F.col("path").alias("doc"), "content")
+    new = D.pictures(spark, sf_dir).select(F.concat("rel", F.lit(".hwp")).alias("doc"), F.col("content").alias("png"))
+    todo = new.select("doc", F.explode(F.array(F.lit("BinData/BIN0001.png"), F.lit("BinData/BIN0002.png"), F.lit("BinData/BIN0009.png"))).alias("stream"), "png")
+    return patching.patched(docs, todo.join(docs.select("doc"), "doc", "left_semi")).select("doc", "stream", "status", "scale", "original_size")

@@ -1 +1 @@
-
+"""Scans: containers, image folders and artifacts."""
