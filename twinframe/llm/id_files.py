@@ -11,6 +11,7 @@ doc_id comes first.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,67 +20,109 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from twinframe.llm.common import map_slices
+from twinframe.llm.common import map_slices, written
 
 END_ID = 2
-#: Distinct stretches without white space of which a worker remembers the ids.
-CACHE_ENTRIES = 400_000
-#: Longer stretches are encoded each time.
+#: Distinct words of which each generation of a worker's memory holds the ids.
+CACHE_ENTRIES = 300_000
+#: Longer words are encoded each time.
 CACHED_CHARS = 48
-SPACES = " \n\t\r"
+# The tokenizer's own pattern, spelled out for code points below U+0250.
+_LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", r"\t\n\v\f\r \x85\xa0"
+_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
+_ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t\n\v\f\r a-z0-9]+")
+_OTHER = re.compile(r"[^\x00-\u012f\u0131-\u024f]")
 
 
-class StretchEncoder:
-    """Ids of a text, stretch by stretch between ASCII spaces.
+class Remembered(dict):
+    """A bounded memory of two generations: what is used again outlives the turn of a generation, the rest goes."""
 
-    The tokenizer turns white space into single spaces and drops them between words, so no token crosses a space and the ids of a text are those of
-    its stretches in order. Each distinct stretch goes to the library once while the memory lasts.
+    def __init__(self, entries: int):
+        self.entries, self.old = entries, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old[key]
+        self[key] = value
+        return value
+
+    def lacks(self, keys: set[str]) -> list[str]:
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        return [k for k in keys if k not in self and k not in self.old]
+
+
+class WordEncoder:
+    """Ids of texts, as little-endian 32-bit integers, word by word.
+
+    A text whose code points are all below U+0250 (but for U+0130, which grows in lower case) is its own normal form once lower-cased, and the tokenizer's pattern can be
+    stepped through here. Its words' ids are remembered; those of the slice that are not remembered go to the library in one call, joined by spaces, and
+    are told apart by the tokens that end a word. The library splits such a list at its spaces only. Any other text goes to the library as it is.
     """
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def __call__(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        known = self.known
-        for s in self.stretches(text or ""):
-            ids = known.get(s)
-            if ids is None:
-                ids = tuple(self.tokenizer.encode(s, add_special_tokens=False).ids)
-                if len(s) <= CACHED_CHARS:
-                    if len(known) >= CACHE_ENTRIES:
-                        known.clear()
-                    known[s] = ids
-            out += ids
-        return out
+        self.tokenizer, self.words = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.words.normalizer = normalizers.Sequence([])
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.words.encode_special_tokens = True
+        self.known = Remembered(CACHE_ENTRIES)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        parts = [self.split(t) for t in texts]
+        fresh = self._together(self.known.lacks(set().union(*(p for p in parts if isinstance(p, list)))))
+        long = {w: ids for w, ids in fresh.items() if len(w) > CACHED_CHARS}
+        for w in long:
+            del fresh[w]
+        self.known.update(fresh)
+        get = self.known.__getitem__ if not long else lambda w: long[w] if w in long else self.known[w]
+        return [b"".join(map(get, p)) if isinstance(p, list) else self._whole(p) for p in parts]
 
     @staticmethod
-    def stretches(text: str) -> Iterator[str]:
-        for other in SPACES[1:]:
-            if other in text:
-                text = text.replace(other, " ")
-        return filter(None, text.split(" "))
+    def split(text: str | None) -> list[str] | str:
+        """The words of a text, or the text where it has to go to the library whole."""
+        if not text or "<|" in text:
+            return text or []
+        if text.isascii():
+            return _ASCII_WORD.findall(text.lower())
+        return text if _OTHER.search(text) else _WORD.findall(text.lower())
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _together(self, words: list[str]) -> dict[str, bytes]:
+        if not words:
+            return {}
+        ids = np.array(self.words.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != len(words):
+            return {w: self._whole(w) for w in words}
+        raw, at, out = ids.tobytes(), 0, {}
+        for w, end in zip(words, (ends * 4).tolist(), strict=True):
+            out[w] = raw[at:end]
+            at = end
+        return out
 
 
 @lru_cache(maxsize=2)
-def stretch_encoder(path: str) -> StretchEncoder:
-    return StretchEncoder(path)
+def word_encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
 
 
 def encode(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> DataFrame:
     """doc_id and ids (array<int>) of every row of docs, each closed by end_id."""
 
+    close = np.array([end_id], "<u4").tobytes()
+
     def step(rows: pa.RecordBatch) -> pa.RecordBatch:
-        enc = stretch_encoder(tokenizer_file)
-        flat, ends = [], [0]
-        for text in rows.column(1).to_pylist():
-            flat += enc(text)
-            flat.append(end_id)
-            ends.append(len(flat))
-        return pa.record_batch([rows.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32)))], ["doc_id", "ids"])
+        ids = word_encoder(tokenizer_file)(rows.column(1).to_pylist())
+        ends = np.cumsum([0, *(len(x) // 4 + 1 for x in ids)]).astype(np.int32)
+        flat = np.frombuffer(b"".join(x + close for x in ids), "<i4")
+        return pa.record_batch([rows.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "ids"])
 
     return map_slices(docs, ["doc_id", "text"], step, "doc_id long, ids array<int>")
 
@@ -115,7 +158,7 @@ def index(spark: SparkSession, path: str) -> DataFrame:
             crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             yield pa.record_batch([rows.column(0), rows.column(2), pa.array(np.diff(ends)), pa.array(crc, pa.int64())], ["doc_id", "file", "n_tokens", "ids_crc32"])
 
-    rows = read(spark, path).mapInArrow(step, "doc_id long, file string, n_tokens long, ids_crc32 long")
+    rows = written(read(spark, path).mapInArrow(step, "doc_id long, file string, n_tokens long, ids_crc32 long"), "id-index")
     # Two levels of prefix sums: rows in their file, then files; the second has one row for each file.
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("_sum"))
     files = files.select(F.col("file").alias("_file"), (F.sum("_sum").over(Window.orderBy("file")) - F.col("_sum")).alias("_before"))
