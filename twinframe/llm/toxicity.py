@@ -1,8 +1,9 @@
 """Toxicity grades by cumulative-link (proportional odds) ordinal regression over sparse hashed words.
 
-One weight vector w is shared by all ordered thresholds t_1 <= t_2 <= ...: P(grade <= k) = sigmoid(t_k - w.x). x holds the words of the
-whole text (lower-cased A-Z, runs of non-space bytes without ASCII punctuation) hashed into 2 ** BITS places, with log(1 + count) scaled to
-length one. The score is the expected grade, sum over k of P(grade >= k).
+One weight vector w is shared by all ordered thresholds t_1 <= t_2 <= ...: P(grade <= k) = sigmoid(t_k - w.x). x marks which words of the
+whole text (lower-cased A-Z, runs of non-space bytes without ASCII punctuation) and which beginnings of STEM bytes of longer words there are, hashed into
+2 ** BITS places. Only places that tell grades apart in the sample (by the likelihood ratio of their presence with any grade above 0, in LEAST texts at
+least) have a weight. The score is the expected grade, sum over k of P(grade >= k).
 
 The model is fitted on at most `sample_rows` labelled documents (by the hash of their id, so the same ones at every partitioning); scoring
 covers all documents and needs only the weights, an array of fixed size. Nothing is shuffled but the sample.
@@ -20,11 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinframe.llm.common import lower_ascii, map_slices, run_hashes, runs, text_bytes
+from twinframe.llm.common import lower_ascii, map_slices, mix, run_hashes, runs, text_bytes
 
 BITS = 18
 SAMPLE_ROWS = 8000
 GRADES = 3
+STEM = 5
+#: Sample texts that a place must occur in, places that have weights at most, and their least likelihood ratio.
+LEAST, PLACES, RATIO = 5, 2048, 6.6
 REJECT_AT = 0.5
 _IS_TERM = np.ones(256, bool)
 _IS_TERM[: 0x30] = _IS_TERM[0x3A:0x41] = _IS_TERM[0x5B:0x61] = _IS_TERM[0x7B:0x80] = False
@@ -40,19 +44,34 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - z[:, None], -500, 500)))
 
 
-def features(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers, places and values of the sparse features of a batch, sorted by row and place."""
+def features(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and places of the features of a batch, sorted, each once."""
     data, offsets = text_bytes(rows.column(rows.schema.get_field_index("text")))
     data = lower_ascii(data)
     starts, ends = runs(_IS_TERM[data], offsets)
     row = np.searchsorted(offsets, starts, side="right") - 1
-    key, count = np.unique(row << BITS | (run_hashes(data, starts, ends) >> np.uint64(64 - BITS)).astype(np.int64), return_counts=True)
-    row, place, value = key >> BITS, key & ((1 << BITS) - 1), np.log1p(count)
-    norm = np.sqrt(np.bincount(row, value * value, rows.num_rows))
-    return row, place, value / norm[row] if len(row) else value
-
-
-def fit(row: np.ndarray, place: np.ndarray, value: np.ndarray, grade: np.ndarray, grades: int = GRADES, steps: int = 120, rate: float = 0.5, ridge: float = 1e-4) -> Model:
+    stem = np.flatnonzero(ends - starts > STEM)
+    words, stems = run_hashes(data, starts, ends), mix(run_hashes(data, starts[stem], starts[stem] + STEM), 7)
+    place = (np.concatenate([words, stems]) >> np.uint64(64 - BITS)).astype(np.int64)
+    key = np.unique(np.concatenate([row, row[stem]]) << BITS | place)
+    return key >> BITS, key & ((1 << BITS) - 1)
+
+
+def telling(row: np.ndarray, place: np.ndarray, grade: np.ndarray) -> np.ndarray:
+    """The places that tell grade 0 from the others, as a mask."""
+    bad = grade > 0
+    n1, n0 = int(bad.sum()), int((~bad).sum())
+    a, b = (np.bincount(place, x[row], 1 << BITS) for x in (bad, ~bad))
+    t, n = a + b, max(1, n1 + n0)
+    part = lambda x, e: np.where(x > 0, x * np.log(np.maximum(x, 1) / np.maximum(e, 1e-12)), 0)
+    ratio = 2 * (part(a, t * n1 / n) + part(b, t * n0 / n) + part(n1 - a, (n - t) * n1 / n) + part(n0 - b, (n - t) * n0 / n))
+    ratio[t < min(LEAST, n1)] = 0
+    keep = np.zeros(1 << BITS, bool)
+    keep[np.argsort(-ratio, kind="stable")[:PLACES]] = True
+    return keep & (ratio >= RATIO)
+
+
+def fit(row: np.ndarray, place: np.ndarray, value: np.ndarray, grade: np.ndarray, grades: int = GRADES, steps: int = 150, rate: float = 0.1, ridge: float = 1e-4) -> Model:
     """Full-batch Adam on the penalised likelihood of P(y) = P(<= y) - P(<= y - 1); deterministic."""
     n = len(grade)
     model = Model(np.zeros(1 << BITS), np.full(grades - 1, 30.0))
@@ -65,11 +84,6 @@ def fit(row: np.ndarray, place: np.ndarray, value: np.ndarray, grade: np.ndarray
     # thresholds: the first one, then logs of the gaps, so that they stay ordered
     p = np.concatenate([np.zeros(len(used)), first[:1], np.log(np.maximum(np.diff(first), 1e-3))])
     m, v, size = np.zeros_like(p), np.zeros_like(p), len(used)
-    share = np.ones(n)
-    for g in range(grades):  # rare grades weigh as much as common ones, up to tenfold
-        if (grade == g).any():
-            share[grade == g] = min(10.0, n / (len(np.unique(grade)) * (grade == g).sum()))
-    share /= share.mean()
     for t in range(1, steps + 1):
         w, gaps = p[:size], np.exp(p[size + 1 :])
         theta = p[size] + np.concatenate([[0.0], np.cumsum(gaps)])
@@ -79,7 +93,7 @@ def fit(row: np.ndarray, place: np.ndarray, value: np.ndarray, grade: np.ndarray
         su, sl = 1 / (1 + np.exp(-np.clip(upper, -500, 500))), 1 / (1 + np.exp(-np.clip(lower, -500, 500)))
         su, sl = np.where(np.isinf(upper), 1.0, su), np.where(np.isinf(lower), 0.0, sl)
         prob = np.maximum(su - sl, 1e-12)
-        du, dl = share * su * (1 - su) / prob, share * sl * (1 - sl) / prob  # d log P / d upper, - d log P / d lower
+        du, dl = su * (1 - su) / prob, sl * (1 - sl) / prob  # d log P / d upper, - d log P / d lower
         g = np.zeros_like(p)
         g[:size] = np.bincount(place, value * (du - dl)[row], size) / n + ridge * w
         by = np.zeros(grades - 1)
@@ -105,17 +119,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     sample = docs.select("doc_id", "text").join(F.broadcast(own), F.col("doc_id") == F.col("_id")).select("doc_id", "text", F.col("grade").cast("long").alias("grade"))
 
     def step(rows: pa.RecordBatch) -> pa.RecordBatch:
-        row, place, value = features(rows)
+        row, place = features(rows)
         cut = np.searchsorted(row, np.arange(rows.num_rows + 1))
-        packed = [(place[a:b].astype("<i4").tobytes(), value[a:b].astype("<f4").tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-        return pa.record_batch([rows.column(0), rows.column(2), pa.array([x for x, _ in packed], pa.binary()), pa.array([y for _, y in packed], pa.binary())], ["doc_id", "grade", "place", "value"])
+        packed = [place[a:b].astype("<i4").tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return pa.record_batch([rows.column(0), rows.column(2), pa.array(packed, pa.binary())], ["doc_id", "grade", "place"])
 
-    got = map_slices(sample, ["doc_id", "text", "grade"], step, "doc_id long, grade long, place binary, value binary").toArrow().sort_by("doc_id")
-    place = [np.frombuffer(x, "<i4") for x in got["place"].to_pylist()]
-    value = [np.frombuffer(x, "<f4") for x in got["value"].to_pylist()]
-    row = np.repeat(np.arange(len(place)), [len(x) for x in place]) if place else np.zeros(0, np.int64)
-    join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
-    return fit(row, join(place, np.int64), join(value, np.float64), np.array(got["grade"].to_pylist(), np.int64))
+    got = map_slices(sample, ["doc_id", "text", "grade"], step, "doc_id long, grade long, place binary").toArrow().sort_by("doc_id")
+    each = [np.frombuffer(x, "<i4") for x in got["place"].to_pylist()]
+    row = np.repeat(np.arange(len(each)), [len(x) for x in each]) if each else np.zeros(0, np.int64)
+    place, grade = np.concatenate([np.zeros(0, np.int64), *each]).astype(np.int64), np.array(got["grade"].to_pylist(), np.int64)
+    keep = telling(row, place, grade)[place]
+    return fit(row[keep], place[keep], np.ones(int(keep.sum())), grade)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None, reject_at: float = REJECT_AT) -> DataFrame:
@@ -126,8 +140,8 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None, reject_a
 
     def step(rows: pa.RecordBatch) -> pa.RecordBatch:
         model = shared.value
-        row, place, value = features(rows)
-        z = np.bincount(row, value * model.weights[place], rows.num_rows)
+        row, place = features(rows)
+        z = np.bincount(row, model.weights[place], rows.num_rows)
         p = model.at_least(z)
         p[np.bincount(row, minlength=rows.num_rows) == 0] = 0
         each = np.diff(np.concatenate([np.zeros((len(p), 1)), 1 - p, np.ones((len(p), 1))], axis=1), axis=1)
@@ -146,8 +160,8 @@ def keep_clean(docs: DataFrame, model: Model, reject_at: float = REJECT_AT) -> D
 
     def step(rows: pa.RecordBatch) -> pa.RecordBatch:
         model = shared.value
-        row, place, value = features(rows)
-        z = np.bincount(row, value * model.weights[place], rows.num_rows)
+        row, place = features(rows)
+        z = np.bincount(row, model.weights[place], rows.num_rows)
         bad = (model.at_least(z)[:, 0] >= reject_at) & (np.bincount(row, minlength=rows.num_rows) > 0)
         return rows.filter(pa.array(~bad))
 
