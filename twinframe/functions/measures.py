@@ -2,17 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HASH_BITS = 63
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once for the row: inside another lambda a plain expression is computed for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def pack_hash(values: Column) -> Column:
     """63 low-frequency coefficients as bits of a long: bit i is set where value i exceeds their median (the 32nd of 63)."""
-    median = F.element_at(F.sort_array(values), 32)
-    bits = F.transform(values, lambda x, i: F.when(x > median, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+
+    def packed(median: Column) -> Column:
+        bits = F.transform(values, lambda x, i: F.when(x > median, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+        return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+
+    return let(F.element_at(F.sort_array(values), 32), packed)
+
+
+def shares(values: Column) -> Column:
+    """Absolute values as shares of their sum."""
+    return let(total(F.transform(values, lambda x: F.abs(x))), lambda size: F.transform(values, lambda x: F.abs(x) / size))
+
+
+def moments(x: Column, y: Column) -> Column:
+    """Sums over two vectors in one pass: struct (x, y, xx, yy, xy)."""
+    zero = F.struct(*(F.lit(0.0).alias(k) for k in ("x", "y", "xx", "yy", "xy")))
+
+    def step(a: Column, p: Column) -> Column:
+        u, v = p["u"], p["v"]
+        return F.struct((a["x"] + u).alias("x"), (a["y"] + v).alias("y"), (a["xx"] + u * u).alias("xx"), (a["yy"] + v * v).alias("yy"), (a["xy"] + u * v).alias("xy"))
+
+    return F.aggregate(F.arrays_zip(x.alias("u"), y.alias("v")), zero, step)
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -47,21 +73,24 @@ def inlier_ratio(inliers: Column, matches: Column) -> Column:
 def correlation(x: Column, y: Column) -> Column:
     """Zero-mean normalised correlation of two vectors, clipped to [-1, 1]; 0 where their lengths differ."""
     n = F.size(x)
-    mx, my = total(x) / n, total(y) / n
-    cov = total(F.zip_with(x, y, lambda a, b: (a - mx) * (b - my)))
-    vx, vy = total(F.transform(x, lambda a: (a - mx) * (a - mx))), total(F.transform(y, lambda b: (b - my) * (b - my)))
-    return F.when(F.size(x) == F.size(y), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cov / (F.sqrt(vx * vy) + 1e-12)))).otherwise(F.lit(0.0))
+
+    def value(m: Column) -> Column:
+        cov, vx, vy = m["xy"] - m["x"] * m["y"] / n, m["xx"] - m["x"] * m["x"] / n, m["yy"] - m["y"] * m["y"] / n
+        return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cov / (F.sqrt(F.greatest(F.lit(0.0), vx * vy)) + 1e-12)))
+
+    return F.when(F.size(x) == F.size(y), let(moments(x, y), value)).otherwise(F.lit(0.0))
 
 
 def structural_similarity(x: Column, y: Column, span: float = 1.0) -> Column:
     """The structural similarity formula over one window that is the whole vector, clipped to [-1, 1]."""
     n, c1, c2 = F.size(x), (0.01 * span) ** 2, (0.03 * span) ** 2
-    mx, my = total(x) / n, total(y) / n
-    square = lambda v: total(F.transform(v, lambda a: a * a)) / n
-    vx, vy = square(x) - mx * mx, square(y) - my * my
-    cov = total(F.zip_with(x, y, lambda a, b: a * b)) / n - mx * my
-    value = ((2 * mx * my + c1) * (2 * cov + c2)) / ((mx * mx + my * my + c1) * (vx + vy + c2))
-    return F.when(F.size(x) == F.size(y), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value))).otherwise(F.lit(0.0))
+
+    def value(m: Column) -> Column:
+        mx, my = m["x"] / n, m["y"] / n
+        vx, vy, cov = m["xx"] / n - mx * mx, m["yy"] / n - my * my, m["xy"] / n - mx * my
+        return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), ((2 * mx * my + c1) * (2 * cov + c2)) / ((mx * mx + my * my + c1) * (vx + vy + c2))))
+
+    return F.when(F.size(x) == F.size(y), let(moments(x, y), value)).otherwise(F.lit(0.0))
 
 
 def wilson(successes: Column, total_: Column, z: float = 1.96) -> Column:

@@ -165,7 +165,7 @@ def unassigned(spark, sf_dir):
 
 @register(O.GREEDY, "SELECT DISTINCT ref FROM flagged WHERE suspect AND ref IN (SELECT ref FROM assigned)")
 def assigned_suspects(spark, sf_dir):
-    return M.assigned_suspects(S.pairs(spark, sf_dir), S.mapping(spark, sf_dir))
+    return M.assigned_suspects(*S.matched(spark, sf_dir))
 
 
 @register(
@@ -214,7 +214,8 @@ def sample_precision(spark, sf_dir):
     FROM flagged f LEFT JOIN assigned a ON a.ref = f.ref WHERE a.ex IS NULL OR a.ex <> f.ex) WHERE rank <= 5""",
 )
 def suggestions(spark, sf_dir):
-    return E.suggestions(S.pairs(spark, sf_dir).drop("rank"), S.mapping(spark, sf_dir), 5).select("ref", "ex", r6("score"), "rank")
+    scored, done = S.matched(spark, sf_dir)
+    return E.suggestions(scored.drop("rank"), done, 5).select("ref", "ex", r6("score"), "rank")
 
 
 _FEEDBACK = f"""SELECT 'redo_preprocess' AS action, rel AS ref FROM img WHERE odd = 0 AND rel NOT IN (SELECT ref FROM flagged)
@@ -223,7 +224,7 @@ _FEEDBACK = f"""SELECT 'redo_preprocess' AS action, rel AS ref FROM img WHERE od
 
 
 def _feedback(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    scored, done = S.pairs(spark, sf_dir), S.mapping(spark, sf_dir)
+    scored, done = S.matched(spark, sf_dir)
     return E.feedback(S.both(spark, sf_dir)[0], scored, done, M.assigned_suspects(scored, done)), scored, done
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from twinframe.functions import measures
 from twinframe.operators.candidates import Settings, candidates
 from twinframe.operators.matching import Rules, assign_greedy, best_detector, classified
+from twinframe.storage import materialised
 
 SETTINGS = Settings(radius=20, step=2, max_radius=28, hist=0.37, min_candidates=4, aspect=0.5, edge=0.30)
 RULES = Rules(min_inliers=12, min_ratio=0.30, min_inliers_b=8, min_ratio_b=0.20, ssim=0.30, ncc=0.30, top2_margin=1.0, top2_multiplier=1.05)
@@ -28,12 +29,11 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     v = F.transform("embedding", lambda x: x.cast("double"))
     rows = rows.select(F.col("vec_id").cast("string").alias("rel"), (F.col("vec_id") % 2).alias("odd"), v.alias("v"), "vec_id", "label")
-    size = measures.total(F.transform("v", lambda x: F.abs(x)))
     steps = F.zip_with(F.slice("v", 1, 63), F.slice("v", 2, 63), lambda a, b: F.when(F.abs(a - b) > EDGE_STEP, 1.0).otherwise(0.0))
     return rows.select(
         "rel", "odd", "v", "label",
         measures.pack_hash(F.slice("v", 2, 63)).alias("phash"),
-        F.transform("v", lambda x: F.abs(x) / size).alias("hist"),
+        measures.shares(F.col("v")).alias("hist"),
         (100 + (37 * F.col("vec_id")) % 400).alias("w"), (100 + (53 * F.col("vec_id")) % 300).alias("h"),
         (measures.total(steps) / 63).alias("edge_density"),
     )
@@ -69,5 +69,11 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified(best_detector(scores(spark, sf_dir)), RULES)
 
 
+def matched(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The classified pairs, scored once, and their one-to-one assignment."""
+    scored = materialised(pairs(spark, sf_dir), "pairs")
+    return scored, assign_greedy(scored)
+
+
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_greedy(pairs(spark, sf_dir))
+    return matched(spark, sf_dir)[1]
