@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -44,15 +46,32 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """df, computed once and reread from a table in the shared folder: its lineage ends there, so a lost executor costs no recomputation of what came before."""
-    spark, path = df.sparkSession, fresh_path(df.sparkSession, tag)
+def written(df: DataFrame, tag: str, freeing: bool = False, small: bool = False) -> DataFrame:
+    """df, computed once and reread from a table in the shared folder: its lineage ends there, so a lost executor costs no recomputation of what came before.
+
+    small: rows that are few for the number of tasks that make them go into an eighth as many files, dealt evenly.
+    freeing: have the driver drop what it no longer refers to, so that shuffle files of finished steps leave the disks before the next step.
+    """
+    spark, schema, path = df.sparkSession, df.schema, fresh_path(df.sparkSession, tag)
+    if small:
+        df = df.repartition(max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    if freeing:
+        del df
+        free(spark)
+    out = spark.read.schema(schema).parquet(path)
     out._twinframe_path = path
     return out
 
 
+def free(spark: SparkSession) -> None:
+    """Has Python, then the JVM drop what nothing refers to; Spark's cleaner then removes the shuffle files of finished steps."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def drop_written(*tables: DataFrame) -> None:
     """Removes tables of written() that no later step reads."""
     for t in tables:

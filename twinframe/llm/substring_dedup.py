@@ -2,14 +2,15 @@
 
 A byte goes when a string of `length` bytes that covers it also starts in a document with a smaller doc_id.
 
-1. slices: documents are packed into slices of about 2 MB, one row each, in a table of the shared folder.
+1. slices: documents are packed into slices of about 1 MB, one compressed row each, in a table of the shared folder.
 2. anchors: each string of `length` bytes is named by its minimiser, the leftmost of its 20-byte grams with the least hash; equal strings have equal
    minimisers. Each slice sends the hashes of its distinct minimisers, six bytes each, to buckets; a bucket answers with one bit for each: whether it
    occurs in more than one document.
 3. segments: the maximal runs of strings with one repeated minimiser, as distinct texts of 50 to 80 bytes with their smallest doc_id, go to the
    buckets of their minimiser. Copies of a segment are one before anything moves, so a line of a third of all documents costs one entry a slice.
 4. collection: a bucket's distinct segments whose minimiser stands in several of them are the multi-document collection. They are indexed column by column
-   from the right: each round inserts one symbol of every segment, and moves the transform and the common prefixes on (ColumnIndex). Neighbours with a common prefix
+   from the right: each round inserts one symbol of every segment, and moves the transform and the common prefixes on (ColumnIndex). Segments without a common minimiser have no string in
+   common, so a bucket is indexed in cache-sized parts. Neighbours with a common prefix
    of `length` are one string; its smallest doc_id goes back to the slices of its segments.
 5. The slices mark what is covered. Positions are in the input, never in what is left.
 
@@ -29,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinframe.llm.common import _byte_table, mix, run_hashes, text_bytes, text_slices, written
+from twinframe.llm.common import _byte_table, drop_written, free, fresh_path, mix, remove as remove_path, run_hashes, text_bytes, text_slices, written
 
 LENGTH = 50
 GRAM = 20
@@ -38,6 +39,10 @@ BUCKET_BYTES = 32 << 20
 #: Symbols of a collection beyond which its columns are held in files.
 MEMORY_SYMBOLS = 8 << 20
 LAST = (1 << 63) - 1
+SLICE = 1 << 20
+#: Places whose grams are hashed at once, and segments that one index holds (more only if they share a minimiser): both fit a core's cache.
+STRETCH = 1 << 16
+TOGETHER = 4096
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -55,20 +60,24 @@ def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def slices(docs: DataFrame) -> DataFrame:
-    """slice, ids (8 bytes for each document), cuts (document borders), data: the texts end to end."""
+    """slice, size, body: the ids of its documents (8 bytes each), their borders, and their texts end to end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task, n = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows in text_slices(batch):
+            for rows in text_slices(batch, most=SLICE):
                 data, offsets = text_bytes(rows.column(1))
                 ids = rows.column(0).fill_null(LAST).to_numpy(zero_copy_only=False).astype("<i8")
-                yield pa.record_batch([pa.array([task << 32 | n]), pa.array([ids.tobytes()], pa.binary()), pa.array([offsets.astype("<i8").tobytes()], pa.binary()), pa.array([data.tobytes()], pa.binary())], ["slice", "ids", "cuts", "data"])
+                yield pa.record_batch([pa.array([task << 32 | n]), pa.array([len(data)]), pa.array([pack(ids, offsets.astype("<i8"), data)], pa.binary())], ["slice", "size", "body"])
                 n += 1
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "slice long, ids binary, cuts binary, data binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "slice long, size long, body binary")
+
+
+def opened(body: bytes) -> list[np.ndarray]:
+    return unpack(body, "<i8", "<i8", "u1")
 
 
 def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
@@ -87,37 +96,36 @@ def gram_hashes(data: np.ndarray, gram: int = GRAM) -> np.ndarray:
 
 
 def minimisers(data: np.ndarray, cuts: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Runs of strings with one minimiser: their first start, number of strings, place and hash of the minimiser, and document (by number)."""
-    n = len(data) - length + 1
-    if n < 1:
+    """Runs of strings with one minimiser: their first start, number of strings, place and name (a hash) of the minimiser, and document (by number)."""
+    n, span = len(data) - length + 1, length - gram + 1
+    found = []
+    for at in range(0, max(0, n), STRETCH):
+        hashes = gram_hashes(data[at : min(at + STRETCH, n) + length - 1], gram)
+        keyed = hashes & np.uint64((1 << 64) - (1 << 20)) | np.arange(len(hashes), dtype=np.uint64)
+        width = 1
+        while width * 2 <= span:
+            keyed = np.minimum(keyed[:-width], keyed[width:])
+            width *= 2
+        here = min(STRETCH, n - at)
+        place = (np.minimum(keyed[:here], keyed[span - width : span - width + here]) & np.uint64((1 << 20) - 1)).astype(np.int64)
+        new = np.flatnonzero(np.diff(place, prepend=-1))
+        # least hashes crowd at the low end: scrambled again, they spread over all buckets
+        found.append((new + at, place[new] + at, mix(hashes[place[new]], 21)))
+    if not found:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64))
-    hashes = gram_hashes(data, gram)
-    keyed = hashes & np.uint64((1 << 64) - (1 << 28)) | np.arange(len(hashes), dtype=np.uint64)
-    width, span = 1, length - gram + 1
-    while width * 2 <= span:
-        keyed = np.minimum(keyed[:-width], keyed[width:])
-        width *= 2
-    least = np.minimum(keyed[:n], keyed[span - width : span - width + n])
-    place = (least & np.uint64((1 << 28) - 1)).astype(np.int64)
-    new = np.ones(n, bool)
-    new[1:] = place[1:] != place[:-1]
-    # strings that would cross into the next document do not count
-    inside = np.zeros(n + 1, np.int8)
-    first, last = cuts[:-1], np.maximum(cuts[1:] - length + 1, cuts[:-1])
-    some = last > first
-    np.add.at(inside, first[some], 1)
-    np.add.at(inside, last[some], -1)
-    inside = np.cumsum(inside[:-1]) > 0
-    new[1:] |= inside[1:] & ~inside[:-1]
-    begin = cuts[:-1][some]
-    new[begin] = True
-    new &= inside
-    starts = np.flatnonzero(new)
-    stop = np.ones(n + 1, bool)
-    stop[:n] = new | ~inside
-    ends = np.flatnonzero(stop)
-    counts = ends[np.searchsorted(ends, starts, side="right")] - starts
-    return starts, counts, place[starts], hashes[place[starts]], np.searchsorted(cuts, starts, side="right") - 1
+    first, place, names = (np.concatenate(x) for x in zip(*found, strict=True))
+    same = np.append(False, place[1:] == place[:-1])
+    first, place, names = first[~same], place[~same], names[~same]
+    # runs end where their document does; strings that would cross into the next one do not count
+    last = cuts[1:] - length + 1
+    begin = cuts[:-1][last > cuts[:-1]]
+    starts = np.union1d(first, begin)
+    doc = np.searchsorted(cuts, starts, side="right") - 1
+    ends = np.minimum(np.append(starts[1:], n), last[doc])
+    keep = ends > starts
+    starts, doc, ends = starts[keep], doc[keep], ends[keep]
+    run = np.searchsorted(first, starts, side="right") - 1
+    return starts, ends - starts, place[run], names[run], doc
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -146,8 +154,9 @@ def anchor_bits(packed: DataFrame, buckets: int, length: int, gram: int) -> Data
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, _, cuts, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                _, _, _, hashes, doc = minimisers(np.frombuffer(data, np.uint8), np.frombuffer(cuts, "<i8"), length, gram)
+            for name, _, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                _, cuts, data = opened(body)
+                _, _, _, hashes, doc = minimisers(data, cuts, length, gram)
                 hashes, several = distinct_anchors(hashes, doc)
                 owner = bucket_of(hashes, buckets)
                 some = np.unique(owner)
@@ -179,8 +188,8 @@ def segments(packed: DataFrame, bits: DataFrame, buckets: int, length: int, gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, ids, cuts, data, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield table(name, np.frombuffer(ids, "<i8"), np.frombuffer(cuts, "<i8"), np.frombuffer(data, np.uint8), answers or [])
+            for name, body, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                yield table(name, *opened(body), answers or [])
 
     def table(name: int, ids: np.ndarray, cuts: np.ndarray, data: np.ndarray, answers: list[dict]) -> pa.RecordBatch:
         starts, counts, place, hashes, doc = minimisers(data, cuts, length, gram)
@@ -211,7 +220,7 @@ def segments(packed: DataFrame, bits: DataFrame, buckets: int, length: int, gram
             blobs.append(pack(ids[doc[own]].astype("<i8"), sizes.astype("<u2"), (place[own] - starts[own]).astype("<u2"), data[where]))
         return pa.record_batch([pa.array(np.full(len(names), name)), pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], ["slice", "bucket", "blob"])
 
-    return packed.join(known, "slice", "left").select("slice", "ids", "cuts", "data", "known").mapInArrow(run, "slice long, bucket long, blob binary")
+    return packed.join(known, "slice", "left").select("slice", "body", "known").mapInArrow(run, "slice long, bucket long, blob binary")
 
 
 class ColumnIndex:
@@ -228,6 +237,10 @@ class ColumnIndex:
 
     def __init__(self, data: np.ndarray, sizes: np.ndarray, memory: int = MEMORY_SYMBOLS):
         n = len(sizes)
+        # symbols are numbered from 1 in their order; 0 stands before a text's first
+        used = np.flatnonzero(np.bincount(data, minlength=256))
+        self.number = np.zeros(256, np.uint8 if len(used) < 255 else np.uint16)
+        self.number[used] = np.arange(1, len(used) + 1)
         self.files = tempfile.TemporaryDirectory(prefix="columns-") if int(sizes.sum()) + n > memory else None
         self._turn = 0
         ends = np.cumsum(sizes)
@@ -239,10 +252,10 @@ class ColumnIndex:
             fresh = self._round(fresh, done)
 
     def _before(self, text: np.ndarray, done: np.ndarray | int, sizes: np.ndarray) -> np.ndarray:
-        """The symbol before the last `done` symbols of the texts, plus one; 0 where there is none."""
+        """The number of the symbol before the last `done` symbols of the texts; 0 where there is none."""
         left = sizes[text] - done > 0
-        out = np.zeros(len(text), np.uint16)
-        out[left] = self.data[(self.ends[text] - done - 1)[left]].astype(np.uint16) + 1
+        out = np.zeros(len(text), self.number.dtype)
+        out[left] = self.number[self.data[(self.ends[text] - done - 1)[left]]]
         return out
 
     def _keep(self, symbols: np.ndarray, prefixes: np.ndarray, owners: np.ndarray) -> None:
@@ -315,6 +328,16 @@ def least_owners(data: np.ndarray, sizes: np.ndarray, owner: np.ndarray, length:
     return out
 
 
+def _together(group: np.ndarray) -> Iterator[slice]:
+    """Stretches of sorted groups, of TOGETHER entries or few more; no group is cut."""
+    at = 0
+    while at < len(group):
+        end = min(at + TOGETHER, len(group))
+        end = int(np.searchsorted(group, group[end - 1], side="right"))
+        yield slice(at, end)
+        at = end
+
+
 def answers(sent: DataFrame, length: int, gram: int, memory: int = MEMORY_SYMBOLS) -> DataFrame:
     """For each slice and bucket, in the order of its segments: runs of strings and their least doc_id (blob)."""
 
@@ -333,16 +356,16 @@ def answers(sent: DataFrame, length: int, gram: int, memory: int = MEMORY_SYMBOL
         # only minimisers that stand in several distinct segments need the index
         _, group, many = np.unique(anchor[first], return_inverse=True, return_counts=True)
         mixed = np.flatnonzero(many[group] > 1)
-        if len(mixed):
-            take = first[mixed]
+        mixed = mixed[np.argsort(group[mixed], kind="stable")]
+        at = np.cumsum(counts) - counts
+        for some in _together(group[mixed]):
+            own_at, take = mixed[some], first[mixed[some]]
             where = np.repeat(starts[take] - np.cumsum(sizes[take]) + sizes[take], sizes[take]) + np.arange(sizes[take].sum())
-            at = np.cumsum(counts) - counts
-            target = np.repeat(at[mixed] - np.cumsum(counts[mixed]) + counts[mixed], counts[mixed]) + np.arange(counts[mixed].sum())
-            least[target] = least_owners(data[where], sizes[take], own[mixed], length, memory)
+            target = np.repeat(at[own_at] - np.cumsum(counts[own_at]) + counts[own_at], counts[own_at]) + np.arange(counts[own_at].sum())
+            least[target] = least_owners(data[where], sizes[take], own[own_at], length, memory)
         # runs of equal answers within each distinct segment
         new = np.ones(len(least), bool)
         new[1:] = least[1:] != least[:-1]
-        at = np.cumsum(counts) - counts
         new[at] = True
         at_run = np.flatnonzero(new)
         run_size, run_least = np.diff(np.append(at_run, len(least))), least[at_run]
@@ -356,7 +379,7 @@ def answers(sent: DataFrame, length: int, gram: int, memory: int = MEMORY_SYMBOL
             blobs.append(pack(n_runs[w].astype("u1"), run_size[take].astype("u1"), run_least[take].astype("<i8")))
         return pa.table([rows["slice"], rows["bucket"], pa.array(blobs, pa.binary())], ["slice", "bucket", "blob"])
 
-    return sent.where("bucket >= 0").groupBy("bucket").applyInArrow(run, "slice long, bucket long, blob binary")
+    return sent.groupBy("bucket").applyInArrow(run, "slice long, bucket long, blob binary")
 
 
 def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes: bool = True, buckets: int | None = None, memory: int = MEMORY_SYMBOLS) -> DataFrame:
@@ -367,21 +390,27 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes:
     if not 8 <= gram <= length // 2 <= 64:
         raise ValueError("8 <= gram <= length / 2 <= 64")
     spark = docs.sparkSession
-    packed = written(slices(docs), "slices")
+    packed = written(slices(docs), "slices", freeing=True)
     if buckets is None:
-        total = packed.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]
+        total = packed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
-    bits = written(anchor_bits(packed, buckets, length, gram), "anchor-bits")
-    sent = written(segments(packed, bits, buckets, length, gram), "segments")
-    found = written(answers(sent, length, gram, memory), "answers")
-    where = sent.where("bucket = -1").select("slice", F.col("blob").alias("occurs"))
+    bits = written(anchor_bits(packed, buckets, length, gram), "anchor-bits", freeing=True)
+    # segments and their places are one computation and two tables: the first is gone once it is answered
+    path = fresh_path(spark, "segments")
+    segments(packed, bits, buckets, length, gram).withColumn("sent", (F.col("bucket") >= 0).cast("int")).write.partitionBy("sent").parquet(path)
+    free(spark)
+    drop_written(bits)
+    schema = "slice long, bucket long, blob binary, sent int"
+    found = written(answers(spark.read.schema(schema).parquet(path).where("sent = 1").drop("sent"), length, gram, memory), "answers", freeing=True)
+    remove_path(spark, f"{path}/sent=1")
+    where = spark.read.schema(schema).parquet(path).where("sent = 0").select("slice", F.col("blob").alias("occurs"))
     told = found.groupBy("slice").agg(F.array_sort(F.collect_list(F.struct("bucket", "blob"))).alias("told"))
     kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, cuts, data, occurs, told in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield marked(np.frombuffer(ids, "<i8"), np.frombuffer(cuts, "<i8"), np.frombuffer(data, np.uint8), occurs, told or [])
+            for body, occurs, told in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                yield marked(*opened(body), occurs, told or [])
 
     def marked(ids: np.ndarray, cuts: np.ndarray, data: np.ndarray, occurs: bytes, told: list[dict]) -> pa.RecordBatch:
         entry, starts, doc, _ = unpack(occurs, "<u4", "<u4", "<u4", "u1")
@@ -416,7 +445,7 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes:
         return pa.record_batch([*arrays, *([pa.array(kept, pa.binary())] if keep_bytes else [])], ["doc_id", "n_bytes", "spans", "kept_sha256", *(["kept"] if keep_bytes else [])])
 
     schema = "doc_id long, n_bytes long, spans array<struct<a:long,b:long>>, kept_sha256 string" + ", kept binary" * keep_bytes
-    return packed.join(where, "slice").join(told, "slice", "left").select("ids", "cuts", "data", "occurs", "told").mapInArrow(run, schema)
+    return packed.join(where, "slice").join(told, "slice", "left").select("body", "occurs", "told").mapInArrow(run, schema)
 
 
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
