@@ -12,6 +12,7 @@ import tiktoken
 import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.cases import TEXTS, documents, empty
 from twinframe.llm import byte_bpe, id_files, simhash, token_counts
@@ -136,3 +137,9 @@ def test_block_tables_find_all_within_the_radius(spark, radius):
     got = [(r.query, r.found, r.distance) for r in simhash.within_radius(df, df, radius).collect()]
     want = {(a, b, d) for a in prints for b in prints if (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= radius}
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_neighbours_count_documents(spark):
+    rows = [(0, "0" * 32), (20, "0" * 31 + "1"), (3, "0" * 31 + "3"), (4, "f" * 32), (5, "f" * 32), (40, "f" * 32)]
+    got = simhash.neighbours(spark.createDataFrame(rows, "doc_id long, fingerprint string"), F.col("doc_id") % 20 == 0, 1)
+    assert {r.fingerprint: r.n_near for r in got.collect()} == {"0" * 32: 1, "0" * 31 + "1": 2, "f" * 32: 2}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from twinframe.llm import byte_bpe, chat_format, decontaminate, id_files, near_dedup, oracle, secret_scan, simhash, substring_dedup, token_counts, toxicity
 from twinframe.llm.common import fresh_path
@@ -42,7 +43,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.edit_report(table(spark, sf_dir, "documents"))
+    rows = simhash.edit_report(table(spark, sf_dir, "documents"))
+    asked = F.col("doc_id") % 20 == 0
+    near = simhash.neighbours(rows.select("doc_id", "fingerprint"), asked).withColumnRenamed("fingerprint", "_print")
+    return rows.join(near, asked & (F.col("fingerprint") == F.col("_print")), "left").drop("_print")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

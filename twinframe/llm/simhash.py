@@ -15,7 +15,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinframe.llm.common import lower_ascii, map_slices, mix, run_hashes, runs, text_bytes, text_slices, written
@@ -140,7 +140,7 @@ def edit_report(docs: DataFrame, bits: int = BITS, partitions: int | None = None
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     dealt = docs.select("doc_id", "text").repartitionByRange(n, *order).sortWithinPartitions(*order)
-    done = written(dealt.mapInArrow(lambda batches: _stream(batches, bits, True), _SCHEMA), "simhash")
+    done = written(dealt.mapInArrow(lambda batches: _stream(batches, bits, True), _SCHEMA), "simhash", freeing=True)
     border = done.where("text IS NOT NULL").select("doc_id", "text", F.col("n_chars").alias("last"))
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,18 @@ def edit_report(docs: DataFrame, bits: int = BITS, partitions: int | None = None
 
     # One row opens and one closes each range, in the ranges' order: a few rows for each task of the step before.
     ends = border.repartition(1).sortWithinPartitions(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "last").mapInArrow(close, _SCHEMA)
-    return done.where("text IS NULL").unionByName(ends).drop("text")
+    return done.where("text IS NULL").unionByName(written(ends, "simhash-ends")).drop("text")
+
+
+def neighbours(prints: DataFrame, asked: Column, radius: int = RADIUS, bits: int = BITS) -> DataFrame:
+    """fingerprint and n_near of the rows of prints (doc_id, fingerprint) that `asked` takes: how many other documents are within `radius` bits of it.
+
+    The search runs over distinct fingerprints; copies come in as counts.
+    """
+    sizes = prints.groupBy("fingerprint").agg(F.count("*").alias("size"))
+    found = within_radius(prints.where(asked), prints, radius, bits)
+    met = found.join(sizes, found["found"] == sizes["fingerprint"])
+    return met.groupBy(F.col("query").alias("fingerprint")).agg((F.sum("size") - 1).alias("n_near"))
 
 
 def within_radius(queries: DataFrame, table: DataFrame, radius: int = RADIUS, bits: int = BITS) -> DataFrame:
