@@ -12,6 +12,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -187,9 +188,9 @@ def guarded_inflate(found: DataFrame) -> DataFrame:
     """Entries with deflated images opened: a content of a known type stays as it is, an inflated one counts only if its type is known."""
     from twinframe.functions.sniff import image_ext
 
-    @F.udf("binary")
-    def opened(data: bytes | None) -> bytes | None:
-        return inflated(bytes(data))[1] if data else data
+    @F.pandas_udf("binary")
+    def opened(data: pd.Series) -> pd.Series:
+        return data.map(lambda x: inflated(bytes(x))[1] if x else x)
 
     bare = image_ext(F.col("content"))
     tried = found.withColumn("_raw", F.when(bare.isNull() & (F.col("kind") == "hwp"), opened("content")))
