@@ -17,7 +17,8 @@ A pair at the least similarity of 0.85 shares a node of depth 3 or less in at le
 0.9999998; in the deepest nodes (more than `small` classes share 5 minwise tokens) with 0.9995 at least.
 
 A null text, or one without words, has an empty set: it is linked with nothing and kept. Rows without a doc_id are linked with nothing, have no
-component and are kept. Rows that repeat a doc_id count as one document's texts: each has its own set, under the same id.
+component and are kept. Rows that repeat a doc_id with one text are one document; of different texts under one id, one stands for it in near links, and equal
+sets still join.
 """
 
 from __future__ import annotations
@@ -99,7 +100,7 @@ def nodes(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, small: int
     for d in range(1, depth + 1):
         keyed = active.withColumn("node", F.xxhash64("tree", F.slice("tokens", 1, d), F.lit(d)))
         sizes = keyed.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
-        level = written(keyed.join(sizes, "node").select("node", "id", "n", "tree", *(["tokens"] if d < depth else []), "members"), f"nodes-{d}")
+        level = written(keyed.join(sizes, "node").select("node", "id", "n", "tree", *(["tokens"] if d < depth else []), "members"), f"nodes-{d}", small=True)
         done = (level if d == depth else level.where(F.col("members") <= small)).select("node", "id", "n", "members")
         out = done if out is None else out.unionByName(done)
         if d == depth:
@@ -215,22 +216,29 @@ def _common(index: tuple[np.ndarray, ...], own: np.ndarray, n: int) -> np.ndarra
     return np.bincount(owner[where], minlength=n)
 
 
-def components(links: DataFrame) -> DataFrame:
-    """id and component (its smallest id) of every id in links (a, b), by alternating large-star and small-star rounds until nothing moves."""
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    mark = None
-    while True:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
+    """id and component (its smallest id) of every id in links (a, b), by alternating large-star and small-star rounds until nothing moves.
+
+    With `rounds`, it ends after so many: what then shares a name is connected, but some components may still go by several names.
+    """
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges", small=True)
+    mark, done = None, 0
+    while rounds is None or done < rounds:
+        done += 1
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = written(small.where("u <> v").distinct(), "edges")
+        edges = written(small.where("u <> v").distinct(), "edges", small=True)
+        if rounds is not None:
+            continue
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
         mark = now
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+    own = edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")))
+    return own.groupBy("id").agg(F.min("component").alias("component"))
 
 
 def groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, trees: int = TREES, depth: int = DEPTH, small: int = SMALL) -> DataFrame:
@@ -238,26 +246,25 @@ def groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, tree
     sets = written(sketches(docs, shingle, trees, depth), "sketches")
     some = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "n", "tokens")).alias("first")).select("hi", "lo", F.col("first.doc_id").alias("id"), F.col("first.n").alias("n"), F.col("first.tokens").alias("tokens"))
-    # Two sets of one repeated doc_id would both go by it; the smaller hash stands for it in the join, the other keeps to itself.
-    final = written(led(nodes(classes.dropDuplicates(["id"]), trees, depth, small)), "nodes")
+    final = written(led(nodes(classes.dropDuplicates(["id"]), trees, depth, small)), "nodes", small=True)
     met = final.select("id").distinct()
     texts = written(docs.select(F.col("doc_id").alias("id"), "text").join(met, "id", "left_semi").dropDuplicates(["id"]), "texts")
     first = final.where((F.col("id") != F.col("leader")) & _alike("n", "leader_n", percent)).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = written(verified(first, texts, percent, shingle), "links-1")
-    so_far = components(links)
+    links = written(verified(first, texts, percent, shingle), "links-1", small=True)
+    so_far = components(links, 2)  # names need only be right, not final, to spare comparisons
 
     named = final.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
     main = F.max(F.when(F.col("id") == F.col("leader"), F.col("component")))
     split = named.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), main.alias("main")).where("lo <> hi").select("node", "main")
     # the leader has been compared with all; two members are done with that
-    open_ = written(named.join(split, "node").where((F.col("id") != F.col("leader")) & (F.col("members") > 2)).select("node", "id", "n", "component", "members", (F.col("component") != F.col("main")).alias("outside")), "open")
+    open_ = written(named.join(split, "node").where((F.col("id") != F.col("leader")) & (F.col("members") > 2)).select("node", "id", "n", "component", "members", (F.col("component") != F.col("main")).alias("outside")), "open", small=True)
     pairwise = open_.where(F.col("members") <= PAIRWISE)
     one, two = (pairwise.select("node", *(F.col(c).alias(f"{p}_{c}") for c in ("id", "n", "component", "outside"))) for p in ("x", "y"))
     apart = (F.col("x_component") != F.col("y_component")) & _alike("x_n", "y_n", percent) & (~F.col("y_outside") | (F.col("x_id") < F.col("y_id")))
     second = one.where("x_outside").join(two, "node").where(apart).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
     large = open_.where(F.col("members") > PAIRWISE)
     count = large.groupBy("node").agg(F.count_if("outside").alias("outsiders"))
-    more = written(verified(second, texts, percent, shingle).unionByName(cell_links(large.join(count.where("outsiders > 0"), "node"), texts, percent, shingle)), "links-2")
+    more = written(verified(second, texts, percent, shingle).unionByName(cell_links(large.join(count.where("outsiders > 0"), "node"), texts, percent, shingle)), "links-2", small=True)
     whole = components(links.unionByName(more))
 
     named = classes.select("hi", "lo", "id").join(whole, "id", "left").select("hi", "lo", F.coalesce("component", "id").alias("component"))
@@ -267,7 +274,6 @@ def groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, tree
 
 
 def keep_first(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """docs (same columns) with one document, of the smallest doc_id, for each group; of rows that repeat a doc_id one stays."""
-    gone = groups(docs, percent, shingle).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return kept
+    """docs (same columns) with one document, the one of the smallest doc_id, for each group; rows that repeat that doc_id all stay."""
+    gone = groups(docs, percent, shingle).where("NOT kept").select(F.col("doc_id").alias("__twinframe_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["__twinframe_gone"], "left_anti")
