@@ -1,6 +1,6 @@
 """Rows that every operator has to take: nulls, empty and long texts, ties, repeats, and extra columns with clashing names."""
 
-SCHEMA = "doc_id long, text string, n_tokens long, spans string, component_id long, kept string, node string, _block long"
+SCHEMA = "doc_id long, text string, n_tokens long, spans string, component_id long, kept string, node string, _block long, _blob string, _cut int, _gone long, _id long, blob string"
 BENCH = "item_id long, text string"
 WORDS = [f"wort{i}" if i % 3 else f"Ünï{i}" for i in range(400)]
 
@@ -30,7 +30,7 @@ TEXTS = {
 
 
 def documents(spark, texts=None):
-    rows = [(i, t, 1, "s", 2, "k", "n", 3) for i, t in (texts or TEXTS).items()]
+    rows = [(i, t, 1, "s", 2, "k", "n", 3, "b", 4, 5, 6, "c") for i, t in (texts or TEXTS).items()]
     return spark.createDataFrame(rows, SCHEMA)
 
 

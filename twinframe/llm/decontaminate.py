@@ -196,17 +196,17 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(benchmark: DataFrame, window: int = WINDOW, most: int = MAX_ITEM_BYTES) -> list[ItemAutomaton]:
-    """One automaton for each `most` bytes of item text, read item by item."""
-    out, held, size = [], [], 0
+def automata(benchmark: DataFrame, window: int = WINDOW, most: int = MAX_ITEM_BYTES) -> Iterator[ItemAutomaton]:
+    """One automaton for each `most` bytes of item text, read item by item: the driver holds one part at a time."""
+    held, size = [], 0
     items = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL AND text IS NOT NULL").orderBy("item_id", "text")
     for item, text in items.toLocalIterator():
-        if held and size + len(text) > most:
-            out.append(ItemAutomaton(held, window))
+        if held and size + len(text.encode()) > most:
+            yield ItemAutomaton(held, window)
             held, size = [], 0
         held.append((item, text))
         size += len(text.encode())
-    return [*out, ItemAutomaton(held, window)]
+    yield ItemAutomaton(held, window)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MAX_ITEM_BYTES) -> DataFrame:

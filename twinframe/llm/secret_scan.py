@@ -137,7 +137,8 @@ def redact(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, .
     n_chars, if there, is counted anew for changed texts.
     """
     found = findings(scan(docs, ledger_path or fresh_path(docs.sparkSession, "blob-ledger"), rules), rules)
-    cut = found.select(F.col("blob").alias("_blob"), _merged(F.col("spans")).alias("_cut"))
+    blob, spans = "__twinframe_blob", "__twinframe_cut"
+    cut = found.select(F.col("blob").alias(blob), _merged(F.col("spans")).alias(spans))
     text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -145,9 +146,9 @@ def redact(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, .
         kept = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
         return F.struct(s["end"].alias("at"), F.concat(acc["out"], kept, F.lit("["), s["kind"], F.lit("]")).alias("out"))
 
-    done = F.aggregate(F.col("_cut"), start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    columns = {"text": F.when(F.col("_cut").isNull() | text.isNull(), text).otherwise(done)}
+    done = F.aggregate(F.col(spans), start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    columns = {"text": F.when(F.col(spans).isNull() | text.isNull(), text).otherwise(done)}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_cut").isNull() | text.isNull(), F.col("n_chars")).otherwise(F.length(done).cast(docs.schema["n_chars"].dataType))
-    joined = docs.withColumn("_blob", blob_of(text)).join(cut, "_blob", "left")
+        columns["n_chars"] = F.when(F.col(spans).isNull() | text.isNull(), F.col("n_chars")).otherwise(F.length(done).cast(docs.schema["n_chars"].dataType))
+    joined = docs.withColumn(blob, blob_of(text)).join(cut, blob, "left")
     return joined.select(*(columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns))
