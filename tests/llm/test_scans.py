@@ -144,16 +144,69 @@ def test_toxicity_edges(spark):
     assert toxicity.score(empty(spark), toxicity.train(docs, odd)).count() == 0
 
 
-def test_pipeline(spark, sf):
-    import corpus_pipeline as C
+def cut_benchmark(texts, items):
+    from tests.llm.test_decontaminate import LOWER, WORD
+
+    windows = set()
+    for t in items:
+        w = WORD.findall(t.translate(LOWER))
+        k = min(10, len(w))
+        windows |= {tuple(w[j : j + k]) for j in range(len(w) - k + 1 if k else 0)}
+    out = {}
+    for i, t in texts.items():
+        places = [m.span() for m in WORD.finditer((t or "").translate(LOWER))]
+        w = [t[a:b].translate(LOWER) for a, b in places]
+        hit = {p for k in {len(x) for x in windows} for j in range(len(w) - k + 1) if tuple(w[j : j + k]) in windows for p in range(j, j + k)}
+        if 2 * len(hit) > len(w):
+            continue
+        kept, at = "", 0
+        for p in sorted(hit):
+            if p - 1 not in hit:
+                kept += t[at : places[p][0]]
+            at = places[p][1]
+        out[i] = kept + t[at:] if hit else t
+    return out
+
+
+def masked(text):
+    spans = []
+    for kind, pattern, ok in BASE:
+        spans += [(m.start(), [b[0] for b in BASE].index(kind), m.end(), kind) for m in pattern.finditer(text or "") if ok(m)]
+    spans += [(m.start(), 3 + k, m.end(), r.kind) for k, r in enumerate(secret_scan.MORE_RULES) for m in re.finditer(r.pattern, text or "")]
+    joined = []
+    for a, _, b, kind in sorted(spans):
+        if joined and joined[-1][1] > a:
+            joined[-1][1] = max(joined[-1][1], b)
+        else:
+            joined.append([a, b, kind])
+    for a, b, kind in reversed(joined):
+        text = text[:a] + f"[{kind}]" + text[b:]
+    return text
+
+
+def test_pipeline_equals_brute_force(spark, sf):
+    import public_tokenizers
 
-    docs, seen = spark.read.parquet(f"{sf}/documents.parquet"), []
-    for name, stage in C.STAGES[:-1]:
-        out = stage(spark, docs, sf)
-        rows = {r.doc_id: r.text for r in out.collect()}
-        assert out.columns == docs.columns and set(rows) <= {r.doc_id for r in docs.collect()}
-        seen.append(len(rows))
-        docs = spark.createDataFrame(out.toPandas(), out.schema)
-    final = {r.doc_id: r.n_tokens for r in C.STAGES[-1][1](spark, docs, sf).collect()}
-    assert set(final) == {r.doc_id for r in docs.collect()} and seen[0] < 200 and seen[1] < seen[0]
-    assert {r.doc_id: r.n_tokens for r in C.run(spark, sf).collect()} == final
+    import corpus_pipeline as C
+    from tests.llm.test_near_dedup import brute
+    from twinframe.llm import byte_bpe
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rejected = {r.doc_id for r in toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))).collect() if r.rejected}
+    want = [{r.doc_id: r.text for r in docs.collect() if r.doc_id not in rejected}]
+    groups = brute(want[0])
+    want.append({i: t for i, t in want[0].items() if groups[i][2]})
+    want.append(cut_benchmark(want[1], [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]))
+    want.append({i: masked(t) for i, t in want[2].items()})
+    now = docs
+    for (_, stage), expected in zip(C.STAGES[:-1], want, strict=True):
+        out = stage(spark, now, sf)
+        assert out.columns == docs.columns
+        assert {r.doc_id: r.text for r in out.collect()} == expected
+        now = spark.createDataFrame(out.toPandas(), out.schema)
+    assert all(r.n_chars == len(r.text) for r in now.collect() if r.text != want[0][r.doc_id])
+    enc = byte_bpe.encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    final = {r.doc_id: (r.n_tokens, r.ids_sha256, r.lossless) for r in C.run(spark, sf).collect()}
+    ids = {i: np.array(enc.encode_ordinary(t), "<u4") for i, t in want[3].items()}
+    assert final == {i: (len(x), hashlib.sha256(x.tobytes()).hexdigest(), True) for i, x in ids.items()}
+    assert len(want[1]) < len(want[0]) and want[2] != want[1]

@@ -51,7 +51,7 @@ class Remembered(dict):
         if len(self) >= self.entries:
             self.old = dict(self)
             self.clear()
-        return [k for k in keys if k not in self and k not in self.old]
+        return list(keys.difference(self, self.old))
 
 
 class WordEncoder:
