@@ -4,6 +4,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from twinframe.plans import catalogue
@@ -13,7 +14,7 @@ SLOW = {"unassigned", "assigned_suspects", "match_stats", "suggestions", "leaf_m
 
 
 def normal(value):
-    if value is None or value != value:
+    if pd.isna(value):
         return "null"
     if isinstance(value, float):
         return f"{value:.5f}"

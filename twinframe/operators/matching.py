@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinframe.storage import materialised
+from twinframe.storage import discard, materialised
 
 
 @dataclass(frozen=True)
@@ -82,11 +82,15 @@ def assign_greedy(pairs: DataFrame, max_rounds: int = 10_000) -> DataFrame:
     best = own.groupBy("ref").agg(F.max("score").alias("best"))
     own = materialised(own.join(best, "ref"), "proposals")
     turn = own.groupBy("ref").agg(F.lit(1).alias("at"), F.max("rank").alias("last"))
+    moved = None
     for _ in range(max_rounds):
         asked = own.join(turn.where("at <= last").select("ref", F.col("at").alias("rank")), ["ref", "rank"]).select("ref", "ex", "best")
-        w = Window.partitionBy("ex").orderBy(F.col("best").desc(), "ref")
-        refused = asked.withColumn("_n", F.row_number().over(w)).where("_n > 1").select("ref", F.lit(1).alias("_more"))
-        moved = materialised(turn.join(refused, "ref", "left").select("ref", (F.col("at") + F.coalesce("_more", F.lit(0))).alias("at"), "last", F.coalesce("_more", F.lit(0)).alias("moved")), "turns")
+        # the minimum is combined before the shuffle, so an image that all references want gathers no rows
+        first = asked.groupBy("ex").agg(F.min(F.struct((-F.col("best")).alias("best"), "ref"))["ref"].alias("_first"))
+        refused = asked.join(first, "ex").where("ref <> _first").select("ref", F.lit(1).alias("_more"))
+        last, moved = moved, materialised(turn.join(refused, "ref", "left").select("ref", (F.col("at") + F.coalesce("_more", F.lit(0))).alias("at"), "last", F.coalesce("_more", F.lit(0)).alias("moved")), "turns")
+        if last is not None:
+            discard(last)
         turn = moved.select("ref", "at", "last")
         if moved.where("moved = 1").isEmpty():
             break

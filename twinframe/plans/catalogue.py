@@ -114,7 +114,7 @@ def candidates_with_overrides(spark, sf_dir):
 # Scores, phases, assignment
 
 _SCORE = "ref, ex, cand_ord, detector, matches, inliers, round(ssim, 6) AS ssim, round(ncc, 6) AS ncc, round(inlier_ratio, 6) AS inlier_ratio, round(score, 6) AS score"
-_PHASE = "ref, ex, detector, phase, acceptable, rank, round(score, 6) AS score, round(margin, 6) AS top2_margin, round(mult, 6) AS top2_multiplier, suspect"
+_PHASE = "ref, ex, detector, phase, acceptable, coalesce(rank, 0) AS rank, round(score, 6) AS score, round(margin, 6) AS top2_margin, round(mult, 6) AS top2_multiplier, suspect"
 
 
 def _phased(df: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def pair_scores(spark, sf_dir):
 @register(O.PAIRS, f"SELECT {_PHASE} FROM flagged")
 def classified_pairs(spark, sf_dir):
     df = S.pairs(spark, sf_dir)
-    return df.select("ref", "ex", "detector", "phase", "acceptable", "rank", r6("score"), r6("top2_margin"), r6("top2_multiplier"), "suspect")
+    return df.select("ref", "ex", "detector", "phase", "acceptable", F.coalesce("rank", F.lit(0)).alias("rank"), r6("score"), r6("top2_margin"), r6("top2_multiplier"), "suspect")
 
 
 @register(
@@ -445,11 +445,11 @@ def stream_lookup(spark, sf_dir):
     sql="""WITH t AS (SELECT * FROM (SELECT i AS attempt, 95 - 5 * i AS quality, 1.0::DOUBLE AS scale FROM range(0, 18) r(i) UNION ALL SELECT 18 + i, 10, [0.9, 0.8, 0.7, 0.6, 0.5][i + 1]::DOUBLE FROM range(0, 5) r(i))),
     s AS (SELECT doc_id AS stream, 1000 + (doc_id * 7919) % 9000 AS original_size, n_chars FROM documents),
     tried AS (SELECT stream, original_size, attempt, quality, scale, CAST(floor(n_chars * quality / 40.0 * scale * scale) AS BIGINT) AS size FROM s, t)
-    SELECT stream, original_size, arg_min(quality, attempt) FILTER (size <= original_size) AS quality, arg_min(scale, attempt) FILTER (size <= original_size) AS scale, original_size - arg_min(size, attempt) FILTER (size <= original_size) AS padding,
+    SELECT stream, original_size, coalesce(arg_min(quality, attempt) FILTER (size <= original_size), 0) AS quality, coalesce(arg_min(scale, attempt) FILTER (size <= original_size), 0.0) AS scale, coalesce(original_size - arg_min(size, attempt) FILTER (size <= original_size), -1) AS padding,
     CASE WHEN count(*) FILTER (size <= original_size) = 0 THEN 'fail_adjust' ELSE 'replaced' END AS status FROM tried GROUP BY stream, original_size"""
 )
 def encode_search(spark, sf_dir):
-    return _fitted(spark, sf_dir)
+    return _fitted(spark, sf_dir).na.fill({"quality": 0, "scale": 0.0, "padding": -1})
 
 
 def _fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,7 +458,7 @@ def _fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.fitted(tried)
 
 
-@register(sql=ORACLE["encode_search"].replace("SELECT stream, original_size, arg_min", "SELECT status, count(*) AS n FROM (SELECT stream, original_size, arg_min", 1) + ") GROUP BY status")
+@register(sql=ORACLE["encode_search"].replace("SELECT stream, original_size, coalesce(arg_min", "SELECT status, count(*) AS n FROM (SELECT stream, original_size, coalesce(arg_min", 1) + ") GROUP BY status")
 def patch_summary(spark, sf_dir):
     return X.patch_summary(_fitted(spark, sf_dir))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -21,10 +22,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialised(df: DataFrame, tag: str) -> DataFrame:
-    """df, computed once and reread from a table in the shared folder."""
+    """df, computed once and reread from a table in the shared folder, which goes when this program ends."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._twinframe_path = path
+    atexit.register(_discard_late, out)
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Removes a table of materialised() that no later step reads."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table._twinframe_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _discard_late(table: DataFrame) -> None:
+    try:
+        discard(table)
+    except Exception:  # the session may be gone by then
+        pass
 
 
 def within(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> bool:
