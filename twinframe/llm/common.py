@@ -46,10 +46,11 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def written(df: DataFrame, tag: str, freeing: bool = False, small: bool = False) -> DataFrame:
+def written(df: DataFrame, tag: str, freeing: bool = False, small: bool = False, into: list[DataFrame] | None = None) -> DataFrame:
     """df, computed once and reread from a table in the shared folder: its lineage ends there, so a lost executor costs no recomputation of what came before.
 
     small: rows that are few for the number of tasks that make them go into an eighth as many files, dealt evenly.
+    into: takes the table, for drop_written() once no later step reads it.
     freeing: have the driver drop what it no longer refers to, so that shuffle files of finished steps leave the disks before the next step.
     """
     spark, schema, path = df.sparkSession, df.schema, fresh_path(df.sparkSession, tag)
@@ -61,6 +62,8 @@ def written(df: DataFrame, tag: str, freeing: bool = False, small: bool = False)
         free(spark)
     out = spark.read.schema(schema).parquet(path)
     out._twinframe_path = path
+    if into is not None:
+        into.append(out)
     return out
 
 
@@ -175,9 +178,3 @@ def _byte_table() -> np.ndarray:
     if not _TABLE:
         _TABLE.append(mix(np.arange(64 * 256, dtype=np.uint64), 77))
     return _TABLE[0]
-
-
-def bounded_rows(df: DataFrame, size: F.Column, most: int) -> tuple[int, bool]:
-    """The summed size of df's rows and whether it stays within `most`: the check before anything is collected or broadcast."""
-    total = df.agg(F.coalesce(F.sum(size), F.lit(0)).cast("long")).first()[0]
-    return total, total <= most

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinframe.llm.common import lower_ascii, map_slices, mix, run_hashes, runs, text_bytes, text_slices, written
+from twinframe.llm.common import drop_written, lower_ascii, map_slices, mix, run_hashes, runs, text_bytes, text_slices, written
 
 SHINGLE = 5
 PERCENT = 85
@@ -92,7 +92,7 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, depth:
     return map_slices(docs, ["doc_id", "text"], step, "doc_id long, n long, hi long, lo long, tokens array<int>")
 
 
-def nodes(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, small: int = SMALL) -> DataFrame:
+def nodes(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, small: int = SMALL, into: list[DataFrame] | None = None) -> DataFrame:
     """The final nodes with two classes or more: node, id, n, members."""
     active = classes.select("id", "n", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "tokens")
     active = active.select("id", "n", "tree", F.slice("tokens", F.col("tree") * depth + 1, depth).alias("tokens"))
@@ -100,7 +100,7 @@ def nodes(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, small: int
     for d in range(1, depth + 1):
         keyed = active.withColumn("node", F.xxhash64("tree", F.slice("tokens", 1, d), F.lit(d)))
         sizes = keyed.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
-        level = written(keyed.join(sizes, "node").select("node", "id", "n", "tree", *(["tokens"] if d < depth else []), "members"), f"nodes-{d}", small=True)
+        level = written(keyed.join(sizes, "node").select("node", "id", "n", "tree", *(["tokens"] if d < depth else []), "members"), f"nodes-{d}", small=True, into=into)
         done = (level if d == depth else level.where(F.col("members") <= small)).select("node", "id", "n", "members")
         out = done if out is None else out.unionByName(done)
         if d == depth:
@@ -230,7 +230,8 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = written(small.where("u <> v").distinct(), "edges", small=True)
+        old, edges = edges, written(small.where("u <> v").distinct(), "edges", small=True)
+        drop_written(old)
         if rounds is not None:
             continue
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -243,29 +244,31 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
 
 def groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, trees: int = TREES, depth: int = DEPTH, small: int = SMALL) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs."""
+    done: list[DataFrame] = []
     sets = written(sketches(docs, shingle, trees, depth), "sketches")
     some = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = some.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "n", "tokens")).alias("first")).select("hi", "lo", F.col("first.doc_id").alias("id"), F.col("first.n").alias("n"), F.col("first.tokens").alias("tokens"))
-    final = written(led(nodes(classes.dropDuplicates(["id"]), trees, depth, small)), "nodes", small=True)
+    final = written(led(nodes(classes.dropDuplicates(["id"]), trees, depth, small, done)), "nodes", small=True, into=done)
     met = final.select("id").distinct()
-    texts = written(docs.select(F.col("doc_id").alias("id"), "text").join(met, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    texts = written(docs.select(F.col("doc_id").alias("id"), "text").join(met, "id", "left_semi").dropDuplicates(["id"]), "texts", into=done)
     first = final.where((F.col("id") != F.col("leader")) & _alike("n", "leader_n", percent)).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = written(verified(first, texts, percent, shingle), "links-1", small=True)
+    links = written(verified(first, texts, percent, shingle), "links-1", small=True, into=done)
     so_far = components(links, 2)  # names need only be right, not final, to spare comparisons
 
     named = final.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
     main = F.max(F.when(F.col("id") == F.col("leader"), F.col("component")))
     split = named.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), main.alias("main")).where("lo <> hi").select("node", "main")
     # the leader has been compared with all; two members are done with that
-    open_ = written(named.join(split, "node").where((F.col("id") != F.col("leader")) & (F.col("members") > 2)).select("node", "id", "n", "component", "members", (F.col("component") != F.col("main")).alias("outside")), "open", small=True)
+    open_ = written(named.join(split, "node").where((F.col("id") != F.col("leader")) & (F.col("members") > 2)).select("node", "id", "n", "component", "members", (F.col("component") != F.col("main")).alias("outside")), "open", small=True, into=done)
     pairwise = open_.where(F.col("members") <= PAIRWISE)
     one, two = (pairwise.select("node", *(F.col(c).alias(f"{p}_{c}") for c in ("id", "n", "component", "outside"))) for p in ("x", "y"))
     apart = (F.col("x_component") != F.col("y_component")) & _alike("x_n", "y_n", percent) & (~F.col("y_outside") | (F.col("x_id") < F.col("y_id")))
     second = one.where("x_outside").join(two, "node").where(apart).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
     large = open_.where(F.col("members") > PAIRWISE)
     count = large.groupBy("node").agg(F.count_if("outside").alias("outsiders"))
-    more = written(verified(second, texts, percent, shingle).unionByName(cell_links(large.join(count.where("outsiders > 0"), "node"), texts, percent, shingle)), "links-2", small=True)
+    more = written(verified(second, texts, percent, shingle).unionByName(cell_links(large.join(count.where("outsiders > 0"), "node"), texts, percent, shingle)), "links-2", small=True, into=done)
     whole = components(links.unionByName(more))
+    drop_written(*done)  # what follows reads the sketches and the last edges only
 
     named = classes.select("hi", "lo", "id").join(whole, "id", "left").select("hi", "lo", F.coalesce("component", "id").alias("component"))
     out = sets.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("hi")).alias("hi"), F.when(F.col("n") > 0, F.col("lo")).alias("lo")).join(named, ["hi", "lo"], "left")
