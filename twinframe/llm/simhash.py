@@ -212,5 +212,6 @@ def within_radius(queries: DataFrame, table: DataFrame, radius: int = RADIUS, bi
             keep = [r for r in range(rows.num_rows) if distance[r] <= radius and (keys[r][0], keys[r][1]) == (order[0, r], order[1, r])]
             yield pa.record_batch([rows.column(1).take(pa.array(keep, pa.int64())), rows.column(2).take(pa.array(keep, pa.int64())), pa.array(distance[keep].astype(np.int32))], ["query", "found", "distance"])
 
-    met = keyed(queries, "query").join(keyed(table, "found"), "key")
+    # sorted on both sides at every size: which side happens to be small must not decide the plan
+    met = keyed(queries, "query").hint("merge").join(keyed(table, "found"), "key")
     return met.select("key", "query", "found").mapInArrow(test, "query string, found string, distance int")
