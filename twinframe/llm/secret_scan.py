@@ -91,7 +91,9 @@ def scan(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES)
         todo = F.array_except(todo, F.coalesce(F.col("seen"), F.array().cast("array<string>")))
     blobs = blobs.select("blob", "text", todo.alias("rules")).where(F.size("rules") > 0)
     each = [F.when(F.array_contains("rules", r.key), _spans(F.col("text"), r, k)).otherwise(F.array().cast(SPANS)) for k, r in enumerate(rules)]
-    blobs.select("blob", "rules", F.array_sort(F.concat(*each)).alias("spans")).write.mode("append").parquet(ledger_path)
+    found = blobs.select("blob", "rules", F.array_sort(F.concat(*each)).alias("spans"))
+    # findings are small beside the texts they come from, so they go to an eighth as many files
+    found.repartition(max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)).write.mode("append").parquet(ledger_path)
     return spark.read.parquet(ledger_path)
 
 
