@@ -104,6 +104,14 @@ def test_word_memory_turns_over():
         assert np.frombuffer(enc([t])[0], "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_every_letter_below_u0250_is_split_as_the_library_does():
+    enc = id_files.WordEncoder(WORD_BPE)
+    tok = tokenizers.Tokenizer.from_file(WORD_BPE)
+    texts = [f"A{chr(i)}B {chr(i)}an {chr(i)}" for i in range(0x250)] + ["Ɗan Ɓata ƐWE", "AƏB"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in enc(texts)]
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_edit_report(spark):
     got = {r.doc_id: r for r in simhash.edit_report(documents(spark).repartition(5), partitions=3).collect()}
     ids = sorted(TEXTS, reverse=True)

@@ -33,7 +33,8 @@ CACHED_CHARS = 48
 _LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", r"\t\n\v\f\r \x85\xa0"
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 _ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t\n\v\f\r a-z0-9]+")
-_OTHER = re.compile(r"[^\x00-\u012f\u0131-\u024f]")
+# What is not spelled out, and what is but for its lower case (U+0130 and 23 capitals whose small letters lie at U+0253 or above).
+_OTHER = re.compile(rf"[^\x00-\u024f]|[{''.join(c for c in map(chr, range(0x250)) if len(c.lower()) > 1 or c.lower() > chr(0x24F))}]")
 
 
 class Remembered(dict):
@@ -57,7 +58,7 @@ class Remembered(dict):
 class WordEncoder:
     """Ids of texts, as little-endian 32-bit integers, word by word.
 
-    A text whose code points are all below U+0250 (but for U+0130, which grows in lower case) is its own normal form once lower-cased, and the tokenizer's pattern can be
+    A text whose code points are all below U+0250, and stay one each and below it in lower case, is its own normal form once lower-cased, and the tokenizer's pattern can be
     stepped through here. Its words' ids are remembered; those of the slice that are not remembered go to the library in one call, joined by spaces, and
     are told apart by the tokens that end a word. The library splits such a list at its spaces only. Any other text goes to the library as it is.
     """
