@@ -66,3 +66,17 @@ def test_remove_cuts_passages_and_keeps_the_rest(spark):
     assert got[6] == passage(100, 45) + " , !"
     assert 7 not in got  # wholly benchmark
     assert got[1] is None and got[8] == TEXTS[8]
+
+
+@pytest.mark.parametrize("most", [D.MAX_ITEM_BYTES, 60])
+def test_remove_decides_and_cuts_once_on_the_hits_of_all_automata(spark, most):
+    items = spark.createDataFrame([(1, passage(0, 15)), (2, passage(20, 15)), (3, passage(10, 12)), (4, "left right")], BENCH)
+    rest = " ".join(f"z{i}" for i in range(40))
+    texts = {
+        0: f"{passage(0, 15)} {passage(20, 15)} {passage(300, 20)}",  # 30 of 50 words, 15 by each of two items
+        1: f"{passage(0, 22)} {rest}",  # two passages overlap
+        2: f"left {passage(20, 15)} right {rest}",  # cutting makes new neighbours
+        3: rest,
+    }
+    got = {r.doc_id: r.text for r in D.remove(documents(spark, texts), items, most=most).collect()}
+    assert got == {1: f" {rest}", 2: f"left  right {rest}", 3: rest}

@@ -20,14 +20,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from twinframe.llm.common import lower_ascii, map_slices, run_hashes, runs, text_bytes
+from twinframe.llm.common import drop_written, lower_ascii, map_slices, run_hashes, runs, text_bytes, written
 
 WINDOW = 10
 #: Bytes of item text that one automaton holds.
 MAX_ITEM_BYTES = 16 << 20
+_SPANS, _ITEMS = "__twinframe_spans", "__twinframe_items"
+_SPAN_LIST = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -209,6 +213,42 @@ def automata(benchmark: DataFrame, window: int = WINDOW, most: int = MAX_ITEM_BY
     yield ItemAutomaton(held, window)
 
 
+def _all_hits(rows: pa.RecordBatch, auto: ItemAutomaton) -> Iterator[tuple[int, list[tuple[int, int]], set[int], np.ndarray, np.ndarray]]:
+    """_scan_rows with the ids of items, and with what earlier passes found in the same texts."""
+    n, names = rows.num_rows, rows.schema.names
+    spans_before, items_before = (rows.column(names.index(c)).to_pylist() if c in names else [()] * n for c in (_SPANS, _ITEMS))
+    for (words, spans, items, starts, ends), more, others in zip(_scan_rows(rows, auto), spans_before, items_before, strict=True):
+        yield words, merged([*spans, *((s["a"], s["b"]) for s in more)]) if more else spans, {auto.ids[k] for k in items}.union(others), starts, ends
+
+
+def _span_lists(spans: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"a": a, "b": b} for a, b in row] for row in spans], _SPAN_LIST)
+
+
+def _up_to_last(docs: DataFrame, benchmark: DataFrame, window: int, most: int) -> tuple[DataFrame, Broadcast]:
+    """docs with the findings of all automata but the last in _SPANS and _ITEMS (as they are where there is one automaton), and the last one.
+
+    Every pass reads the texts as they came, and rows stay rows. A table ends each pass, so a worker holds one automaton.
+    """
+    span = StructType([StructField("a", LongType()), StructField("b", LongType())])
+    schema = StructType([*docs.schema.fields, StructField(_SPANS, ArrayType(span)), StructField(_ITEMS, ArrayType(LongType()))])
+    columns, last, table = docs.columns, None, None
+    for shared in map(docs.sparkSession.sparkContext.broadcast, automata(benchmark, window, most)):
+        if last is not None:
+
+            def step(rows: pa.RecordBatch, last=last) -> pa.RecordBatch:
+                got = list(_all_hits(rows, last.value))
+                return pa.record_batch([*rows.columns[: len(columns)], _span_lists([g[1] for g in got]), pa.array([sorted(g[2]) for g in got], pa.list_(pa.int64()))], [*columns, _SPANS, _ITEMS])
+
+            docs = written(map_slices(docs, docs.columns, step, schema), "scanned")
+            if table is not None:
+                drop_written(table)
+            table = docs
+            last.unpersist()
+        last = shared
+    return docs, last
+
+
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MAX_ITEM_BYTES) -> DataFrame:
     """doc_id, n_words, spans (hit runs as array of word intervals) and items (ids with occurring windows) of every row of docs."""
     schema = "doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<long>"
@@ -263,43 +303,41 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: in
     )
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.5) -> DataFrame:
+def remove(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.5, most: int = MAX_ITEM_BYTES) -> DataFrame:
     """docs (same columns) without its hit spans; a document of which more than `max_coverage` of the words are hit goes whole.
 
     A span is cut from its first word's first byte to its last word's last byte and leaves the text around it as it was; n_chars, if there,
-    is counted anew for changed texts. Items must fit one automaton (MAX_ITEM_BYTES); of more, each automaton makes its own pass.
+    is counted anew for changed texts. Coverage is decided, and texts are cut, once, on what all automata found.
     """
     columns, place = docs.columns, docs.columns.index("text")
     schema = docs.schema
-    for auto in automata(benchmark, window):
-        shared = docs.sparkSession.sparkContext.broadcast(auto)
-
-        def step(rows: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            keep, texts, changed = [], [], []
-            for r, (n, spans, _, starts, ends) in enumerate(_scan_rows(rows, shared.value)):
-                if not spans:
-                    keep.append(r)
-                    texts.append(rows.column(place)[r].as_py())
-                    changed.append(False)
-                elif sum(b - a for a, b in spans) <= max_coverage * n:
-                    raw, out, at = rows.column(place)[r].as_py().encode(), [], 0
-                    for a, b in spans:
-                        out.append(raw[at : starts[a]])
-                        at = int(ends[b - 1])
-                    keep.append(r)
-                    texts.append(b"".join([*out, raw[at:]]).decode())
-                    changed.append(True)
-            taken = rows.take(pa.array(keep, pa.int64()))
-            arrays = list(taken.columns)
-            arrays[place] = pa.array(texts, pa.string())
-            if "n_chars" in columns and any(changed):
-                k = columns.index("n_chars")
-                old = taken.column(k).to_pylist()
-                arrays[k] = pa.array([len(t) if c else o for t, c, o in zip(texts, changed, old, strict=True)], taken.column(k).type)
-            return pa.record_batch(arrays, columns)
-
-        docs = map_slices(docs, columns, step, schema)
-    return docs
+    docs, shared = _up_to_last(docs, benchmark, window, most)
+
+    def step(rows: pa.RecordBatch) -> pa.RecordBatch:
+        keep, texts, changed = [], [], []
+        for r, (n, spans, _, starts, ends) in enumerate(_all_hits(rows, shared.value)):
+            if not spans:
+                keep.append(r)
+                texts.append(rows.column(place)[r].as_py())
+                changed.append(False)
+            elif sum(b - a for a, b in spans) <= max_coverage * n:
+                raw, out, at = rows.column(place)[r].as_py().encode(), [], 0
+                for a, b in spans:
+                    out.append(raw[at : starts[a]])
+                    at = int(ends[b - 1])
+                keep.append(r)
+                texts.append(b"".join([*out, raw[at:]]).decode())
+                changed.append(True)
+        taken = rows.take(pa.array(keep, pa.int64()))
+        arrays = list(taken.columns)[: len(columns)]
+        arrays[place] = pa.array(texts, pa.string())
+        if "n_chars" in columns and any(changed):
+            k = columns.index("n_chars")
+            old = taken.column(k).to_pylist()
+            arrays[k] = pa.array([len(t) if c else o for t, c, o in zip(texts, changed, old, strict=True)], taken.column(k).type)
+        return pa.record_batch(arrays, columns)
+
+    return map_slices(docs, docs.columns, step, schema)
 
 
 def digest(items: set[int]) -> str:
