@@ -80,3 +80,11 @@ def test_remove_decides_and_cuts_once_on_the_hits_of_all_automata(spark, most):
     }
     got = {r.doc_id: r.text for r in D.remove(documents(spark, texts), items, most=most).collect()}
     assert got == {1: f" {rest}", 2: f"left  right {rest}", 3: rest}
+
+
+@pytest.mark.parametrize("most", [D.MAX_ITEM_BYTES, 60])
+def test_rows_of_one_or_no_id_stay_apart(spark, most):
+    texts = [(7, passage(12, 14)), (7, "a " + passage(12, 14) + " b c"), (7, "same same"), (None, passage(205, 11)), (None, "a b"), (None, None)]
+    got = D.report(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(ITEMS, BENCH), most=most).collect()
+    want = [(d, *brute({0: t}, ITEMS)[0]) for d, t in texts]
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got), key=str) == sorted(want, key=str)

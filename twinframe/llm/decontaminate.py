@@ -6,8 +6,8 @@ through the automaton, which keeps the length of the longest match that ends at
 
 A vectorised first look keeps only stretches in which every word is an item's word and every pair of neighbours is a pair of some item.
 Every occurrence of a window lies in such a stretch, so the automaton sees all of them. Nothing is shuffled: the automaton goes to the
-documents. It is only broadcast up to MAX_ITEM_BYTES of item text; more items are dealt to several automata, whose findings are merged
-by document.
+documents. It is only broadcast up to MAX_ITEM_BYTES of item text; more items are dealt to several automata, which scan the documents one
+after another, each adding its findings to the row.
 
 Null and empty texts have no words and are never hit; items with null ids or texts are ignored; equal items with different ids all count.
 """
@@ -251,39 +251,16 @@ def _up_to_last(docs: DataFrame, benchmark: DataFrame, window: int, most: int) -
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MAX_ITEM_BYTES) -> DataFrame:
     """doc_id, n_words, spans (hit runs as array of word intervals) and items (ids with occurring windows) of every row of docs."""
-    schema = "doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<long>"
-    parts = []
-    for auto in automata(benchmark, window, most):
-        shared = docs.sparkSession.sparkContext.broadcast(auto)
-
-        def step(rows: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            auto = shared.value
-            got = list(_scan_rows(rows, auto))
-            return pa.record_batch(
-                [
-                    rows.column(0),
-                    pa.array([g[0] for g in got], pa.int64()),
-                    pa.array([[{"a": a, "b": b} for a, b in g[1]] for g in got], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
-                    pa.array([sorted({auto.ids[k] for k in g[2]}) for g in got], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "n_words", "spans", "items"],
-            )
-
-        parts.append(map_slices(docs, ["doc_id", "text"], step, schema))
-    if len(parts) == 1:
-        return parts[0]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    # One row for each automaton and document meets here, whatever the number of hits.
-    grouped = every.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-
-    def union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            spans = [[{"a": a, "b": b} for a, b in merged([(s["a"], s["b"]) for s in row])] for row in rows.column(2).to_pylist()]
-            yield pa.record_batch([rows.column(0), rows.column(1), pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), rows.column(3)], ["doc_id", "n_words", "spans", "items"])
-
-    return grouped.mapInArrow(union, schema)
+    docs, shared = _up_to_last(docs.select("doc_id", "text"), benchmark, window, most)
+
+    def step(rows: pa.RecordBatch) -> pa.RecordBatch:
+        got = list(_all_hits(rows, shared.value))
+        return pa.record_batch(
+            [rows.column(0), pa.array([g[0] for g in got], pa.int64()), _span_lists([g[1] for g in got]), pa.array([sorted(g[2]) for g in got], pa.list_(pa.int64()))],
+            ["doc_id", "n_words", "spans", "items"],
+        )
+
+    return map_slices(docs, docs.columns, step, "doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<long>")
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MAX_ITEM_BYTES) -> DataFrame:
