@@ -153,3 +153,18 @@ def test_streaming_ingest_upserts(spark, tmp_path):
     (folder / "note.txt").write_text("no image")
     run()
     assert spark.read.parquet(str(tmp_path / "index/v=1")).count() == 2
+
+
+def test_homographies_of_few_inliers_are_found():
+    found = 0
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        src, dst = rng.uniform(0, 400, (100, 2)), rng.uniform(0, 400, (100, 2))
+        dst[:20] = G.project(np.array([[1.1, 0.05, 5], [-0.04, 0.95, 9], [1e-4, -5e-5, 1]]), src[:20])
+        found += int(G.homography(src, dst, seed, 2.0)[1][:20].sum()) == 20
+    assert found >= 19
+
+
+def test_detailed_images_keep_their_keypoints():
+    image = np.random.default_rng(5).integers(0, 256, (300, 300), dtype=np.uint8)
+    assert 400 < len(G.keypoints(image)[0]) <= 4000

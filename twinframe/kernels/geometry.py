@@ -7,7 +7,13 @@ import numpy as np
 from twinframe.kernels.pixels import area_resize, filtered, gaussian, gradients, gray
 
 
-def keypoints(image: np.ndarray, most: int = 400, patch: int = 16) -> tuple[np.ndarray, np.ndarray]:
+#: Keypoints of an image, and samples of a search for a homography, at most.
+KEYPOINTS, ROUNDS = 4000, 5000
+#: Rows of descriptors compared at a time, and samples fitted at a time.
+BLOCK, BATCH = 256, 100
+
+
+def keypoints(image: np.ndarray, most: int = KEYPOINTS, patch: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """Harris corners (x, y) that are local maxima, strongest first, and their descriptors: gradient orientations in 4 x 4 cells of a patch, normalised."""
     smooth = filtered(gray(image), gaussian(3))
     gx, gy = gradients(smooth)
@@ -42,13 +48,17 @@ def ratio_matches(a: np.ndarray, b: np.ndarray, ratio: float = 0.75, mutual: boo
         return np.zeros((0, 2), int)
 
     def oneway(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        d = np.sqrt(np.clip((x**2).sum(1)[:, None] + (y**2).sum(1)[None] - 2 * x @ y.T, 0, None))
-        two = np.argpartition(d, 1, axis=1)[:, :2]
-        near = np.take_along_axis(d, two, 1)
-        two = np.take_along_axis(two, np.argsort(near, axis=1, kind="stable"), 1)
-        near = np.sort(near, axis=1)
-        good = np.flatnonzero(near[:, 0] < ratio * near[:, 1])
-        return np.stack([good, two[good, 0]], axis=1)
+        out, squares = [], (y**2).sum(1)[None]
+        for at in range(0, len(x), BLOCK):
+            part = x[at : at + BLOCK]
+            d = np.sqrt(np.clip((part**2).sum(1)[:, None] + squares - 2 * part @ y.T, 0, None))
+            two = np.argpartition(d, 1, axis=1)[:, :2]
+            near = np.take_along_axis(d, two, 1)
+            two = np.take_along_axis(two, np.argsort(near, axis=1, kind="stable"), 1)
+            near = np.sort(near, axis=1)
+            good = np.flatnonzero(near[:, 0] < ratio * near[:, 1])
+            out.append(np.stack([at + good, two[good, 0]], axis=1))
+        return np.concatenate(out)
 
     there = oneway(a, b)
     if not mutual:
@@ -57,43 +67,69 @@ def ratio_matches(a: np.ndarray, b: np.ndarray, ratio: float = 0.75, mutual: boo
     return np.array([p for p in there if (int(p[0]), int(p[1])) in back], int).reshape(-1, 2)
 
 
-def fit_homography(src: np.ndarray, dst: np.ndarray) -> np.ndarray | None:
-    """The normalised direct linear transform."""
+def fit_homographies(src: np.ndarray, dst: np.ndarray) -> np.ndarray:
+    """The normalised direct linear transform of each set of points (sets x points x 2); nan where there is none."""
+
+    def norm(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        mid = p.mean(axis=1, keepdims=True)
+        s = np.sqrt(2) / np.maximum(np.linalg.norm(p - mid, axis=2).mean(axis=1), 1e-12)
+        t = np.zeros((len(p), 3, 3))
+        t[:, 0, 0] = t[:, 1, 1] = s
+        t[:, :2, 2] = -s[:, None] * mid[:, 0]
+        t[:, 2, 2] = 1
+        back = np.zeros_like(t)
+        back[:, 0, 0] = back[:, 1, 1] = 1 / s
+        back[:, :2, 2] = mid[:, 0]
+        back[:, 2, 2] = 1
+        return (p - mid) * s[:, None, None], t, back
+
+    (p, tp, _), (q, _, back) = norm(src), norm(dst)
+    x, y, u, v = p[..., 0], p[..., 1], q[..., 0], q[..., 1]
+    o, z = np.ones_like(x), np.zeros_like(x)
+    a = np.concatenate([np.stack([x, y, o, z, z, z, -u * x, -u * y, -u], 2), np.stack([z, z, z, x, y, o, -v * x, -v * y, -v], 2)], 1)
+    # of many points only the 9 x 9 factor is needed; four points have a null vector beyond their 8 rows
+    h = back @ np.linalg.svd(np.linalg.qr(a, "r") if a.shape[1] > 9 else a)[2][:, -1].reshape(-1, 3, 3) @ tp
+    last = h[:, 2:, 2:]
+    return np.where(np.abs(last) > 1e-12, h / np.where(np.abs(last) > 1e-12, last, 1), np.nan)
 
-    def norm(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        mid = p.mean(axis=0)
-        s = np.sqrt(2) / max(np.linalg.norm(p - mid, axis=1).mean(), 1e-12)
-        return (p - mid) * s, np.array([[s, 0, -s * mid[0]], [0, s, -s * mid[1]], [0, 0, 1]])
 
-    (p, tp), (q, tq) = norm(src), norm(dst)
-    x, y, u, v = p[:, 0], p[:, 1], q[:, 0], q[:, 1]
-    o, z = np.ones(len(p)), np.zeros(len(p))
-    a = np.concatenate([np.stack([x, y, o, z, z, z, -u * x, -u * y, -u], 1), np.stack([z, z, z, x, y, o, -v * x, -v * y, -v], 1)])
+def fit_homography(src: np.ndarray, dst: np.ndarray) -> np.ndarray | None:
+    """The normalised direct linear transform."""
     try:
-        h = np.linalg.inv(tq) @ np.linalg.svd(a)[2][-1].reshape(3, 3) @ tp
+        h = fit_homographies(src[None], dst[None])[0]
     except np.linalg.LinAlgError:
         return None
-    return h / h[2, 2] if abs(h[2, 2]) > 1e-12 else None
+    return h if np.isfinite(h).all() else None
 
 
 def project(h: np.ndarray, p: np.ndarray) -> np.ndarray:
-    q = np.c_[p, np.ones(len(p))] @ h.T
-    return q[:, :2] / np.where(np.abs(q[:, 2:]) < 1e-12, 1e-12, q[:, 2:])
+    q = np.c_[p, np.ones(len(p))] @ np.swapaxes(h, -1, -2)
+    return q[..., :2] / np.where(np.abs(q[..., 2:]) < 1e-12, 1e-12, q[..., 2:])
+
 
+def homography(src: np.ndarray, dst: np.ndarray, seed: int, threshold: float = 5.0, rounds: int = ROUNDS, confidence: float = 0.999) -> tuple[np.ndarray | None, np.ndarray, float]:
+    """Seeded random sample consensus from src to dst: the matrix, the inlier mask and their root mean square error (infinite without a fit).
 
-def homography(src: np.ndarray, dst: np.ndarray, seed: int, threshold: float = 5.0, rounds: int = 500) -> tuple[np.ndarray | None, np.ndarray, float]:
-    """Seeded random sample consensus from src to dst: the matrix, the inlier mask and their root mean square error (infinite without a fit)."""
+    Sampling ends once a sample of inliers only, at the best share of inliers so far, has been drawn with `confidence`; after `rounds` samples at the latest.
+    """
     none = None, np.zeros(len(src), bool), float("inf")
     if len(src) < 4:
         return none
-    rng, best = np.random.default_rng(seed), none[1]
-    for _ in range(rounds):
-        pick = rng.choice(len(src), 4, replace=False)
-        h = fit_homography(src[pick], dst[pick])
-        if h is not None:
-            good = np.linalg.norm(project(h, src) - dst, axis=1) <= threshold
-            if good.sum() > best.sum():
-                best = good
+    rng, best, done, needed = np.random.default_rng(seed), none[1], 0, float(rounds)
+    while done < min(rounds, needed):
+        size = min(BATCH, rounds - done)
+        done += size
+        pick = rng.random((size, len(src))).argpartition(3, axis=1)[:, :4]
+        try:
+            h = fit_homographies(src[pick], dst[pick])
+        except np.linalg.LinAlgError:
+            continue
+        good = np.linalg.norm(project(h, src) - dst, axis=2) <= threshold
+        count = good.sum(axis=1)
+        if count.max() > best.sum():
+            best = good[count.argmax()]
+            clean = (best.sum() / len(src)) ** 4
+            needed = np.log(1 - confidence) / np.log1p(-clean) if clean < 1 else 0.0
     if best.sum() < 4:
         return none
     h = fit_homography(src[best], dst[best])

@@ -22,20 +22,28 @@ class Pairing:
     ncc: float = 0.65
     ecc: bool = True
     gradient: bool = True
+    keypoints: int = geometry.KEYPOINTS
+    rounds: int = geometry.ROUNDS
+    confidence: float = 0.999
 
 
-def described(images: DataFrame) -> DataFrame:
+#: Images that leave described() at a time.
+DESCRIBED = 16
+
+
+def described(images: DataFrame, p: Pairing = Pairing()) -> DataFrame:
     """rel, png, points, descriptors of images (rel, content)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for rel, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                image = pixels.decode_png(content or b"")
-                if image is not None:
-                    points, found = geometry.keypoints(image)
-                    out.append((rel, content, points.astype("<f4").tobytes(), found.astype("<f4").tobytes()))
-            yield pa.record_batch([pa.array([r[k] for r in out], pa.string() if not k else pa.binary()) for k in range(4)], ["rel", "png", "points", "descriptors"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, DESCRIBED):
+                batch, out = whole.slice(at, DESCRIBED), []
+                for rel, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    image = pixels.decode_png(content or b"")
+                    if image is not None:
+                        points, found = geometry.keypoints(image, p.keypoints)
+                        out.append((rel, content, points.astype("<f4").tobytes(), found.astype("<f4").tobytes()))
+                yield pa.record_batch([pa.array([r[k] for r in out], pa.string() if not k else pa.binary()) for k in range(4)], ["rel", "png", "points", "descriptors"])
 
     return images.select("rel", "content").mapInArrow(run, "rel string, png binary, points binary, descriptors binary")
 
@@ -54,7 +62,7 @@ def scored(pairs: DataFrame, refs: DataFrame, extracted: DataFrame, p: Pairing =
         points = [np.frombuffer(x, "<f4").reshape(-1, 2).astype(float) for x in (ap, bp)]
         found = [np.frombuffer(x, "<f4").reshape(-1, 128).astype(float) for x in (ad, bd)]
         matches = geometry.ratio_matches(*found, p.ratio, p.mutual)
-        h, good, rmse = geometry.homography(points[0][matches[:, 0]], points[1][matches[:, 1]], seed & 0x7FFFFFFF, p.threshold)
+        h, good, rmse = geometry.homography(points[0][matches[:, 0]], points[1][matches[:, 1]], seed & 0x7FFFFFFF, p.threshold, p.rounds, p.confidence)
         n, inliers = len(matches), int(good.sum())
         if h is None:
             return n, 0, 0.0, None, 0.0, 0.0, 0.0, 0.0, False, None
