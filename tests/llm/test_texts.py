@@ -82,6 +82,25 @@ def test_id_files_hold_what_the_library_says(spark, tmp_path):
     assert [r.doc_id for r in id_files.lookup(spark, path, [7, 999]).collect()] == [7]
 
 
+def test_starts_are_places_in_the_files(spark, tmp_path):
+    rows = [(d, t) for d in (3, None, 4) for t in ("a b c", "a b", "", None, "q w e r t", "a b", "z " * 40)] + [(2, "x y")]
+    path = str(tmp_path / "ids")
+    id_files.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), WORD_BPE, path, partitions=5)
+    at, want = 0, []
+    for r in id_files.read(spark, path).orderBy("part", "row").collect():
+        want.append((r.doc_id, at, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes())))
+        at += len(r.ids)
+    assert [w[0] for w in want] == [None] * 7 + [2] + [3] * 7 + [4] * 7
+    assert sorted(map(tuple, id_files.index(spark, path).collect()), key=str) == sorted(want, key=str)
+
+
+def test_parts_are_ordered_by_number(spark, tmp_path):
+    rows = [(0, [5, 2], 99_999, 0), (1, [6, 7, 2], 100_000, 0), (2, [2], 100_000, 1), (3, [8, 2], 100_001, 0)]
+    path = str(tmp_path / "ids")
+    spark.createDataFrame(rows, id_files._FILE).repartition(3).write.orc(path)
+    assert sorted((r.doc_id, r.start) for r in id_files.index(spark, path).collect()) == [(0, 0), (1, 2), (2, 5), (3, 6)]
+
+
 def test_id_files_are_orc_with_bloom_filters(spark, tmp_path):
     import glob
 

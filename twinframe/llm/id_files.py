@@ -3,10 +3,11 @@
 Documents are dealt by ranges of doc_id and sorted in them, encoded after the shuffle (so the text moves, once, and nothing is encoded for
 the range sample), and written as array<int>. ORC's integer columns are run-length encoded in stripes; each stripe is an independent unit
 of reading, its row index holds the least and greatest doc_id of every `row_index_stride` rows, and a Bloom filter on doc_id lets a
-point lookup skip the groups that cannot hold it. Files sort by name as their ranges do.
+point lookup skip the groups that cannot hold it. Each row also holds its file's number and its own place in the file, so the order of the
+whole is read from the files and never from their names (which sort wrongly from the 100,000th on).
 
-A null or empty text is the end id alone. Rows of equal doc_id stay next to each other, in an order fixed by their ids' content; a null
-doc_id comes first.
+A null or empty text is the end id alone. Rows of equal doc_id stay next to each other, in an order fixed by their texts' hashes, and may be
+dealt to several files; a null doc_id comes first.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from tokenizers import Tokenizer, normalizers, pre_tokenizers
 from twinframe.llm.common import map_slices, written
 
 END_ID = 2
+_FILE = "doc_id long, ids array<int>, part int, row long"
 #: Distinct words of which each generation of a worker's memory holds the ids.
 CACHE_ENTRIES = 300_000
 #: Longer words are encoded each time.
@@ -132,37 +134,53 @@ def write(docs: DataFrame, tokenizer_file: str, path: str, partitions: int | Non
     """Writes the ids of docs to ORC files at path, ascending by doc_id over the files in order of their names."""
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = docs.select("doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    out = encode(dealt, tokenizer_file, end_id).write
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    dealt = docs.select("doc_id", "text").repartitionByRange(n, *order).sortWithinPartitions(*order)
     options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": str(row_index_stride), "orc.stripe.size": str(stripe_bytes), "compression": "zstd"}
-    out.options(**options).orc(path)
+    numbered(encode(dealt, tokenizer_file, end_id)).write.options(**options).orc(path)
+
+
+def numbered(encoded: DataFrame) -> DataFrame:
+    """encoded (doc_id, ids) with part (the number of its task, which is its file's) and row (its place in the task's order)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, at = TaskContext.get().partitionId(), 0
+        for rows in batches:
+            n = rows.num_rows
+            yield pa.record_batch([*rows.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n))], ["doc_id", "ids", "part", "row"])
+            at += n
+
+    return encoded.mapInArrow(run, _FILE)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, ids, and file (its name) and row (its position in the file's order): stripes are read in parallel."""
-    return spark.read.schema("doc_id long, ids array<int>").orc(path).select("doc_id", "ids", F.col("_metadata.file_name").alias("file"))
+    """doc_id, ids, part and row: the documents' order is that of (part, row). Stripes are read in parallel."""
+    return spark.read.schema(_FILE).orc(path)
 
 
 def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """The rows of a few documents; stripes and row groups are pruned by their statistics and Bloom filters."""
-    return spark.read.schema("doc_id long, ids array<int>").orc(path).where(F.col("doc_id").isin(doc_ids))
+    """doc_id and ids of a few documents; stripes and row groups are pruned by their statistics and Bloom filters."""
+    return read(spark, path).where(F.col("doc_id").isin(doc_ids)).select("doc_id", "ids")
 
 
 def index(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32 (ids as little-endian unsigned 32-bit integers)."""
+    schema = "doc_id long, part int, row long, n_tokens long, ids_crc32 long"
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             ids = rows.column(1)
             ends = ids.offsets.to_numpy().astype(np.int64)
             flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
-            crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-            yield pa.record_batch([rows.column(0), rows.column(2), pa.array(np.diff(ends)), pa.array(crc, pa.int64())], ["doc_id", "file", "n_tokens", "ids_crc32"])
+            crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            yield pa.record_batch([rows.column(0), rows.column(2), rows.column(3), pa.array(np.diff(ends)), pa.array(crc, pa.int64())], ["doc_id", "part", "row", "n_tokens", "ids_crc32"])
 
-    rows = written(read(spark, path).mapInArrow(step, "doc_id long, file string, n_tokens long, ids_crc32 long"), "id-index")
+    rows = written(read(spark, path).mapInArrow(step, schema), "id-index")
     # Two levels of prefix sums: rows in their file, then files; the second has one row for each file.
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("_sum"))
-    files = files.select(F.col("file").alias("_file"), (F.sum("_sum").over(Window.orderBy("file")) - F.col("_sum")).alias("_before"))
-    within = Window.partitionBy("file").orderBy("doc_id", "n_tokens", "ids_crc32").rowsBetween(Window.unboundedPreceding, 0)
+    files = rows.groupBy("part").agg(F.sum("n_tokens").alias("_sum"))
+    files = files.select(F.col("part").alias("_part"), (F.sum("_sum").over(Window.orderBy("part")) - F.col("_sum")).alias("_before"))
+    within = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
     summed = rows.withColumn("_upto", F.sum("n_tokens").over(within))
-    return summed.join(files, F.col("file") == F.col("_file")).select("doc_id", (F.col("_before") + F.col("_upto") - F.col("n_tokens")).alias("start"), "n_tokens", "ids_crc32")
+    return summed.join(files, F.col("part") == F.col("_part")).select("doc_id", (F.col("_before") + F.col("_upto") - F.col("n_tokens")).alias("start"), "n_tokens", "ids_crc32")
