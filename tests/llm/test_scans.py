@@ -5,6 +5,8 @@ import random
 import re
 
 import numpy as np
+import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.cases import TEXTS, documents, empty
@@ -83,9 +85,12 @@ def conversations():
     return rows
 
 
+TOKENS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def test_chats_read_back_as_they_were(spark):
     rows = conversations()
-    made = chat_format.windows(spark.createDataFrame(rows, TURNS).repartition(4), budget=300)
+    made = chat_format.windows(spark.createDataFrame(rows, TURNS).repartition(4), *TOKENS, budget=300)
     got = {r.conv_id: r for r in chat_format.read_back(made).collect()}
     for c in {r[0] for r in rows}:
         own = sorted(((-1 if r[1] is None else r[1]), r[2] or "", r[3] or "") for r in rows if r[0] == c)
@@ -93,12 +98,12 @@ def test_chats_read_back_as_they_were(spark):
         assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, r, t in own).encode()).hexdigest()
         assert (got[c].n_turns, got[c].loss_chars, got[c].loss_sha256) == (len(own), len(target), hashlib.sha256(target.encode()).hexdigest())
     assert max(r.n_windows for r in got.values()) > 3
-    assert chat_format.read_back(chat_format.windows(spark.createDataFrame([], TURNS))).count() == 0
+    assert chat_format.read_back(chat_format.windows(spark.createDataFrame([], TURNS), *TOKENS)).count() == 0
 
 
 def test_windows_repeat_system_and_history_and_keep_their_budget(spark):
     rows = [(1, 0, "system", "be brief", 0, 0)] + [(1, t, ("user", "assistant")[t % 2], f"turn {t} " * 10, 0, 0) for t in range(1, 600)]
-    got = chat_format.windows(spark.createDataFrame(rows, TURNS), budget=400, history=2).orderBy("window").collect()
+    got = chat_format.windows(spark.createDataFrame(rows, TURNS), *TOKENS, budget=400, history=2).orderBy("window").collect()
     assert len(got) > 10 and not any(r.oversize for r in got)
     for r in got[1:]:
         turns = chat_format._TURN.findall(r.formatted)
@@ -107,6 +112,55 @@ def test_windows_repeat_system_and_history_and_keep_their_budget(spark):
         assert masked == [t for role, t in turns[3:] if role == "assistant"]
 
 
+def held(formatted):
+    """The turns of a window, unescaped."""
+    return [(chat_format.unescape(a), chat_format.unescape(b)) for a, b in chat_format._TURN.findall(formatted)]
+
+
+def test_windows_equal_brute_force_and_pass_the_budget_only_by_one_turn(spark):
+    from twinframe.llm import byte_bpe
+
+    enc, budget, history = byte_bpe.encoder(*TOKENS), 120, 3
+    rows = conversations() + [(30, 0, "system", "s " * 200, 0, 0), (30, 1, "user", "u", 0, 0), (30, 2, "assistant", "v", 0, 0), (31, 0, "system", "s " * 70, 0, 0)]
+    rows += [(31, t, "user", "w " * (t * 7 % 30), 0, 0) for t in range(1, 80)] + [(None, t, "assistant", "n", 0, 0) for t in range(40)]
+    esc = lambda t: t.replace("\\", "\\\\").replace("<|", "<\\|")
+    say = lambda r, t: f"<|im_start|>{esc(r)}\n{esc(t)}<|im_end|>\n".replace(esc(r) + "\n", esc(r).replace("\n", "\\n") + "\n", 1)
+    count = lambda r, t: len(enc.encode_ordinary(say(r, t)))
+    got = {}
+    for r in chat_format.windows(spark.createDataFrame(rows, TURNS).repartition(4), *TOKENS, budget=budget, history=history).orderBy("conv_id", "window").collect():
+        got.setdefault(r.conv_id, []).append(r)
+    for c in {r[0] for r in rows}:
+        turns = [(r or "", t or "") for _, r, t in sorted(((-1 if r[1] is None else r[1]), r[2] or "", r[3] or "") for r in rows if r[0] == c)]
+        system = turns[0] if turns[0][0] == "system" else None
+        at = 0
+        for w in got[c]:
+            turn = held(w.formatted)
+            own = turn[w.n_repeated :]
+            assert own == turns[at : at + len(own)] and own
+            assert w.n_tokens == len(enc.encode_ordinary(w.formatted)) == sum(count(*t) for t in turn)
+            first = [system] if system and at else []
+            assert turn[: len(first)] == first
+            back = turn[len(first) : w.n_repeated]
+            assert back == turns[at - len(back) : at] and len(back) <= history
+            more = turns[max(1 if system else 0, at - history) : at]
+            if len(back) < len(more):  # the next one back has no room
+                assert w.n_tokens + count(*more[-len(back) - 1]) > budget
+            assert w.oversize == (w.n_tokens > budget)
+            if w.oversize:
+                assert len([t for t in own if t != system or at]) <= 1 and not back
+            at += len(own)
+        assert at == len(turns)
+    size = {r.conv_id: r.formatted_chars for r in chat_format.read_back(chat_format.windows(spark.createDataFrame(rows, TURNS), *TOKENS, budget=budget, history=history)).collect()}
+    assert size == {c: sum(len(w.formatted) for w in ws) for c, ws in got.items()}
+
+
+@pytest.mark.parametrize("scale", ["0.01", "0.1"])
+def test_no_window_of_the_fixture_passes_the_budget_but_by_one_turn(spark, scale):
+    turns = spark.read.parquet(f"/root/testdata/sf{scale}/conversations.parquet")
+    over = chat_format.windows(turns, *TOKENS).where("oversize").collect()
+    assert all(len(held(r.formatted)) - r.n_repeated - (held(r.formatted)[0][0] == "system" and not r.n_repeated) <= 1 for r in over)
+
+
 def test_ordinal_regression_recovers_an_order():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(600, 5))

@@ -3,14 +3,17 @@
 The template writes a turn as <|im_start|>role, a line feed, its text, <|im_end|>, a line feed. Inside roles and texts a backslash is written twice and
 "<|" as "<\\|" (in roles a line feed as backslash n), so no text can open or close a turn and everything is read back as it was.
 
-Prefix sums of the turns' tokens cut a conversation on a grid of half the budget: a turn belongs to the window in which it starts. A window repeats the
-conversation's system turn (if it opens with one) and its last `history` turns before the window, and holds under loss the texts of its own assistant turns
-only: repeated ones are masked, so each assistant text is a target once. Tokens are counted as UTF-8 bytes over 4, rounded up.
-A window is within the budget when its system and history turns take a quarter of it and no single turn takes more than another quarter; turns are never cut, so
-longer ones make a window that is marked oversize.
-
-Turns are ordered by (turn, role, text), nulls first; a null role or text is empty; rows may repeat; a null conv_id is a conversation of its own.
-A conversation's turns are numbered and summed in two levels (blocks of turn numbers, then blocks), so one hot conversation is dealt to many tasks.
+Tokens are the tokenizer's, template included. Its pattern parts at the line feed between two turns, so a window's tokens are the sum of its turns'.
+Prefix sums of them choose the windows. The room of a conversation is the budget less its system turn (if it opens with one). The sums are cut on a grid of half
+the room: a turn belongs to the cell in which it starts. A cell's last turn reaches beyond it; where the cell would then pass the room, that turn is a window of
+its own. So a window passes the budget (`oversize`) only where the system turn and one turn of its own already do: turns are never cut.
+
+A window repeats the system turn and those of the `history` turns before it, the nearest first, that still fit. It holds under loss the texts of its own assistant
+turns only: repeated ones are masked, so each assistant text is a target once.
+
+Turns are ordered by (turn, role, text), nulls first and among themselves by a hash; a null role or text is empty; rows may repeat; a null conv_id is a conversation
+of its own. A conversation's turns are numbered and summed in two levels (blocks of turn numbers, then blocks), and its system turn is dealt to its windows in
+portions, so one hot conversation is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -23,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from twinframe.llm.byte_bpe import encode_text, encoder
 from twinframe.llm.common import text_slices
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 BUDGET = 1024
 HISTORY = 2
-#: Turn numbers of one block.
-BLOCK = 256
+#: Turn numbers of one block, and cells of one portion.
+BLOCK, PORTION = 256, 1024
+_NO_TURN = -(1 << 62)
 _TURN = re.compile(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>\n", re.S)
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
@@ -42,36 +47,70 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: "\n" if m[1] == "n" else m[1], text)
 
 
-def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """conv_id, window, n_repeated (leading turns repeated from before), loss (array of code point intervals of `formatted`), n_tokens, oversize, formatted."""
+def said(turns: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """conv_id, turn, role, said (the formatted turn), head and body (code points before and of its text) and tokens of every row of turns."""
     role, text = F.coalesce(F.col("role"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
     head = F.concat(F.lit(OPEN), F.replace(escaped(role), F.lit("\n"), F.lit("\\n")), F.lit("\n"))
     body = escaped(text)
-    said = F.concat(head, body, F.lit(CLOSE + "\n"))
-    rows = turns.select(
-        "conv_id", "turn", role.alias("role"), text.alias("text"), F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(1 << 62))).alias("block"),
-        said.alias("said"), F.length(head).alias("head"), F.length(body).alias("body"), F.ceil(F.octet_length(said) / 4).alias("tokens"),
-    )
-    within = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_first(), "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    made = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), role.alias("role"), F.concat(head, body, F.lit(CLOSE + "\n")).alias("said"), F.length(head).alias("head"), F.length(body).alias("body"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(rank_file, pattern)
+        for batch in batches:
+            for rows in text_slices(batch, "said"):
+                n = [len(encode_text(enc, t)) for t in rows.column(3).to_pylist()]
+                yield pa.record_batch([*rows.columns, pa.array(n, pa.int64())], [*rows.schema.names, "tokens"])
+
+    return made.mapInArrow(run, "conv_id long, turn long, role string, said string, head int, body int, tokens long")
+
+
+def windows(turns: DataFrame, rank_file: str, pattern: str, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+    """conv_id, window, n_repeated (leading turns repeated from before), loss (array of code point intervals of `formatted`), n_tokens, oversize, formatted."""
+    rows = said(turns, rank_file, pattern)
+    tie = F.when(F.col("turn").isNull(), F.xxhash64("said"))
+    rows = rows.withColumns({"tie": tie, "block": F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(_NO_TURN) + F.shiftright(tie, 56))})
+    within = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_first(), "tie", "role", "said").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumns({"_pos": F.count("*").over(within), "_sum": F.coalesce(F.sum("tokens").over(within), F.lit(0))})
-    blocks = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n"), F.sum("tokens").alias("t"))
-    before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(F.col("conv_id").alias("_conv"), F.col("block").alias("_block"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n"), F.coalesce(F.sum("t").over(before), F.lit(0)).alias("_t"))
+    opens = F.max(F.when((F.col("_pos") == 0) & (F.col("role") == "system"), F.col("tokens")))
+    blocks = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n"), F.sum("tokens").alias("t"), F.coalesce(opens, F.lit(0)).alias("system"))
+    whole = Window.partitionBy("conv_id").orderBy("block")
+    before = whole.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        F.col("conv_id").alias("_conv"), F.col("block").alias("_block"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n"), F.coalesce(F.sum("t").over(before), F.lit(0)).alias("_t"),
+        F.first("system").over(whole).alias("system"), F.sum("t").over(Window.partitionBy("conv_id")).alias("total"),
+    )
     rows = rows.join(blocks, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("block") == F.col("_block")))
-    rows = rows.select("conv_id", (F.col("_n") + F.col("_pos")).alias("pos"), F.floor((F.col("_t") + F.col("_sum")) / (budget // 2)).alias("window"), "role", "said", "head", "body", "tokens")
+    # a system turn takes no place on the grid
+    room = F.greatest(F.lit(budget) - F.col("system"), F.lit(2))
+    pos = F.col("_n") + F.col("_pos")
+    leads = (pos == 0) & (F.col("role") == "system")
+    at = F.greatest(F.col("_t") + F.col("_sum") - F.col("system"), F.lit(0))
+    cell = F.floor(at / F.floor(room / 2))
+    beyond = at + F.col("tokens") - cell * F.floor(room / 2) > room
+    rows = rows.select(
+        "conv_id", pos.alias("pos"), at.alias("at"), F.when(leads, F.lit(0).cast("long")).otherwise(2 * cell + beyond.cast("long")).alias("window"),
+        leads.alias("leads"), "role", "said", "head", "body", "tokens", "system", F.floor(F.col("total") / F.floor(room / 2) / PORTION).alias("portions"),
+    )
 
-    own = rows.withColumn("repeated", F.lit(False))
-    starts = rows.groupBy("conv_id", "window").agg(F.min("pos").alias("start")).select(F.col("conv_id").alias("_conv"), F.col("window").alias("_window"), "start")
+    turn = ("role", "said", "head", "body", "tokens")
+    own = rows.select("conv_id", "window", "pos", F.lit(False).alias("repeated"), *turn)
+    starts = rows.groupBy(F.col("conv_id").alias("_conv"), F.col("window").alias("_window")).agg(
+        F.min("pos").alias("start"), F.min(F.when(~F.col("leads"), F.col("at"))).alias("first"), F.sum("tokens").alias("own"), F.max("system").alias("_system")
+    )
+    starts = starts.where("start > 0")
     same = F.col("conv_id").eqNullSafe(F.col("_conv"))
-    repeated = ("conv_id", "pos", F.col("_window").alias("window"), "role", "said", "head", "body", "tokens", F.lit(True).alias("repeated"))
-    # a turn at pos is history of the window that starts at one of the next `history` places
-    recent = rows.withColumn("_at", F.explode(F.sequence(F.col("pos") + 1, F.col("pos") + history))).join(starts, same & (F.col("_at") == F.col("start"))).where(~((F.col("pos") == 0) & (F.col("role") == "system"))).select(*repeated)
-    system = rows.where("pos = 0 AND role = 'system'").join(starts.where("start > 0"), same).select(*repeated)
-    every = own.unionByName(system) if history < 1 else own.unionByName(system).unionByName(recent)
-
-    # A window holds at most `budget` tokens of turns of four tokens and more, besides one longer turn and the repeated ones.
-    parts = F.array_sort(F.collect_list(F.struct("pos", "role", "said", "head", "body", "tokens", "repeated")))
-    packed = every.groupBy("conv_id", "window").agg(parts.alias("parts"))
+    parts = [own, rows.where("leads").withColumn("portion", F.explode(F.sequence(F.lit(0).cast("long"), F.col("portions") + 1)))]
+    parts[1] = parts[1].join(starts, same & (F.col("portion") == F.least(F.floor(F.col("_window") / 2 / PORTION), F.col("portions") + 1)))
+    if history > 0:
+        # from each window's start back to its history; what lies between the two in the sums has to fit
+        wanted = starts.withColumn("_pos", F.explode(F.sequence(F.greatest(F.col("start") - history, F.lit(0)), F.col("start") - 1)))
+        parts.append(rows.join(wanted, same & (F.col("pos") == F.col("_pos"))).where(~F.col("leads") & (F.col("first") - F.col("at") <= budget - F.col("_system") - F.col("own"))))
+    every = own
+    for part in parts[1:]:
+        every = every.unionByName(part.select("conv_id", F.col("_window").alias("window"), "pos", F.lit(True).alias("repeated"), *turn))
+
+    # A window's turns have several tokens each by the template, so a window within the budget is a bounded group.
+    packed = every.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(F.struct("pos", "role", "said", "head", "body", "tokens", "repeated"))).alias("parts"))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<a:int,b:int>>").alias("loss"))
 
     def step(acc: Column, p: Column) -> Column:
