@@ -248,7 +248,7 @@ def test_pipeline_equals_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rejected = {r.doc_id for r in toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))).collect() if r.rejected}
     want = [{r.doc_id: r.text for r in docs.collect() if r.doc_id not in rejected}]
-    groups = brute(want[0])
+    groups = brute(want[0], 80)
     want.append({i: t for i, t in want[0].items() if groups[i][2]})
     want.append(cut_benchmark(want[1], [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]))
     want.append({i: masked(t) for i, t in want[2].items()})

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
-import time
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +17,18 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one step of a Python worker holds at a time.
 SLICE_BYTES = 2 << 20
+#: Short rows of one file of written().
+ROWS_A_FILE = 100_000
+#: Keys that may count as hot, at most, and rows that make none.
+HOT_KEYS, LEAST_HOT = 10_000, 512
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where none is set (tests)."""
+    """The folder that the driver and all executors share. Where none is set, a temporary one, on a local master only: on a cluster its files would be lost."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="twinframe-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -46,20 +53,29 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def written(df: DataFrame, tag: str, freeing: bool = False, small: bool = False, into: list[DataFrame] | None = None) -> DataFrame:
+@contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of a query go when it ends, not when the driver's garbage is collected."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def written(df: DataFrame, tag: str, rows: int | None = None, into: list[DataFrame] | None = None) -> DataFrame:
     """df, computed once and reread from a table in the shared folder: its lineage ends there, so a lost executor costs no recomputation of what came before.
 
-    small: rows that are few for the number of tasks that make them go into an eighth as many files, dealt evenly.
+    rows: a bound on df's rows, however many tasks make them; they go evenly into a file for each ROWS_A_FILE of it, as many as there are shuffle partitions at most.
     into: takes the table, for drop_written() once no later step reads it.
-    freeing: have the driver drop what it no longer refers to, so that shuffle files of finished steps leave the disks before the next step.
     """
     spark, schema, path = df.sparkSession, df.schema, fresh_path(df.sparkSession, tag)
-    if small:
-        df = df.repartition(max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
-    df.write.parquet(path)
-    if freeing:
-        del df
-        free(spark)
+    if rows is not None:
+        df = df.repartition(max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_FILE))))
+    with shuffles_end(spark):
+        df.write.parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out._twinframe_path = path
     if into is not None:
@@ -67,12 +83,27 @@ def written(df: DataFrame, tag: str, freeing: bool = False, small: bool = False,
     return out
 
 
-def free(spark: SparkSession) -> None:
-    """Has Python, then the JVM drop what nothing refers to; Spark's cleaner then removes the shuffle files of finished steps."""
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.5)
+def hot_limit(total: int) -> int:
+    """Rows of one key, of `total`, that one task takes. At most HOT_KEYS keys can have more, whatever the data: their number is bounded before any broadcast."""
+    return max(LEAST_HOT, total // HOT_KEYS)
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame, spread: list[str], how: str = "inner") -> DataFrame:
+    """left joined with right, which has one row for each key, without a task for a hot key.
+
+    hot: the keys of left with more than hot_limit() rows and `_salts`, into how many portions each is dealt (by a hash of left's columns `spread`); right's row goes to
+    every portion. Left rows without a key are dealt too.
+    """
+    few, null = F.broadcast(hot), reduce(or_, (F.col(c).isNull() for c in on))
+    portion = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("__twinframe_salts")), F.when(null, F.pmod(F.xxhash64(*spread), F.lit(LEAST_HOT))), F.lit(0))
+    one = left.join(few, on, "left").withColumn("__twinframe_portion", portion.cast("int")).drop("__twinframe_salts")
+    two = right.join(few, on, "left").withColumn("__twinframe_portion", F.explode(F.sequence(F.lit(0), F.coalesce("__twinframe_salts", F.lit(1)).cast("int") - 1))).drop("__twinframe_salts")
+    return one.join(two, [*on, "__twinframe_portion"], how).drop("__twinframe_portion")
+
+
+def hot_keys(sizes: DataFrame, on: list[str], size: str, limit: int) -> DataFrame:
+    """For spread_join: the keys of sizes with more than `limit` rows, and their portions."""
+    return sizes.where(F.col(size) > limit).select(*on, F.ceil(F.col(size) / limit).cast("int").alias("__twinframe_salts"))
 
 
 def drop_written(*tables: DataFrame) -> None:

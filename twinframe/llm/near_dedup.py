@@ -4,7 +4,8 @@ A text is lower-cased (A-Z) and read as runs of bytes that are not space or \\t
 `shingle` words; a text with fewer words has its whole word sequence as one. Two documents are linked when
 100 * intersection >= percent * union, decided on full sets; components of links are the groups, named by their smallest doc_id.
 
-1. Documents with equal sets are one class (its smallest doc_id stands for it), so exact copies cost nothing below.
+1. Documents with equal sets are one class (its smallest doc_id stands for it), so exact copies cost nothing below. Large classes and nodes are dealt to several
+   tasks in every join.
 2. Every class walks down `trees` independent trees. At each depth it is dealt to the child of its minwise token under a hash of the tree's
    own; a pair of similarity s shares a child with probability s. Only nodes with more than `small` classes branch on, down to `depth` levels.
 3. In every final node all members are compared with its most central one (whose nodes hold the most classes); then, where that left several
@@ -13,16 +14,16 @@ A text is lower-cased (A-Z) and read as runs of bytes that are not space or \\t
 4. Links are verified where the texts meet: members stream past one text of their partner, in chunks of bounded length. Large nodes are cut into cells of at most
    about BLOCK outside members and CELL members; within a cell all comparisons run on one inverted index, and only links leave it.
 
-A pair at the least similarity of 0.85 shares a node of depth 3 or less in at least one of 16 trees with probability 1 - (1 - 0.85 ** 3) ** 16 =
-0.9999998; in the deepest nodes (more than `small` classes share 5 minwise tokens) with 0.9995 at least.
+The number of trees follows from the least similarity s: a pair of it shares a node of the last depth, the worst case, in at least one tree with probability
+1 - MISS. At 0.85 that takes 16 trees, and in nodes of depth 3 or less a pair is then missed with probability 2e-7; at 0.80 it takes 25 trees.
 
 A null text, or one without words, has an empty set: it is linked with nothing and kept. Rows without a doc_id are linked with nothing, have no
-component and are kept. Rows that repeat a doc_id with one text are one document; of different texts under one id, one stands for it in near links, and equal
-sets still join.
+component and are kept. Rows that repeat a doc_id are one document, with the links of all its texts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,18 +31,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinframe.llm.common import drop_written, lower_ascii, map_slices, mix, run_hashes, runs, text_bytes, text_slices, written
+from twinframe.llm.common import drop_written, hot_keys, hot_limit, lower_ascii, map_slices, mix, run_hashes, runs, spread_join, text_bytes, text_slices, written
 
 SHINGLE = 5
 PERCENT = 85
-TREES = 16
-DEPTH = 6
+#: What the pipeline's stage takes.
+STAGE_PERCENT = 80
+DEPTH, MISS = 6, 6e-4
 SMALL = 32
 #: Members that stream past one copy of their partner's text.
 CHUNK = 64
 #: Larger nodes are compared in cells, smaller ones pair by pair.
 PAIRWISE = 8
 BLOCK, CELL = 256, 1024
+#: Members of a node that one task of a join by nodes takes.
+PORTION = 4096
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
@@ -69,8 +73,14 @@ def shingles(rows: pa.RecordBatch, size: int = SHINGLE) -> tuple[np.ndarray, np.
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.array(cut)
 
 
-def sketches(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
-    """doc_id, n (set size), hi and lo (a 128-bit hash of the set) and tokens (the minwise token of each tree and depth)."""
+def trees_for(percent: int, depth: int = DEPTH, miss: float = MISS) -> int:
+    """How many trees find a pair of the least similarity in a node of the last depth but for `miss`."""
+    same = (percent / 100) ** depth
+    return 1 if same >= 1 else math.ceil(math.log(miss) / math.log1p(-same))
+
+
+def sketches(docs: DataFrame, shingle: int = SHINGLE, trees: int = 16, depth: int = DEPTH) -> DataFrame:
+    """doc_id, mark (the text's hash), n (set size), hi and lo (a 128-bit hash of the set) and tokens (the minwise token of each tree and depth)."""
 
     def step(rows: pa.RecordBatch) -> pa.RecordBatch:
         flat, cut = shingles(rows, shingle)
@@ -87,82 +97,98 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE, trees: int = TREES, depth:
                 for k in range(trees * depth):
                     tokens[some, k] = (mix(np.minimum.reduceat(flat * turns[k], at)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
         lists = pa.FixedSizeListArray.from_arrays(pa.array(tokens.ravel()), trees * depth).cast(pa.list_(pa.int32()))
-        return pa.record_batch([rows.column(0), pa.array(n), pa.array(ids[:, 0]), pa.array(ids[:, 1]), lists], ["doc_id", "n", "hi", "lo", "tokens"])
+        return pa.record_batch([rows.column(0), rows.column(2), pa.array(n), pa.array(ids[:, 0]), pa.array(ids[:, 1]), lists], ["doc_id", "mark", "n", "hi", "lo", "tokens"])
 
-    return map_slices(docs, ["doc_id", "text"], step, "doc_id long, n long, hi long, lo long, tokens array<int>")
+    return map_slices(docs, ["doc_id", "text", F.xxhash64("text").alias("mark")], step, "doc_id long, mark long, n long, hi long, lo long, tokens array<int>")
 
 
-def nodes(classes: DataFrame, trees: int = TREES, depth: int = DEPTH, small: int = SMALL, into: list[DataFrame] | None = None) -> DataFrame:
-    """The final nodes with two classes or more: node, id, n, members."""
-    active = classes.select("id", "n", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "tokens")
-    active = active.select("id", "n", "tree", F.slice("tokens", F.col("tree") * depth + 1, depth).alias("tokens"))
-    out = None
+def nodes(classes: DataFrame, total: int, trees: int, depth: int = DEPTH, small: int = SMALL, into: list[DataFrame] | None = None) -> DataFrame:
+    """The final nodes with two classes or more: node, id, doc, n, members. total: a bound on the number of classes."""
+    active = classes.select("id", "doc", "n", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "tokens")
+    active = active.select("id", "doc", "n", "tree", F.slice("tokens", F.col("tree") * depth + 1, depth).alias("tokens"))
+    limit, out = hot_limit(trees * total), None
     for d in range(1, depth + 1):
         keyed = active.withColumn("node", F.xxhash64("tree", F.slice("tokens", 1, d), F.lit(d)))
-        sizes = keyed.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
-        level = written(keyed.join(sizes, "node").select("node", "id", "n", "tree", *(["tokens"] if d < depth else []), "members"), f"nodes-{d}", small=True, into=into)
-        done = (level if d == depth else level.where(F.col("members") <= small)).select("node", "id", "n", "members")
+        sizes = written(keyed.groupBy("node").agg(F.count("*").alias("members")).where("members > 1"), f"sizes-{d}", total, into)
+        met = spread_join(keyed, sizes, ["node"], hot_keys(sizes, ["node"], "members", limit), ["id"])
+        level = written(met.select("node", "id", "doc", "n", "tree", *(["tokens"] if d < depth else []), "members"), f"nodes-{d}", into=into)
+        done = (level if d == depth else level.where(F.col("members") <= small)).select("node", "id", "doc", "n", "members")
         out = done if out is None else out.unionByName(done)
         if d == depth:
             break
-        active = level.where(F.col("members") > small).select("id", "n", "tree", "tokens")
+        active = level.where(F.col("members") > small).select("id", "doc", "n", "tree", "tokens")
         if active.isEmpty():
             break
     return out
 
 
+def _portions() -> F.Column:
+    return F.ceil(F.col("members") / PORTION).cast("int")
+
+
+def by_node(rows: DataFrame, one: DataFrame) -> DataFrame:
+    """rows (node, id, members, ...) with one's row of their node (node, members, ...); a node's rows are dealt in portions."""
+    left = rows.withColumn("_portion", F.pmod(F.xxhash64("id", F.lit(7)), _portions()).cast("int"))
+    return left.join(one.withColumn("_portion", F.explode(F.sequence(F.lit(0), _portions() - 1))).drop("members"), ["node", "_portion"]).drop("_portion")
+
+
 def _alike(x: str, y: str, percent: int) -> F.Column:
     """Set sizes that allow a link at all."""
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """The pairs (a, b) whose full sets are linked. texts: id, text."""
+def verified(pairs: DataFrame, texts: DataFrame, limit: int, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """The doc_ids of the pairs (a, doc_a, b, doc_b) whose full sets are linked. texts: id, text. limit: pairs of one `a` that a task takes."""
     load = pairs.groupBy("a").agg(F.count("*").alias("load"))
-    salted = pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.greatest(F.ceil(F.col("load") / CHUNK), F.lit(1))).alias("chunk"))
-    wanted = salted.select("a", "chunk", F.lit(1).alias("member"), F.col("b").alias("id")).unionByName(salted.select("a", "chunk", F.lit(0).alias("member"), F.col("a").alias("id")).distinct())
-    met = wanted.join(texts, "id").select("a", "chunk", "member", "id", "text")
+    # the text of `a` goes to as many chunks as members go to each, where there are many
+    chunks = F.greatest(F.ceil(F.col("load") / F.greatest(F.lit(CHUNK), F.ceil(F.sqrt("load")))), F.lit(1))
+    salted = spread_join(pairs, load, ["a"], hot_keys(load, ["a"], "load", limit), ["b"]).select("a", "doc_a", "b", "doc_b", F.pmod(F.xxhash64("b"), chunks).alias("chunk"))
+    wanted = salted.select("a", "chunk", F.lit(1).alias("member"), F.col("b").alias("id"), F.col("doc_b").alias("doc")).unionByName(
+        salted.select("a", "chunk", F.lit(0).alias("member"), F.col("a").alias("id"), F.col("doc_a").alias("doc")).distinct()
+    )
+    met = wanted.join(texts, "id").select("a", "chunk", "member", "doc", "id", "text")
     met = met.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "member", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whose, base = None, None
+        whose, own_doc, base = None, None, None
         for batch in batches:
             for rows in text_slices(batch):
                 flat, cut = shingles(rows, shingle)
-                a, chunk, member, ids = (rows.column(k).to_pylist() for k in range(4))
+                a, chunk, member, doc = (rows.column(k).to_pylist() for k in range(4))
                 left, right = [], []
                 for r in range(rows.num_rows):
                     own = flat[cut[r] : cut[r + 1]]
                     if not member[r]:
-                        whose, base = (a[r], chunk[r]), own
+                        whose, own_doc, base = (a[r], chunk[r]), doc[r], own
                     elif whose == (a[r], chunk[r]):
                         both = len(np.intersect1d(base, own, assume_unique=True))
                         if both and 100 * both >= percent * (len(base) + len(own) - both):
-                            left.append(a[r])
-                            right.append(ids[r])
+                            left.append(own_doc)
+                            right.append(doc[r])
                 yield pa.record_batch([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     return met.mapInArrow(run, "a long, b long")
 
 
 def led(final: DataFrame) -> DataFrame:
-    """final with each node's leader and leader_n: the member whose nodes hold the most classes together, then the smallest id."""
+    """final with each node's leader, its doc and n: the member whose nodes hold the most classes together, then the smallest id."""
     weight = final.groupBy("id").agg(F.sum("members").alias("weight"))
     weighed = final.join(weight, "id")
-    first = weighed.groupBy("node").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("id").alias("i"), F.col("n").alias("k"))).alias("first"))
-    return weighed.join(first, "node").select("node", "id", "n", "members", F.col("first.i").alias("leader"), F.col("first.k").alias("leader_n"))
+    lead = F.struct((-F.col("weight")).alias("w"), F.col("id").alias("i"), F.col("n").alias("k"), F.col("doc").alias("d"))
+    first = weighed.groupBy("node").agg(F.min(lead).alias("first"), F.max("members").alias("members"))
+    return by_node(weighed, first).select("node", "id", "doc", "n", "members", F.col("first.i").alias("leader"), F.col("first.d").alias("leader_doc"), F.col("first.k").alias("leader_n"))
 
 
 def cell_links(open_: DataFrame, texts: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """Links between outside members and members of other components of large nodes, one for each outside member and component of a cell.
 
-    open_: node, id, component, outside, members, outsiders (how many of each the node has).
+    open_: node, id, doc, component, outside, members, outsiders (how many of each the node has). Links are pairs of doc_ids.
     """
     blocks = F.ceil(F.col("outsiders") / BLOCK).cast("int")
     cells = F.ceil(F.col("members") / CELL).cast("int")
-    own = open_.where("outside").select("node", F.pmod(F.xxhash64("id"), blocks).alias("block"), F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), F.lit(0).alias("side"), "id", "component")
-    other = open_.select("node", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))).alias("block"), F.pmod(F.xxhash64("id", F.lit(1)), cells).cast("int").alias("cell"), F.lit(1).alias("side"), "id", "component")
-    met = own.unionByName(other).join(texts, "id").select("node", "block", "cell", "side", "id", "component", "text")
+    own = open_.where("outside").select("node", F.pmod(F.xxhash64("id"), blocks).alias("block"), F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), F.lit(0).alias("side"), "id", "doc", "component")
+    other = open_.select("node", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))).alias("block"), F.pmod(F.xxhash64("id", F.lit(1)), cells).cast("int").alias("cell"), F.lit(1).alias("side"), "id", "doc", "component")
+    met = own.unionByName(other).join(texts, "id").select("node", "block", "cell", "side", "doc", "component", "id", "text")
     met = met.repartition("node", "block", "cell").sortWithinPartitions("node", "block", "cell", "side", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +247,8 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
 
     With `rounds`, it ends after so many: what then shares a name is connected, but some components may still go by several names.
     """
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges", small=True)
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    bound = edges.count()  # no round makes more edges
     mark, done = None, 0
     while rounds is None or done < rounds:
         done += 1
@@ -230,7 +257,7 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        old, edges = edges, written(small.where("u <> v").distinct(), "edges", small=True)
+        old, edges = edges, written(small.where("u <> v").distinct(), "edges", bound)
         drop_written(old)
         if rounds is not None:
             continue
@@ -242,41 +269,59 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     return own.groupBy("id").agg(F.min("component").alias("component"))
 
 
-def groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, trees: int = TREES, depth: int = DEPTH, small: int = SMALL) -> DataFrame:
+def one_name(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the documents that stand for the classes of one repeated doc_id. rows: doc_id, hi, lo."""
+    many = rows.groupBy("doc_id").agg(F.min("hi").alias("x"), F.max("hi").alias("y")).where("x <> y").select("doc_id")
+    own = rows.join(many, "doc_id", "left_semi").select("doc_id", "hi", "lo").distinct().join(classes.select("hi", "lo", "doc"), ["hi", "lo"]).select("doc_id", "doc")
+    return own.select(F.col("doc_id").alias("a"), F.col("doc").alias("b")).distinct()
+
+
+def groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, trees: int | None = None, depth: int = DEPTH, small: int = SMALL) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs."""
     done: list[DataFrame] = []
-    sets = written(sketches(docs, shingle, trees, depth), "sketches")
+    trees = trees or trees_for(percent, depth)
+    sets = written(sketches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shingle, trees, depth), "sketches")
+    total = sets.count()
+    limit = hot_limit(trees * total)
     some = sets.where("n > 0 AND doc_id IS NOT NULL")
-    classes = some.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "n", "tokens")).alias("first")).select("hi", "lo", F.col("first.doc_id").alias("id"), F.col("first.n").alias("n"), F.col("first.tokens").alias("tokens"))
-    final = written(led(nodes(classes.dropDuplicates(["id"]), trees, depth, small, done)), "nodes", small=True, into=done)
-    met = final.select("id").distinct()
-    texts = written(docs.select(F.col("doc_id").alias("id"), "text").join(met, "id", "left_semi").dropDuplicates(["id"]), "texts", into=done)
-    first = final.where((F.col("id") != F.col("leader")) & _alike("n", "leader_n", percent)).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = written(verified(first, texts, percent, shingle), "links-1", small=True, into=done)
+    classes = some.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "mark", "n", "tokens")).alias("first"), F.count("*").alias("copies"))
+    classes = written(classes.select(F.monotonically_increasing_id().alias("id"), "hi", "lo", F.col("first.doc_id").alias("doc"), F.col("first.mark").alias("mark"), F.col("first.n").alias("n"), F.col("first.tokens").alias("tokens"), "copies"), "classes")
+    repeated = written(one_name(some, classes), "one-name", total, done)
+    final = written(led(nodes(classes, total, trees, depth, small, done)), "nodes", trees * total, done)
+    met = classes.join(final.select("id").distinct(), "id", "left_semi").select("id", F.col("doc").alias("doc_id"), "mark")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text").join(met, ["doc_id", "mark"])
+    texts = written(texts.dropDuplicates(["doc_id", "mark"]).select("id", "text"), "texts", into=done)
+    first = final.where((F.col("id") != F.col("leader")) & _alike("n", "leader_n", percent)).select(F.col("leader").alias("a"), F.col("leader_doc").alias("doc_a"), F.col("id").alias("b"), F.col("doc").alias("doc_b")).distinct()
+    links = written(verified(first, texts, limit, percent, shingle), "links-1", trees * total, done)
     so_far = components(links, 2)  # names need only be right, not final, to spare comparisons
 
-    named = final.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = final.join(so_far.withColumnRenamed("id", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     main = F.max(F.when(F.col("id") == F.col("leader"), F.col("component")))
-    split = named.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), main.alias("main")).where("lo <> hi").select("node", "main")
+    split = named.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), main.alias("main"), F.max("members").alias("members")).where("lo <> hi").select("node", "main", "members")
     # the leader has been compared with all; two members are done with that
-    open_ = written(named.join(split, "node").where((F.col("id") != F.col("leader")) & (F.col("members") > 2)).select("node", "id", "n", "component", "members", (F.col("component") != F.col("main")).alias("outside")), "open", small=True, into=done)
+    apart = by_node(named, split).where((F.col("id") != F.col("leader")) & (F.col("members") > 2))
+    open_ = written(apart.select("node", "id", "doc", "n", "component", "members", (F.col("component") != F.col("main")).alias("outside")), "open", trees * total, done)
     pairwise = open_.where(F.col("members") <= PAIRWISE)
-    one, two = (pairwise.select("node", *(F.col(c).alias(f"{p}_{c}") for c in ("id", "n", "component", "outside"))) for p in ("x", "y"))
-    apart = (F.col("x_component") != F.col("y_component")) & _alike("x_n", "y_n", percent) & (~F.col("y_outside") | (F.col("x_id") < F.col("y_id")))
-    second = one.where("x_outside").join(two, "node").where(apart).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
+    one, two = (pairwise.select("node", *(F.col(c).alias(f"{p}_{c}") for c in ("id", "doc", "n", "component", "outside"))) for p in ("x", "y"))
+    unlinked = (F.col("x_component") != F.col("y_component")) & _alike("x_n", "y_n", percent) & (~F.col("y_outside") | (F.col("x_id") < F.col("y_id")))
+    met = one.where("x_outside").join(two, "node").where(unlinked)
+    ordered = F.col("x_id") < F.col("y_id")
+    ends = [F.when(ordered, F.col(f"{p}_{c}")).otherwise(F.col(f"{q}_{c}")).alias(name) for p, q, c, name in (("x", "y", "id", "a"), ("x", "y", "doc", "doc_a"), ("y", "x", "id", "b"), ("y", "x", "doc", "doc_b"))]
+    second = met.select(*ends).distinct()
     large = open_.where(F.col("members") > PAIRWISE)
-    count = large.groupBy("node").agg(F.count_if("outside").alias("outsiders"))
-    more = written(verified(second, texts, percent, shingle).unionByName(cell_links(large.join(count.where("outsiders > 0"), "node"), texts, percent, shingle)), "links-2", small=True, into=done)
-    whole = components(links.unionByName(more))
-    drop_written(*done)  # what follows reads the sketches and the last edges only
-
-    named = classes.select("hi", "lo", "id").join(whole, "id", "left").select("hi", "lo", F.coalesce("component", "id").alias("component"))
-    out = sets.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("hi")).alias("hi"), F.when(F.col("n") > 0, F.col("lo")).alias("lo")).join(named, ["hi", "lo"], "left")
+    count = large.groupBy("node").agg(F.count_if("outside").alias("outsiders"), F.max("members").alias("members")).where("outsiders > 0")
+    more = written(verified(second, texts, limit, percent, shingle).unionByName(cell_links(by_node(large, count), texts, percent, shingle)), "links-2", trees * total, done)
+    whole = components(links.unionByName(more).unionByName(repeated))
+    drop_written(*done)  # what follows reads the sketches, the classes and the last edges only
+
+    named = classes.select("hi", "lo", "doc").join(whole.withColumnRenamed("id", "doc"), "doc", "left").select("hi", "lo", F.coalesce("component", "doc").alias("component"))
+    out = sets.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("hi")).alias("hi"), F.when(F.col("n") > 0, F.col("lo")).alias("lo"))
+    out = spread_join(out, named, ["hi", "lo"], hot_keys(classes, ["hi", "lo"], "copies", hot_limit(total)), ["doc_id"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def keep_first(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def keep_first(docs: DataFrame, percent: int = STAGE_PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """docs (same columns) with one document, the one of the smallest doc_id, for each group; rows that repeat that doc_id all stay."""
     gone = groups(docs, percent, shingle).where("NOT kept").select(F.col("doc_id").alias("__twinframe_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["__twinframe_gone"], "left_anti")

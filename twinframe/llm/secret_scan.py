@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinframe.llm.common import fresh_path
+from twinframe.llm.common import HOT_KEYS, ROWS_A_FILE, fresh_path, hot_keys, hot_limit, shuffles_end, spread_join, written
 
 
 @dataclass(frozen=True)
@@ -81,6 +81,8 @@ def scan(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES)
     """
     spark = versions.sparkSession
     keys = [r.key for r in rules]
+    # a ledger row is short: a hash, the rules' names, spans
+    files = max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-versions.count() // ROWS_A_FILE)))
     blobs = versions.select(blob_of(F.col("text")).alias("blob"), F.coalesce(F.col("text"), F.lit("")).alias("text")).dropDuplicates(["blob"])
     target = spark._jvm.org.apache.hadoop.fs.Path(ledger_path)
     known = target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
@@ -92,8 +94,8 @@ def scan(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES)
     blobs = blobs.select("blob", "text", todo.alias("rules")).where(F.size("rules") > 0)
     each = [F.when(F.array_contains("rules", r.key), _spans(F.col("text"), r, k)).otherwise(F.array().cast(SPANS)) for k, r in enumerate(rules)]
     found = blobs.select("blob", "rules", F.array_sort(F.concat(*each)).alias("spans"))
-    # findings are small beside the texts they come from, so they go to an eighth as many files
-    found.repartition(max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)).write.mode("append").parquet(ledger_path)
+    with shuffles_end(spark):
+        found.repartition(files).write.mode("append").parquet(ledger_path)
     return spark.read.parquet(ledger_path)
 
 
@@ -108,15 +110,22 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _hot_blobs(paths: DataFrame) -> DataFrame:
+    """The blobs of many paths, for spread_join."""
+    total = paths.count()
+    return written(hot_keys(paths.groupBy("blob").agg(F.count("*").alias("copies")), ["blob"], "copies", hot_limit(total)), "hot-blobs", HOT_KEYS)
+
+
 def report(versions: DataFrame, ledger_path: str | None = None, path_column: str = "doc_id", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row for each row of versions: path_column, blob, n_<base kind>, base_sha256, spans (kind:start:end by start, comma-joined)."""
     found = findings(scan(versions, ledger_path or fresh_path(versions.sparkSession, "blob-ledger"), rules), rules)
     paths = versions.select(F.col(path_column), blob_of(F.col("text")).alias("blob"))
+    joined = spread_join(paths, found, ["blob"], _hot_blobs(paths), [path_column], "left")
     spans = F.coalesce(F.col("spans"), F.array().cast(SPANS))
     base_kinds = [r.kind for r in BASE_RULES]
     base = F.filter(spans, lambda s: s["kind"].isin(base_kinds))
     counts = [F.size(F.filter(F.transform(spans, lambda s: s["kind"]), lambda x: x == F.lit(k))).cast("long").alias(f"n_{k}") for k in base_kinds]  # noqa: B023
-    return paths.join(found, "blob", "left").select(path_column, "blob", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(spans).alias("spans"))
+    return joined.select(path_column, "blob", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(spans).alias("spans"))
 
 
 def _merged(spans: Column) -> Column:
@@ -152,5 +161,7 @@ def redact(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, .
     columns = {"text": F.when(F.col(spans).isNull() | text.isNull(), text).otherwise(done)}
     if "n_chars" in docs.columns:
         columns["n_chars"] = F.when(F.col(spans).isNull() | text.isNull(), F.col("n_chars")).otherwise(F.length(done).cast(docs.schema["n_chars"].dataType))
-    joined = docs.withColumn(blob, blob_of(text)).join(cut, blob, "left")
+    hashed = docs.withColumn(blob, blob_of(text))
+    hot = _hot_blobs(hashed.select(F.col(blob).alias("blob"))).withColumnRenamed("blob", blob)
+    joined = spread_join(hashed, cut, [blob], hot, ["doc_id"] if "doc_id" in docs.columns else docs.columns, "left")
     return joined.select(*(columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns))

@@ -15,7 +15,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinframe.llm.common import lower_ascii, map_slices, mix, run_hashes, runs, text_bytes, text_slices, written
@@ -100,71 +100,67 @@ def _compare(ids: list[int], texts: list[str], nexts: list[str], next_prints: np
             pa.array([x.tobytes().hex() for x in other], pa.string()),
             pa.array(likeness(own, other)),
             pa.array(likeness(own, next_prints)),
-            pa.nulls(len(ids), pa.string()),
         ],
-        ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "text"],
+        [f.split()[0] for f in _REPORT.split(", ")],
     )
 
 
-_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, text string"
+_REPORT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_BORDER = ", text string, part int, last boolean"
 
 
-def _stream(batches: Iterator[pa.RecordBatch], bits: int, ends: bool) -> Iterator[pa.RecordBatch]:
-    """Compares each row with the next one of the stream. With `ends`, the stream's first and last rows come out again as they are (with their text)."""
+def _stream(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Compares each row with the next one of the stream. Its first and last rows come out again as they are: with their text, the task's number, and which they are."""
+    from pyspark import TaskContext
+
+    names = [f.split()[0] for f in (_REPORT + _BORDER).split(", ")]
+    first: tuple[int, str] | None = None
     held: tuple[int, str, np.ndarray] | None = None
-    bare: list[tuple[int, str]] = []
     for batch in batches:
         for rows in text_slices(batch):
             ids, texts = rows.column(0).to_pylist(), [t or "" for t in rows.column(1).to_pylist()]
             prints = fingerprints(texts, bits)
-            if not bare and ids:
-                bare.append((ids[0], texts[0]))
+            first = first or ((ids[0], texts[0]) if ids else None)
             if held:
                 ids, texts, prints = [held[0], *ids], [held[1], *texts], np.concatenate([held[2][None], prints])
             if ids:
                 held = ids[-1], texts[-1], prints[-1]
-                yield _compare(ids[:-1], texts[:-1], texts[1:], prints[1:], prints[:-1], bits)
-    if ends and held:
-        bare.append((held[0], held[1]))
-        n = len(bare)
-        yield pa.record_batch([pa.array([b[0] for b in bare], pa.int64()), pa.array([0, 1][:n], pa.int64()), *(pa.nulls(n, pa.string()) for _ in range(3)), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), pa.array([b[1] for b in bare], pa.string())], [f.split()[0] for f in _SCHEMA.split(", ")])
+                done = _compare(ids[:-1], texts[:-1], texts[1:], prints[1:], prints[:-1], bits)
+                n = done.num_rows
+                yield pa.record_batch([*done.columns, pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_())], names)
+    if held:
+        part = TaskContext.get().partitionId()
+        none = [pa.nulls(2, k) for k in (pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64())]
+        yield pa.record_batch([pa.array([first[0], held[0]], pa.int64()), *none, pa.array([first[1], held[1]]), pa.array([part, part], pa.int32()), pa.array([False, True])], names)
 
 
 def edit_report(docs: DataFrame, bits: int = BITS, partitions: int | None = None) -> DataFrame:
     """Per document, with the next one by descending doc_id (after the last: the first): n_chars, edited_sha256, both fingerprints, near_edited, near_next.
 
-    Documents are dealt by ranges of doc_id, each range streams past in order, and only the rows at the ranges' borders meet in a second, small step
-    (two rows for each range). A document alone follows itself. Rows without a doc_id come last; equal ids stand in the order of their texts' hashes.
+    Documents are dealt by ranges of doc_id and each range streams past in order. The last row of a range meets the first one of the next range that has any in a join
+    by the ranges' numbers: two rows for each range. A document alone follows itself. Rows without a doc_id come last; equal ids stand in the order of their
+    texts' hashes.
     """
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
     dealt = docs.select("doc_id", "text").repartitionByRange(n, *order).sortWithinPartitions(*order)
-    done = written(dealt.mapInArrow(lambda batches: _stream(batches, bits, True), _SCHEMA), "simhash", freeing=True)
-    border = done.where("text IS NOT NULL").select("doc_id", "text", F.col("n_chars").alias("last"))
+    done = written(dealt.mapInArrow(lambda batches: _stream(batches, bits), _REPORT + _BORDER), "simhash")
+    border = done.where("text IS NOT NULL").select("doc_id", "text", "part", "last")
+    opening = border.where("NOT last").select(F.col("part").alias("next_part"), F.col("text").alias("following"))
+    # the ranges' numbers alone, one for each range, are put in order
+    ranges = border.where("NOT last").select("part")
+    ranges = ranges.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy(F.lit(0)))).alias("next_part"))
+    closing = border.where("last").join(ranges, "part").join(opening, "next_part").select("doc_id", "text", "following")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = held = None
         for batch in batches:
-            for doc, text, last in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if not last:
-                    first = first or (doc, text)
-                    follower = (doc, text)
-                    if held:
-                        yield one(held, follower)
-                    held = None
-                else:
-                    held = (doc, text)
-        if held:
-            yield one(held, first)
-
-    def one(own: tuple[int, str], follower: tuple[int, str]) -> pa.RecordBatch:
-        prints = fingerprints([own[1], follower[1]], bits)
-        return _compare([own[0]], [own[1]], [follower[1]], prints[1:], prints[:1], bits)
-
-    # One row opens and one closes each range, in the ranges' order: a few rows for each task of the step before.
-    ends = border.repartition(1).sortWithinPartitions(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "last").mapInArrow(close, _SCHEMA)
-    return done.where("text IS NULL").unionByName(written(ends, "simhash-ends")).drop("text")
+            for doc, text, following in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                prints = fingerprints([text, following], bits)
+                yield _compare([doc], [text], [following], prints[1:], prints[:1], bits)
+
+    columns = [f.split()[0] for f in _REPORT.split(", ")]
+    return done.where("text IS NULL").select(*columns).unionByName(written(closing.mapInArrow(close, _REPORT), "simhash-ends"))
 
 
 def neighbours(prints: DataFrame, asked: Column, radius: int = RADIUS, bits: int = BITS) -> DataFrame:

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinframe.llm.common import _byte_table, drop_written, free, fresh_path, mix, remove as remove_path, run_hashes, text_bytes, text_slices, written
+from twinframe.llm.common import _byte_table, drop_written, fresh_path, mix, remove as remove_path, run_hashes, shuffles_end, text_bytes, text_slices, written
 
 LENGTH = 50
 GRAM = 20
@@ -390,18 +390,18 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes:
     if not 8 <= gram <= length // 2 <= 64:
         raise ValueError("8 <= gram <= length / 2 <= 64")
     spark = docs.sparkSession
-    packed = written(slices(docs), "slices", freeing=True)
+    packed = written(slices(docs), "slices")
     if buckets is None:
         total = packed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
-    bits = written(anchor_bits(packed, buckets, length, gram), "anchor-bits", freeing=True)
+    bits = written(anchor_bits(packed, buckets, length, gram), "anchor-bits")
     # segments and their places are one computation and two tables: the first is gone once it is answered
     path = fresh_path(spark, "segments")
-    segments(packed, bits, buckets, length, gram).withColumn("sent", (F.col("bucket") >= 0).cast("int")).write.partitionBy("sent").parquet(path)
-    free(spark)
+    with shuffles_end(spark):
+        segments(packed, bits, buckets, length, gram).withColumn("sent", (F.col("bucket") >= 0).cast("int")).write.partitionBy("sent").parquet(path)
     drop_written(bits)
     schema = "slice long, bucket long, blob binary, sent int"
-    found = written(answers(spark.read.schema(schema).parquet(path).where("sent = 1").drop("sent"), length, gram, memory), "answers", freeing=True)
+    found = written(answers(spark.read.schema(schema).parquet(path).where("sent = 1").drop("sent"), length, gram, memory), "answers")
     remove_path(spark, f"{path}/sent=1")
     where = spark.read.schema(schema).parquet(path).where("sent = 0").select("slice", F.col("blob").alias("occurs"))
     told = found.groupBy("slice").agg(F.array_sort(F.collect_list(F.struct("bucket", "blob"))).alias("told"))
