@@ -1,4 +1,6 @@
 import hashlib
+import os
+import tempfile
 
 import numpy as np
 import pytest
@@ -36,9 +38,10 @@ def test_many_slices_and_columns_in_files(spark, monkeypatch, tmp_path):
     pool = ["".join(rng.choice(list("abcd "), 70)) for _ in range(12)]
     texts = {i: "".join(pool[k][: rng.integers(40, 70)] for k in rng.integers(0, 12, 12)) for i in range(60)}
     docs = documents(spark, texts).repartition(5)
-    got = S.remove(docs, buckets=3, memory=100).collect()
     want = brute(texts)
-    assert {r.doc_id: (r.n_bytes, len(r.kept), r.kept_sha256) for r in got} == {i: (n, n - g, sha) for i, (n, g, _, sha) in want.items()}
+    for hot in (S.HOT_SLICES, 1):
+        got = S.remove(docs, buckets=3, block=100, hot_slices=hot).collect()
+        assert {r.doc_id: (r.n_bytes, len(r.kept), r.kept_sha256) for r in got} == {i: (n, n - g, sha) for i, (n, g, _, sha) in want.items()}
 
 
 def test_empty_table_and_null_ids(spark):
@@ -48,18 +51,36 @@ def test_empty_table_and_null_ids(spark):
     assert got == {None: 80, 1: 0}
 
 
-@given(st.lists(st.binary(max_size=14).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=8))
-@settings(max_examples=200, deadline=None)
-def test_column_index_is_the_sorted_suffix_order(texts):
+@given(st.lists(st.binary(max_size=14).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=8), st.sampled_from([1, 3, 1000]))
+@settings(max_examples=300, deadline=None)
+def test_column_index_is_the_sorted_suffix_order(texts, block):
     data, sizes = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts])
-    for memory in (1 << 30, 0):
-        index = S.ColumnIndex(data, sizes, memory)
-        got = [(int(o) >> 8, int(o) & 255) for o in index.owners]
-        suffixes = sorted(((t[len(t) - k :] + b"", i, k) for i, t in enumerate(texts) for k in range(len(t) + 1)), key=lambda x: ([c + 300 for c in x[0]] + [x[1]]))
-        assert [(i, k) for _, i, k in suffixes] == got
-        common = [0] + [next((n for n, (x, y) in enumerate(zip(a[0], b[0])) if x != y), min(len(a[0]), len(b[0]))) for a, b in zip(suffixes, suffixes[1:])]
-        assert common == [int(p) for p in index.prefixes]
-        index.close()
+    with tempfile.TemporaryDirectory() as folder:
+        for where in (None, f"file://{folder}"):
+            index = S.ColumnIndex(data, sizes, where, block)
+            columns = [np.concatenate(c) for c in zip(*(b for _, b in index.columns.read()))]
+            got = [(int(o) >> 8, int(o) & 255) for o in columns[2]]
+            suffixes = sorted(((t[len(t) - k :] + b"", i, k) for i, t in enumerate(texts) for k in range(len(t) + 1)), key=lambda x: ([c + 300 for c in x[0]] + [x[1]]))
+            assert [(i, k) for _, i, k in suffixes] == got
+            common = [0] + [next((n for n, (x, y) in enumerate(zip(a[0], b[0])) if x != y), min(len(a[0]), len(b[0]))) for a, b in zip(suffixes, suffixes[1:])]
+            assert common == [int(p) for p in columns[1]]
+            before = [texts[i][-k - 1] if k < len(texts[i]) else None for _, i, k in suffixes]
+            assert before == [int(index.values[c - 1]) if c else None for c in columns[0].tolist()]
+            index.close()
+        assert not os.listdir(folder)
+
+
+@given(st.lists(st.text("ab", min_size=6, max_size=16), min_size=1, max_size=9), st.sampled_from([4, 5, 6]))
+@settings(max_examples=200, deadline=None)
+def test_least_owners(texts, length):
+    raw = [t.encode() for t in texts]
+    owner = np.arange(len(raw))[::-1].copy()
+    least = {}
+    for t, o in zip(raw, owner.tolist()):
+        for j in range(len(t) - length + 1):
+            least[t[j : j + length]] = min(o, least.get(t[j : j + length], o))
+    got = S.least_owners(np.frombuffer(b"".join(raw), np.uint8), np.array([len(t) for t in raw]), owner, length, None, 7)
+    assert got.tolist() == [least[t[j : j + length]] for t in raw for j in range(len(t) - length + 1)]
 
 
 def test_bad_lengths_are_refused(spark):

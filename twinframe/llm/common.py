@@ -53,6 +53,11 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def create(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
 @contextmanager
 def shuffles_end(spark: SparkSession) -> Iterator[None]:
     """Within, the shuffle files of a query go when it ends, not when the driver's garbage is collected."""

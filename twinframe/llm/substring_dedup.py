@@ -4,43 +4,50 @@ A byte goes when a string of `length` bytes that covers it also starts in a docu
 
 1. slices: documents are packed into slices of about 1 MB, one compressed row each, in a table of the shared folder.
 2. anchors: each string of `length` bytes is named by its minimiser, the leftmost of its 20-byte grams with the least hash; equal strings have equal
-   minimisers. Each slice sends the hashes of its distinct minimisers, six bytes each, to buckets; a bucket answers with one bit for each: whether it
-   occurs in more than one document.
+   minimisers. Each slice sends the hashes of its distinct minimisers, six bytes each, to buckets; a bucket answers with two bits for each: whether it
+   occurs in more than one document, and whether more than HOT_SLICES slices hold it.
 3. segments: the maximal runs of strings with one repeated minimiser, as distinct texts of 50 to 80 bytes with their smallest doc_id, go to the
-   buckets of their minimiser. Copies of a segment are one before anything moves, so a line of a third of all documents costs one entry a slice.
-4. collection: a bucket's distinct segments whose minimiser stands in several of them are the multi-document collection. They are indexed column by column
-   from the right: each round inserts one symbol of every segment, and moves the transform and the common prefixes on (ColumnIndex). Segments without a common minimiser have no string in
-   common, so a bucket is indexed in cache-sized parts. Neighbours with a common prefix
-   of `length` are one string; its smallest doc_id goes back to the slices of its segments.
+   buckets of their minimiser. Copies of a segment are one before anything moves, so a line of a third of all documents costs one entry a slice. A hot minimiser's
+   strings go one by one to the buckets of their own hashes, so that its many surroundings never meet in one bucket.
+4. collection: a bucket's distinct segments are the multi-document collection. They are indexed column by column from the right: each round inserts one symbol of
+   every text, and moves the transform and the common prefixes on (ColumnIndex). Segments without a common minimiser have no string in common, so a
+   bucket is indexed in parts of about TOGETHER segments. Neighbours with a common prefix of `length` bytes are one string; its smallest doc_id goes back to the slices
+   of its segments.
 5. The slices mark what is covered. Positions are in the input, never in what is left.
 
+A symbol is a block of several bytes (five for strings of 50), and a text enters once for each way to cut it into blocks from its right end, less what is left over; so
+every string of `length` bytes begins exactly one suffix. That takes a fifth of the rounds. Which strings are equal, and so every removed byte, is read off the index;
+hashes only say what can be left out of it, and join exact copies of a segment.
+
 Null and empty texts have no bytes. A null doc_id counts as greater than any other. Rows of one doc_id do not remove each other.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
-import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinframe.llm.common import _byte_table, drop_written, fresh_path, mix, remove as remove_path, run_hashes, shuffles_end, text_bytes, text_slices, written
+from twinframe.llm.common import _byte_table, create, drop_written, fresh_path, mix, remove as remove_path, run_hashes, shuffles_end, text_bytes, text_slices, written
 
 LENGTH = 50
 GRAM = 20
 #: Bytes of text that one bucket answers for.
-BUCKET_BYTES = 32 << 20
-#: Symbols of a collection beyond which its columns are held in files.
-MEMORY_SYMBOLS = 8 << 20
+BUCKET_BYTES = 8 << 20
+#: Slices that hold a minimiser, beyond which it is hot.
+HOT_SLICES = 1024
+#: Bytes of a symbol at most, and rows of a column that are in memory at a time.
+SYMBOL, BLOCK = 5, 1 << 18
 LAST = (1 << 63) - 1
 SLICE = 1 << 20
-#: Places whose grams are hashed at once, and segments that one index holds (more only if they share a minimiser): both fit a core's cache.
+#: Places whose grams are hashed at once, and segments that one index holds (more only if they share a minimiser).
 STRETCH = 1 << 16
 TOGETHER = 4096
 
@@ -149,8 +156,8 @@ def _six(hashes: np.ndarray) -> np.ndarray:
     return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
 
 
-def anchor_bits(packed: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
-    """slice, bucket, bits: for the slice's distinct anchors of the bucket, in order, whether they occur in several documents of the corpus."""
+def anchor_bits(packed: DataFrame, buckets: int, length: int, gram: int, hot_slices: int = HOT_SLICES) -> DataFrame:
+    """slice, bucket, bits: for the slice's distinct anchors of the bucket, in order, whether they occur in several documents of the corpus, and then whether they are hot."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,11 +182,11 @@ def anchor_bits(packed: DataFrame, buckets: int, length: int, gram: int) -> Data
         several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(rows["several"].to_pylist(), sizes, strict=True)]) > 0
         many = count > 1
         many[at[several]] = True
-        bits, ends = many[at], np.cumsum([0, *sizes])
-        return pa.table([rows["slice"], rows["bucket"], pa.array([np.packbits(bits[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], ["slice", "bucket", "bits"])
+        bits, hot, ends = many[at], (count > hot_slices)[at], np.cumsum([0, *sizes])
+        return pa.table([rows["slice"], rows["bucket"], pa.array([np.packbits([bits[a:b], hot[a:b]]).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], ["slice", "bucket", "bits"])
 
     sent = packed.mapInArrow(send, "bucket long, slice long, hashes binary, several binary")
-    return sent.groupBy("bucket").applyInArrow(answer, "slice long, bucket long, bits binary")
+    return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(answer, "slice long, bucket long, bits binary")
 
 
 def segments(packed: DataFrame, bits: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
@@ -191,19 +198,32 @@ def segments(packed: DataFrame, bits: DataFrame, buckets: int, length: int, gram
             for name, body, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 yield table(name, *opened(body), answers or [])
 
-    def table(name: int, ids: np.ndarray, cuts: np.ndarray, data: np.ndarray, answers: list[dict]) -> pa.RecordBatch:
+    def table(slice_: int, ids: np.ndarray, cuts: np.ndarray, data: np.ndarray, answers: list[dict]) -> pa.RecordBatch:
         starts, counts, place, hashes, doc = minimisers(data, cuts, length, gram)
         anchors, _ = distinct_anchors(hashes, doc)
         owner = bucket_of(anchors, buckets)
-        many = np.zeros(len(anchors), bool)
+        many, hot = np.zeros((2, len(anchors)), bool)
         for a in answers:
             lo, hi = np.searchsorted(owner, (a["bucket"], a["bucket"] + 1))
-            many[lo:hi] = np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=hi - lo) > 0
-        keep = many[np.searchsorted(anchors, hashes)] if len(anchors) else np.zeros(0, bool)
+            many[lo:hi], hot[lo:hi] = np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=2 * (hi - lo)).reshape(2, -1) > 0
+        which = np.searchsorted(anchors, hashes) if len(anchors) else np.zeros(0, np.int64)
+        keep = many[which] if len(anchors) else np.zeros(0, bool)
         starts, counts, place, hashes, doc = starts[keep], counts[keep], place[keep], hashes[keep], doc[keep]
+        # what names a segment's group: its minimiser, or the whole string where that is hot
+        name, wide = place - starts, np.full(len(starts), gram)
+        if hot.any():
+            single = hot[which[keep]]
+            n = np.where(single, counts, 1)
+            take = np.repeat(np.arange(len(starts)), n)
+            inside = np.arange(len(take)) - np.repeat(np.cumsum(n) - n, n)
+            single = single[take]
+            starts, counts, hashes, doc = starts[take] + inside, np.where(single, 1, counts[take]), hashes[take], doc[take]
+            name, wide = np.where(single, 0, name[take]), np.where(single, length, gram)
+            hashes = hashes.copy()
+            hashes[single] = mix(run_hashes(data, starts[single], starts[single] + length), 22)
         content = run_hashes(data, starts, starts + counts + (length - 1))
         by = np.lexsort((ids[doc], content, bucket_of(hashes, buckets)))
-        starts, counts, place, hashes, doc, content = (x[by] for x in (starts, counts, place, hashes, doc, content))
+        starts, counts, name, wide, hashes, doc, content = (x[by] for x in (starts, counts, name, wide, hashes, doc, content))
         new = np.ones(len(by), bool)
         new[1:] = content[1:] != content[:-1]
         at = np.flatnonzero(new)  # the first of each is the one with the smallest doc_id
@@ -217,114 +237,237 @@ def segments(packed: DataFrame, bits: DataFrame, buckets: int, length: int, gram
             sizes = counts[own] + (length - 1)
             where = np.repeat(starts[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
             names.append(b)
-            blobs.append(pack(ids[doc[own]].astype("<i8"), sizes.astype("<u2"), (place[own] - starts[own]).astype("<u2"), data[where]))
-        return pa.record_batch([pa.array(np.full(len(names), name)), pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], ["slice", "bucket", "blob"])
+            blobs.append(pack(ids[doc[own]].astype("<i8"), sizes.astype("<u2"), name[own].astype("u1"), wide[own].astype("u1"), data[where]))
+        return pa.record_batch([pa.array(np.full(len(names), slice_)), pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], ["slice", "bucket", "blob"])
 
     return packed.join(known, "slice", "left").select("slice", "body", "known").mapInArrow(run, "slice long, bucket long, blob binary")
 
 
+class Columns:
+    """The columns of an index, block by block, in one file that is written and read front to back; without a folder, in memory."""
+
+    def __init__(self, kinds: tuple[str, ...], folder: str | None, block: int):
+        self.kinds, self.block = [np.dtype(k) for k in kinds], block
+        self.fs, self.path = opened_folder(folder) if folder else (None, "")
+        self.path += f"/columns-{uuid.uuid4().hex}-"
+        self.turn, self.sizes, self.blocks, self.out = 0, [], [], None
+
+    def begin(self) -> None:
+        """What is put from now on makes the next columns; blocks() still reads the ones before."""
+        self.next_sizes, self.next_blocks, self.turn = [], [], self.turn + 1
+        if self.fs:
+            self.out = self.fs.open_output_stream(f"{self.path}{self.turn}")
+
+    def put(self, *parts: np.ndarray) -> None:
+        for at in range(0, len(parts[0]), self.block):
+            piece = [np.ascontiguousarray(p[at : at + self.block], k) for p, k in zip(parts, self.kinds, strict=True)]
+            self.next_sizes.append(len(piece[0]))
+            if self.out:
+                for p in piece:
+                    self.out.write(p.data)
+            else:
+                self.next_blocks.append(piece)
+
+    def end(self) -> None:
+        if self.out:
+            self.out.close()
+            self.out = None
+        self._drop(self.turn - 1)
+        self.sizes, self.blocks = self.next_sizes, self.next_blocks
+
+    def read(self) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """The place of each block's first row, and its columns. Between begin() and end(): those of the columns before."""
+        at, turn = 0, self.turn - (self.out is not None)
+        file = self.fs.open_input_stream(f"{self.path}{turn}") if self.fs and self.sizes else None
+        for k, n in enumerate(self.sizes):
+            yield at, [np.frombuffer(file.read(n * kind.itemsize), kind) for kind in self.kinds] if file else self.blocks[k]
+            at += n
+        if file:
+            file.close()
+
+    def _drop(self, turn: int) -> None:
+        if self.fs and turn > 0:
+            self.fs.delete_file(f"{self.path}{turn}")
+
+    def close(self) -> None:
+        self._drop(self.turn)
+        self.sizes, self.blocks = [], []
+
+
+def opened_folder(uri: str) -> tuple[pafs.FileSystem, str]:
+    if uri.startswith("file:/"):
+        return pafs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(uri)
+
+
 class ColumnIndex:
     """Burrows-Wheeler transform and common prefixes of many texts, built from the right, one symbol of each text a round.
 
-    The transform holds, for each suffix so far in order, the symbol before it (0 where the text is used up or its next symbol is not known to exist).
-    Round by round, a suffix preceded by symbol c becomes the suffix that starts with c: the c's of the transform, in order, are the c-suffixes in order. So the
-    new suffixes' places follow from one stable sort by symbol, and everything else keeps its order. The common prefix of two neighbouring c-suffixes is one more
-    than the least common prefix between the two places they came from; it only has to be found for new suffixes and those that follow them.
-    Ends of texts differ from each other and precede every symbol.
+    symbols: what the texts consist of, end to end; sizes: the texts' lengths, 255 at most. The transform holds, for each suffix so far in order, the number of the
+    symbol before it (from 1; 0 where the text is used up). A suffix preceded by symbol c becomes the suffix that starts with c: the c's of the transform, in order, are
+    the c-suffixes in order. So a new suffix stands where the symbols less than its own, and those equal to it before its old place, end. The common prefix of two
+    neighbouring c-suffixes is one more than the least common prefix between the two places they came from; it has to be found for new suffixes and those right after
+    them. Ends of texts differ from each other and precede every symbol.
 
-    Columns (transform, prefixes, owners) are written anew each round, front to back; beyond `memory` symbols they are files, read and written in order.
+    A round reads the columns (transform, prefixes, owners) twice, front to back: to find the places, and to write the next columns with the new rows in them. In memory
+    are one block, a few values for each symbol, and one for each text.
     """
 
-    def __init__(self, data: np.ndarray, sizes: np.ndarray, memory: int = MEMORY_SYMBOLS):
-        n = len(sizes)
-        # symbols are numbered from 1 in their order; 0 stands before a text's first
-        used = np.flatnonzero(np.bincount(data, minlength=256))
-        self.number = np.zeros(256, np.uint8 if len(used) < 255 else np.uint16)
-        self.number[used] = np.arange(1, len(used) + 1)
-        self.files = tempfile.TemporaryDirectory(prefix="columns-") if int(sizes.sum()) + n > memory else None
-        self._turn = 0
-        ends = np.cumsum(sizes)
-        self.ends, self.data = ends, data
-        self._keep(self._before(np.arange(n), np.zeros(n, np.int64), sizes), np.zeros(n, np.uint8), np.arange(n, dtype=np.int64) << 8)
-        self.n, self.sizes = n, sizes
+    def __init__(self, symbols: np.ndarray, sizes: np.ndarray, folder: str | None = None, block: int = BLOCK):
+        self.n, self.sizes, self.ends = len(sizes), sizes, np.cumsum(sizes)
+        self.values, number = np.unique(symbols, return_inverse=True)
+        self.symbols = (number + 1).astype(np.uint16 if len(self.values) < 65535 else np.uint32)
+        self.columns = Columns((self.symbols.dtype.str, "u1", "<i4" if self.n < 1 << 23 else "<i8"), folder, block)
+        self.columns.begin()
+        self.columns.put(self._before(np.arange(self.n), 0), np.zeros(self.n, np.uint8), np.arange(self.n) << 8)
+        self.columns.end()
         fresh = np.flatnonzero(sizes > 0)
         for done in range(1, int(sizes.max(initial=0)) + 1):
             fresh = self._round(fresh, done)
 
-    def _before(self, text: np.ndarray, done: np.ndarray | int, sizes: np.ndarray) -> np.ndarray:
+    def _before(self, text: np.ndarray, done: int) -> np.ndarray:
         """The number of the symbol before the last `done` symbols of the texts; 0 where there is none."""
-        left = sizes[text] - done > 0
-        out = np.zeros(len(text), self.number.dtype)
-        out[left] = self.number[self.data[(self.ends[text] - done - 1)[left]]]
+        out = np.zeros(len(text), self.symbols.dtype)
+        left = self.sizes[text] > done
+        out[left] = self.symbols[(self.ends[text] - done - 1)[left]]
         return out
 
-    def _keep(self, symbols: np.ndarray, prefixes: np.ndarray, owners: np.ndarray) -> None:
-        columns = {"symbols": symbols, "prefixes": prefixes, "owners": owners}
-        if self.files:
-            self._turn += 1
-            for name, column in columns.items():
-                path = os.path.join(self.files.name, f"{name}{self._turn % 2}")
-                column.tofile(path)
-                columns[name] = np.memmap(path, column.dtype, "r") if len(column) else column
-        self.symbols, self.prefixes, self.owners = columns.values()
+    def _places(self, fresh: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Number, rank among all equal numbers, and text of each fresh suffix; number, rank and common prefix (before the symbol) of those and of the ones after them."""
+        m = len(self.values) + 1
+        count, since, last_new = np.zeros(m, np.int64), np.full(m, 255, np.uint8), np.zeros(m, bool)
+        new, turned = [], []
+        for at, (symbols, prefixes, owners) in self.columns.read():
+            marked = np.zeros(len(symbols), bool)
+            lo, hi = np.searchsorted(fresh, (at, at + len(symbols)))
+            marked[fresh[lo:hi] - at] = True
+            order = np.argsort(symbols, kind="stable")
+            number = symbols[order].astype(np.int64)
+            first = np.flatnonzero(np.diff(number, prepend=-1))
+            group = np.diff(np.append(first, len(number)))
+            rank = np.arange(len(number)) - np.repeat(first, group) + count[number]
+            is_new = marked[order]
+            own = np.flatnonzero(is_new)
+            new.append((number[own], rank[own], owners[order[own]] >> 8))
+            # a row's prefix is found anew if it or the one before it (of its number) is new
+            after = np.empty(len(number), bool)
+            after[1:] = is_new[:-1]
+            after[first] = last_new[number[first]]
+            turn = np.flatnonzero((is_new | after) & (number > 0))
+            levels = _minima(prefixes)
+            opens = np.zeros(len(number), bool)
+            opens[first] = True
+            start = np.where(opens[turn], 0, order[turn - 1] + 1)
+            least = _least(levels, start, order[turn] + 1)
+            least = np.where(opens[turn], np.minimum(least, since[number[turn]]), least)
+            turned.append((number[turn], rank[turn], least))
+            # what the next block has to know of each number: how many, whether its last row is new, the least prefix since
+            names, last = number[first], first + group - 1
+            count[names] += group
+            last_new[names] = is_new[last]
+            since = np.minimum(since, prefixes.min())
+            begin = np.minimum(order[last] + 1, len(prefixes) - 1)
+            since[names] = np.where(order[last] + 1 < len(prefixes), _least(levels, begin, np.full(len(begin), len(prefixes))), 255)
+        below = np.cumsum(count) - count - count[0]  # rows of lesser symbols
+        number, rank, text = (np.concatenate(x) for x in zip(*new, strict=True))
+        t_number, t_rank, least = (np.concatenate(x) for x in zip(*turned, strict=True))
+        return below[number] + rank, text, below[t_number] + t_rank, np.where(t_rank > 0, np.minimum(least, 254) + 1, 0)
 
     def _round(self, fresh: np.ndarray, done: int) -> np.ndarray:
         """fresh: the places of the suffixes of `done` - 1 symbols that have a symbol before them, in order. Inserts those of `done`; returns their places that go on."""
-        symbols, prefixes, owners, n = np.asarray(self.symbols), np.asarray(self.prefixes), np.asarray(self.owners), self.n
-        order = np.argsort(symbols, kind="stable")
-        order = order[np.searchsorted(symbols[order], 1) :]
-        marked = np.zeros(len(symbols), bool)
-        marked[fresh] = True
-        is_new = marked[order]
-        total = n + len(order)
-        slots = np.flatnonzero(is_new) + n
-        text = owners[order[is_new]] >> 8
-        old = np.ones(total, bool)
-        old[slots] = False
-        out = [np.empty(total, c.dtype) for c in (symbols, prefixes, owners)]
-        for column, was in zip(out, (symbols, prefixes, owners), strict=True):
-            column[old] = was
-        out[0][slots] = self._before(text, done, self.sizes)
-        out[2][slots] = text << 8 | done
-        # common prefixes of the new suffixes and of those right after them
-        turn = is_new.copy()
-        turn[1:] |= is_new[:-1]
-        turn = np.flatnonzero(turn)
-        back = turn[turn > 0]
-        same = symbols[order[back]] == symbols[order[back - 1]]
-        out[1][turn + n] = 0
-        back = back[same]
-        if len(back):
-            lo, hi = order[back - 1] + 1, order[back] + 1
-            by = np.argsort(lo, kind="stable")
-            padded = np.append(prefixes, np.uint8(255))
-            least = np.minimum.reduceat(padded, np.stack([lo[by], hi[by]], axis=1).ravel())[::2]
-            out[1][back[by] + n] = np.minimum(least, 254) + 1
-        self._keep(*out)
-        return slots[out[0][slots] > 0]
+        slots, text, turned, prefix = self._places(fresh)
+        by = np.argsort(slots)
+        slots, text = slots[by] + self.n, text[by]
+        by = np.argsort(turned)
+        turned, prefix = turned[by] + self.n, prefix[by]
+        symbols, owners = self._before(text, done), text << 8 | done
+        ahead = slots - np.arange(len(slots))  # old rows before each new one
+        self.columns.begin()
+        at = used = 0
+        for begin, old in self.columns.read():
+            last = begin + len(old[0]) == sum(self.columns.sizes)
+            to = len(slots) if last else int(np.searchsorted(ahead, begin + len(old[0])))
+            total = len(old[0]) + to - used
+            where = slots[used:to] - at
+            kept = np.ones(total, bool)
+            kept[where] = False
+            out = []
+            for column, rows in zip(old, (symbols, None, owners), strict=True):
+                wide = np.empty(total, column.dtype)
+                wide[kept] = column
+                if rows is not None:
+                    wide[where] = rows[used:to]
+                out.append(wide)
+            lo, hi = np.searchsorted(turned, (at, at + total))
+            out[1][turned[lo:hi] - at] = prefix[lo:hi]
+            self.columns.put(*out)
+            at, used = at + total, to
+        self.columns.end()
+        return slots[symbols > 0]
 
     def close(self) -> None:
-        if self.files:
-            self.symbols = self.prefixes = self.owners = None
-            self.files.cleanup()
+        self.columns.close()
 
 
-def least_owners(data: np.ndarray, sizes: np.ndarray, owner: np.ndarray, length: int, memory: int = MEMORY_SYMBOLS) -> np.ndarray:
-    """For each string of `length` symbols of the texts, text by text in order of place: the least owner of a text that holds it."""
-    index = ColumnIndex(data, sizes, memory)
+def _minima(values: np.ndarray) -> list[np.ndarray]:
+    """The least of every 1, 2, 4, ... neighbours."""
+    out, width = [values], 1
+    while width * 2 <= len(values):
+        out.append(np.minimum(out[-1][:-width], out[-1][width:]))
+        width *= 2
+    return out
+
+
+def _least(levels: list[np.ndarray], lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The least value of each range from lo to hi (exclusive, not empty)."""
+    level = np.frexp((hi - lo).astype(np.float64))[1] - 1
+    out = np.empty(len(lo), np.uint8)
+    for k in np.unique(level).tolist():
+        some = np.flatnonzero(level == k)
+        out[some] = np.minimum(levels[k][lo[some]], levels[k][hi[some] - (1 << k)])
+    return out
+
+
+def _cut(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """The texts as blocks of symbols: symbols end to end and their number a text; each such text's source, and the bytes left over at its right end."""
+    width = max(w for w in range(1, SYMBOL + 1) if length % w == 0)
+    value = np.zeros(max(0, len(data) - width + 1), np.uint64)
+    for k in range(width):
+        value = value << np.uint64(8) | data[k : len(data) - width + 1 + k]
+    ways = np.minimum(width, sizes - length + 1)
+    source = np.repeat(np.arange(len(sizes)), ways)
+    over = np.arange(len(source)) - np.repeat(np.cumsum(ways) - ways, ways)
+    count = (sizes[source] - over) // width
+    ends = np.cumsum(sizes)[source] - over
+    begin = np.repeat(ends - count * width, count)
+    inside = np.arange(len(begin)) - np.repeat(np.cumsum(count) - count, count)
+    return value[begin + inside * width], count, source, over, width
+
+
+def least_owners(data: np.ndarray, sizes: np.ndarray, owner: np.ndarray, length: int, folder: str | None = None, block: int = BLOCK) -> np.ndarray:
+    """For each string of `length` bytes of the texts, text by text in order of place: the least owner of a text that holds it."""
+    counts = sizes - length + 1
+    out, first = np.empty(int(counts.sum()), np.int64), np.cumsum(counts) - counts
+    symbols, count, source, over, width = _cut(data, sizes, length)
+    index = ColumnIndex(symbols, count, folder, block)
     try:
-        long = np.flatnonzero((index.owners & 255) >= length)
-        if not len(long):
-            return np.zeros(0, np.int64)
-        group = np.cumsum(np.asarray(index.prefixes) < length)[long]
-        text, size = index.owners[long] >> 8, index.owners[long] & 255
+        # suffixes of a string's length or more, in order; equal strings are neighbours
+        groups, rows, group = [], [], 0
+        for _, (_, prefixes, owners) in index.columns.read():
+            starts = group + np.cumsum(prefixes < length // width)
+            group = int(starts[-1])
+            long = np.flatnonzero((owners & 255) >= length // width)
+            groups.append(starts[long])
+            rows.append(owners[long].astype(np.int64))
     finally:
         index.close()
+    if not rows or not sum(map(len, rows)):
+        return out
+    group, row = np.concatenate(groups), np.concatenate(rows)
+    text, size = source[row >> 8], (row & 255) * width + over[row >> 8]
     at = np.flatnonzero(np.diff(group, prepend=-1))
     least = np.repeat(np.minimum.reduceat(owner[text], at), np.diff(np.append(at, len(group))))
-    counts = sizes - length + 1
-    out = np.empty(int(counts.sum()), np.int64)
-    out[(np.cumsum(counts) - counts)[text] + sizes[text] - size] = least
+    out[first[text] + sizes[text] - size] = least
     return out
 
 
@@ -338,31 +481,29 @@ def _together(group: np.ndarray) -> Iterator[slice]:
         at = end
 
 
-def answers(sent: DataFrame, length: int, gram: int, memory: int = MEMORY_SYMBOLS) -> DataFrame:
+def answers(sent: DataFrame, buckets: int, length: int, folder: str | None = None, block: int = BLOCK) -> DataFrame:
     """For each slice and bucket, in the order of its segments: runs of strings and their least doc_id (blob)."""
 
     def run(rows: pa.Table) -> pa.Table:
-        parts = [unpack(b, "<i8", "<u2", "<u2", "u1") for b in rows["blob"].to_pylist()]
-        owner, sizes, place, data = (np.concatenate([p[k] for p in parts]) for k in range(4))
-        sizes, place = sizes.astype(np.int64), place.astype(np.int64)
+        parts = [unpack(b, "<i8", "<u2", "u1", "u1", "u1") for b in rows["blob"].to_pylist()]
+        owner, sizes, name, wide, data = (np.concatenate([p[k] for p in parts]) for k in range(5))
+        sizes, name, wide = (x.astype(np.int64) for x in (sizes, name, wide))
         ends = np.cumsum(sizes)
         starts = ends - sizes
-        content, anchor = run_hashes(data, starts, ends), run_hashes(data, starts + place, starts + place + gram)
+        content = run_hashes(data, starts, ends)
         _, first, which = np.unique(content, return_index=True, return_inverse=True)
         own = np.full(len(first), LAST)
         np.minimum.at(own, which, owner)
         counts = sizes[first] - length + 1
-        least = np.repeat(own, counts)
-        # only minimisers that stand in several distinct segments need the index
-        _, group, many = np.unique(anchor[first], return_inverse=True, return_counts=True)
-        mixed = np.flatnonzero(many[group] > 1)
-        mixed = mixed[np.argsort(group[mixed], kind="stable")]
+        least = np.empty(int(counts.sum()), np.int64)
+        group = run_hashes(data, starts[first] + name[first], starts[first] + name[first] + wide[first])
+        by = np.argsort(group, kind="stable")
         at = np.cumsum(counts) - counts
-        for some in _together(group[mixed]):
-            own_at, take = mixed[some], first[mixed[some]]
+        for some in _together(group[by]):
+            own_at, take = by[some], first[by[some]]
             where = np.repeat(starts[take] - np.cumsum(sizes[take]) + sizes[take], sizes[take]) + np.arange(sizes[take].sum())
             target = np.repeat(at[own_at] - np.cumsum(counts[own_at]) + counts[own_at], counts[own_at]) + np.arange(counts[own_at].sum())
-            least[target] = least_owners(data[where], sizes[take], own[own_at], length, memory)
+            least[target] = least_owners(data[where], sizes[take], own[own_at], length, folder, block)
         # runs of equal answers within each distinct segment
         new = np.ones(len(least), bool)
         new[1:] = least[1:] != least[:-1]
@@ -379,10 +520,10 @@ def answers(sent: DataFrame, length: int, gram: int, memory: int = MEMORY_SYMBOL
             blobs.append(pack(n_runs[w].astype("u1"), run_size[take].astype("u1"), run_least[take].astype("<i8")))
         return pa.table([rows["slice"], rows["bucket"], pa.array(blobs, pa.binary())], ["slice", "bucket", "blob"])
 
-    return sent.groupBy("bucket").applyInArrow(run, "slice long, bucket long, blob binary")
+    return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, "slice long, bucket long, blob binary")
 
 
-def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes: bool = True, buckets: int | None = None, memory: int = MEMORY_SYMBOLS) -> DataFrame:
+def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes: bool = True, buckets: int | None = None, block: int = BLOCK, hot_slices: int = HOT_SLICES) -> DataFrame:
     """doc_id, n_bytes, spans (removed byte intervals, maximal), kept_sha256 and, with keep_bytes, kept (the remaining bytes) of every row of docs.
 
     length may be up to 128 and at least 2 * gram; a gram is at least 8 bytes.
@@ -394,14 +535,17 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes:
     if buckets is None:
         total = packed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
-    bits = written(anchor_bits(packed, buckets, length, gram), "anchor-bits")
+    bits = written(anchor_bits(packed, buckets, length, gram, hot_slices), "anchor-bits")
     # segments and their places are one computation and two tables: the first is gone once it is answered
     path = fresh_path(spark, "segments")
     with shuffles_end(spark):
         segments(packed, bits, buckets, length, gram).withColumn("sent", (F.col("bucket") >= 0).cast("int")).write.partitionBy("sent").parquet(path)
     drop_written(bits)
     schema = "slice long, bucket long, blob binary, sent int"
-    found = written(answers(spark.read.schema(schema).parquet(path).where("sent = 1").drop("sent"), length, gram, memory), "answers")
+    folder = fresh_path(spark, "columns")  # goes whole, with what lost tasks leave there
+    create(spark, folder)
+    found = written(answers(spark.read.schema(schema).parquet(path).where("sent = 1").drop("sent"), buckets, length, folder, block), "answers")
+    remove_path(spark, folder)
     remove_path(spark, f"{path}/sent=1")
     where = spark.read.schema(schema).parquet(path).where("sent = 0").select("slice", F.col("blob").alias("occurs"))
     told = found.groupBy("slice").agg(F.array_sort(F.collect_list(F.struct("bucket", "blob"))).alias("told"))
