@@ -15,9 +15,9 @@ A byte goes when a string of `length` bytes that covers it also starts in a docu
    of its segments.
 5. The slices mark what is covered. Positions are in the input, never in what is left.
 
-A symbol is a block of several bytes (five for strings of 50), and a text enters once for each way to cut it into blocks from its right end, less what is left over; so
-every string of `length` bytes begins exactly one suffix. That takes a fifth of the rounds. Which strings are equal, and so every removed byte, is read off the index;
-hashes only say what can be left out of it, and join exact copies of a segment.
+A symbol is a block of several bytes (ten for strings of 50), numbered by its rank among those that occur, and a text enters once for each way to cut it into blocks from its right end, less what is left over; so every string of `length` bytes begins exactly one suffix. That takes a
+tenth of the rounds. Which strings are equal, and so every removed byte, is read off the index; hashes only say what can be left out of it, and join exact copies of a
+segment.
 
 Null and empty texts have no bytes. A null doc_id counts as greater than any other. Rows of one doc_id do not remove each other.
 """
@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +44,12 @@ BUCKET_BYTES = 8 << 20
 #: Slices that hold a minimiser, beyond which it is hot.
 HOT_SLICES = 1024
 #: Bytes of a symbol at most, and rows of a column that are in memory at a time.
-SYMBOL, BLOCK = 5, 1 << 18
+SYMBOL, BLOCK = 10, 1 << 18
 LAST = (1 << 63) - 1
 SLICE = 1 << 20
 #: Places whose grams are hashed at once, and segments that one index holds (more only if they share a minimiser).
 STRETCH = 1 << 16
-TOGETHER = 4096
+TOGETHER = 1536
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -126,7 +126,8 @@ def minimisers(data: np.ndarray, cuts: np.ndarray, length: int = LENGTH, gram: i
     # runs end where their document does; strings that would cross into the next one do not count
     last = cuts[1:] - length + 1
     begin = cuts[:-1][last > cuts[:-1]]
-    starts = np.union1d(first, begin)
+    starts = np.sort(np.concatenate([first, begin]), kind="stable")  # two sorted runs
+    starts = starts[np.diff(starts, prepend=-1) > 0]
     doc = np.searchsorted(cuts, starts, side="right") - 1
     ends = np.minimum(np.append(starts[1:], n), last[doc])
     keep = ends > starts
@@ -333,53 +334,57 @@ class ColumnIndex:
         return out
 
     def _places(self, fresh: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Number, rank among all equal numbers, and text of each fresh suffix; number, rank and common prefix (before the symbol) of those and of the ones after them."""
+        """The places of the new suffixes and their texts; the places of all whose common prefix is found anew, and that prefix."""
         m = len(self.values) + 1
         count, since, last_new = np.zeros(m, np.int64), np.full(m, 255, np.uint8), np.zeros(m, bool)
-        new, turned = [], []
+        turned, total, zeros = [], sum(self.columns.sizes), 0
         for at, (symbols, prefixes, owners) in self.columns.read():
-            marked = np.zeros(len(symbols), bool)
-            lo, hi = np.searchsorted(fresh, (at, at + len(symbols)))
+            n = len(symbols)
+            marked = np.zeros(n, bool)
+            lo, hi = np.searchsorted(fresh, (at, at + n))
             marked[fresh[lo:hi] - at] = True
             order = np.argsort(symbols, kind="stable")
-            number = symbols[order].astype(np.int64)
-            first = np.flatnonzero(np.diff(number, prepend=-1))
-            group = np.diff(np.append(first, len(number)))
-            rank = np.arange(len(number)) - np.repeat(first, group) + count[number]
-            is_new = marked[order]
-            own = np.flatnonzero(is_new)
-            new.append((number[own], rank[own], owners[order[own]] >> 8))
+            number = symbols[order]
+            used = int(np.searchsorted(number, 1))
+            order, number, zeros = order[used:], number[used:], zeros + used
+            if not len(order):
+                since = np.minimum(since, prefixes.min())
+                continue
+            opens = np.ones(len(number), bool)
+            np.not_equal(number[1:], number[:-1], out=opens[1:])
+            first, is_new = np.flatnonzero(opens), marked[order]
             # a row's prefix is found anew if it or the one before it (of its number) is new
-            after = np.empty(len(number), bool)
-            after[1:] = is_new[:-1]
-            after[first] = last_new[number[first]]
-            turn = np.flatnonzero((is_new | after) & (number > 0))
-            levels = _minima(prefixes)
-            opens = np.zeros(len(number), bool)
-            opens[first] = True
-            start = np.where(opens[turn], 0, order[turn - 1] + 1)
-            least = _least(levels, start, order[turn] + 1)
-            least = np.where(opens[turn], np.minimum(least, since[number[turn]]), least)
-            turned.append((number[turn], rank[turn], least))
+            turn = is_new.copy()
+            turn[1:] |= is_new[:-1] & ~opens[1:]
+            turn[first] |= last_new[number[first]]
+            turn = np.flatnonzero(turn)
+            own, opened = number[turn], opens[turn]
+            rank = turn - first[np.cumsum(opens)[turn] - 1] + count[own]
+            place = order[turn]
+            least, start = _minima(prefixes), np.where(opened, 0, order[turn - 1] + 1)
+            prefix = least(start, place + 1)
+            prefix = np.where(opened, np.minimum(prefix, since[own]), prefix)
+            fresh_ = is_new[turn]
+            turned.append((own, rank, prefix, fresh_, owners[place] >> 8))
             # what the next block has to know of each number: how many, whether its last row is new, the least prefix since
-            names, last = number[first], first + group - 1
-            count[names] += group
-            last_new[names] = is_new[last]
-            since = np.minimum(since, prefixes.min())
-            begin = np.minimum(order[last] + 1, len(prefixes) - 1)
-            since[names] = np.where(order[last] + 1 < len(prefixes), _least(levels, begin, np.full(len(begin), len(prefixes))), 255)
-        below = np.cumsum(count) - count - count[0]  # rows of lesser symbols
-        number, rank, text = (np.concatenate(x) for x in zip(*new, strict=True))
-        t_number, t_rank, least = (np.concatenate(x) for x in zip(*turned, strict=True))
-        return below[number] + rank, text, below[t_number] + t_rank, np.where(t_rank > 0, np.minimum(least, 254) + 1, 0)
+            names, last = number[first], np.append(first[1:], len(number)) - 1
+            count[names] += last - first + 1
+            if at + n < total:
+                last_new[names] = is_new[last]
+                since = np.minimum(since, prefixes.min())
+                begin = np.minimum(order[last] + 1, n - 1)
+                since[names] = np.where(order[last] + 1 < n, least(begin, np.full(len(begin), n)), 255)
+        below = np.cumsum(count) - count  # rows of lesser symbols
+        own, rank, prefix, is_new, text = (np.concatenate(x) for x in zip(*turned, strict=True))
+        place = below[own] + rank + self.n
+        if len(turned) > 1:
+            by = np.argsort(place)
+            place, rank, prefix, is_new, text = (x[by] for x in (place, rank, prefix, is_new, text))
+        return place[is_new], text[is_new].astype(np.int64), place, np.where(rank > 0, np.minimum(prefix, 254) + 1, 0)
 
     def _round(self, fresh: np.ndarray, done: int) -> np.ndarray:
         """fresh: the places of the suffixes of `done` - 1 symbols that have a symbol before them, in order. Inserts those of `done`; returns their places that go on."""
         slots, text, turned, prefix = self._places(fresh)
-        by = np.argsort(slots)
-        slots, text = slots[by] + self.n, text[by]
-        by = np.argsort(turned)
-        turned, prefix = turned[by] + self.n, prefix[by]
         symbols, owners = self._before(text, done), text << 8 | done
         ahead = slots - np.arange(len(slots))  # old rows before each new one
         self.columns.begin()
@@ -409,31 +414,46 @@ class ColumnIndex:
         self.columns.close()
 
 
-def _minima(values: np.ndarray) -> list[np.ndarray]:
-    """The least of every 1, 2, 4, ... neighbours."""
-    out, width = [values], 1
-    while width * 2 <= len(values):
-        out.append(np.minimum(out[-1][:-width], out[-1][width:]))
-        width *= 2
-    return out
-
-
-def _least(levels: list[np.ndarray], lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """The least value of each range from lo to hi (exclusive, not empty)."""
-    level = np.frexp((hi - lo).astype(np.float64))[1] - 1
-    out = np.empty(len(lo), np.uint8)
-    for k in np.unique(level).tolist():
-        some = np.flatnonzero(level == k)
-        out[some] = np.minimum(levels[k][lo[some]], levels[k][hi[some] - (1 << k)])
-    return out
+def _minima(values: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function that gives the least value of each range from lo to hi (exclusive, not empty), from the least of every 1, 2, 4, ... neighbours."""
+    n = len(values)
+    level = np.zeros(n + 1, np.uint8)
+    for k in range(1, n.bit_length()):
+        level[1 << k :] = k
+    table = np.empty((n.bit_length(), n), np.uint8)
+    table[0] = values
+    for k in range(1, len(table)):
+        width = 1 << k - 1
+        np.minimum(table[k - 1, : n - width], table[k - 1, width:], out=table[k, : n - width])
+    flat = table.ravel()
+
+    def least(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        at = level[hi - lo].astype(np.int64)
+        row = at * n
+        return np.minimum(flat[row + lo], flat[row + hi - (1 << at)])
+
+    return least
+
+
+def _blocks(data: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit number for the block of `width` bytes at each place, equal for equal blocks only: the bytes themselves, or the ranks of two halves."""
+    n = len(data) - width + 1
+    if width <= 8:
+        value = np.zeros(max(0, n), np.uint64)
+        for k in range(width):
+            value <<= np.uint64(8)
+            value |= data[k : n + k]
+        return value
+    half = width // 2
+    rank = np.unique(_blocks(data, half), return_inverse=True)[1].astype(np.uint64)
+    value = rank[:n] << np.uint64(32) | rank[half : n + half]
+    return value
 
 
 def _cut(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """The texts as blocks of symbols: symbols end to end and their number a text; each such text's source, and the bytes left over at its right end."""
-    width = max(w for w in range(1, SYMBOL + 1) if length % w == 0)
-    value = np.zeros(max(0, len(data) - width + 1), np.uint64)
-    for k in range(width):
-        value = value << np.uint64(8) | data[k : len(data) - width + 1 + k]
+    width = max(w for w in range(1, SYMBOL + 1) if length % w == 0 and (w <= 8 or w % 2 == 0))
+    value = _blocks(data, width)
     ways = np.minimum(width, sizes - length + 1)
     source = np.repeat(np.arange(len(sizes)), ways)
     over = np.arange(len(source)) - np.repeat(np.cumsum(ways) - ways, ways)
