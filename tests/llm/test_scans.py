@@ -1,6 +1,7 @@
 """Secrets, chat formatting, toxicity, and the pipeline."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -173,6 +174,26 @@ def test_ordinal_regression_recovers_an_order():
     assert (np.diff(p, axis=1) <= 0).all()
 
 
+def test_fit_is_the_optimum_of_the_penalised_likelihood():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 3))
+    grade = np.digitize(x @ np.array([1.5, -1, 0.3]) + rng.logistic(size=300), [-0.5, 1.0])
+    row, place = np.repeat(np.arange(300), 3), np.tile(np.arange(3), 300)
+    model = toxicity.fit(row, place, x.ravel(), grade, steps=4000, rate=0.02, ridge=0.01)
+
+    def loss(p):
+        cut = [-np.inf, p[3], p[4], np.inf]
+        total = 0.0
+        for i in range(300):
+            z = sum(x[i, k] * p[k] for k in range(3))
+            total -= math.log(1 / (1 + math.exp(-(cut[grade[i] + 1] - z))) - (0 if grade[i] == 0 else 1 / (1 + math.exp(-(cut[grade[i]] - z)))))
+        return total / 300 + 0.005 * sum(w * w for w in p[:3])
+
+    best = np.array([*model.weights[:3], *model.thresholds])
+    slope = [(loss(best + e) - loss(best - e)) / 2e-4 for e in np.eye(5) * 1e-4]
+    assert max(map(abs, slope)) < 2e-3
+
+
 def test_toxicity_on_held_out_labels(spark, sf):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     train, test = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")

@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.llm.cases import TEXTS, documents, empty
+from twinframe.llm.common import mix, run_hashes
 from twinframe.llm import byte_bpe, id_files, simhash, token_counts
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -59,6 +62,15 @@ def test_token_counts_equal_the_library(spark):
     assert token_counts.count(empty(spark), PIECES).count() == 0
 
 
+@pytest.mark.parametrize("text", ["<s>", "a<0x0A>b", "</s> x<unk>", "<0x41><0x42> <s></s>"])
+def test_what_looks_like_a_special_piece_is_text(text):
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    special = lambda i: model.is_unknown(i) or model.is_control(i) or model.is_byte(i)
+    tok = tokenizers.Tokenizer(tokenizers.models.Unigram([(f"\ue000{i}" if special(i) else model.id_to_piece(i), -math.log(i + 1)) for i in range(model.get_piece_size())], 0, False))
+    tok.pre_tokenizer = tokenizers.pre_tokenizers.Metaspace()
+    assert token_counts.counter(PIECES)(text)[1] == len(tok.encode(text, add_special_tokens=False).ids)
+
+
 @given(st.text("ab \n", max_size=40))
 @settings(max_examples=200, deadline=None)
 def test_ties_are_the_libraries(text):
@@ -131,6 +143,23 @@ def test_every_letter_below_u0250_is_split_as_the_library_does():
     assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_fingerprints_are_the_weighted_votes():
+    def print_of(text):
+        words = re.findall(rb"[^\x00-\x20]+", text.encode().translate(bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))))
+        one = lambda w: int(run_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0])
+        mixed = lambda x, seed=0: int(mix(np.array([x % 2**64], np.uint64), seed)[0])
+        terms = Counter((one(w), 1.0) for w in words) + Counter((mixed(one(a) * 0x9E3779B97F4A7C15 + one(b)), 3.0) for a, b in zip(words, words[1:]))
+        votes = [0.0] * 128
+        for (term, kind), n in terms.items():
+            bits = b"".join(mixed(term, 3000 + k).to_bytes(8, "little") for k in range(2))
+            for i in range(128):
+                votes[i] += kind * (1 + math.log(n)) * (1 if bits[i // 8] >> (7 - i % 8) & 1 else -1)
+        return "".join(f"{sum((votes[i + k] > 0) << (7 - k) for k in range(8)):02x}" for i in range(0, 128, 8))
+
+    texts = ["A few words and a few more words", "x", "", "é É é " * 9, "\x00a\tb c  a b"]
+    assert [p.tobytes().hex() for p in simhash.fingerprints(texts)] == [print_of(t) for t in texts]
+
+
 def test_edit_report(spark):
     got = {r.doc_id: r for r in simhash.edit_report(documents(spark).repartition(5), partitions=3).collect()}
     ids = sorted(TEXTS, reverse=True)

@@ -7,8 +7,9 @@ strictly better); a code point without a piece of its own may also be unknown, a
 Spaces become the word mark; a text starts with a mark of its own unless it starts with one; each mark starts a new stretch, and no piece crosses
 into another stretch. So a text's count is the sum of its stretches', and a worker remembers those it has counted, up to a bound.
 
-The vocabulary is read from a sentencepiece model file; its pieces stand in order of frequency, and the score of the piece in place r (from 0) is
--ln(r + 1) (Zipf's law). Nulls and empty texts have no tokens and score 0.
+The vocabulary is read from a sentencepiece model file. Its unknown, control and byte pieces stand for no text: strings that look like them ("<s>", "<0x0A>")
+are ordinary text. The others stand in order of frequency, and the score of the piece in place r of the file (from 0) is -ln(r + 1) (Zipf's law): the file carries
+no probabilities, and tokenizers are not trained here. Nulls and empty texts have no tokens and score 0.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ CACHED_CHARS = 48
 
 def vocabulary(model_file: str) -> list[tuple[str, float]]:
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
-    return [(model.id_to_piece(i), -math.log(i + 1)) for i in range(model.get_piece_size())]
+    special = lambda i: model.is_unknown(i) or model.is_control(i) or model.is_byte(i) or model.is_unused(i)
+    return [(model.id_to_piece(i), -math.log(i + 1)) for i in range(model.get_piece_size()) if not special(i)]
 
 
 class Counter:
