@@ -49,6 +49,13 @@ def test_stages_end_to_end(spark, tmp_path):
     (tmp_path / "feedback.json").write_text(json.dumps(feedback))
     assert artifacts.targets(spark, f"{t}/feedback.json").count() == 0
     assert artifacts.overrides(spark, f"{t}/feedback.json").first().radius_delta == 4
+    assert feedback["actions"]["expand_candidates"]["per_ref"] == [] and feedback["actions"]["tighten_verification"]["top2_margin"] == 6.0
+    feedback["actions"]["tighten_verification"] = {"refs": ["r0.png", {"ref": "low|r1.png", "min_inliers": 100000}], "top2_margin": 9.0, "ssim_th": 0.95}
+    (tmp_path / "tight.json").write_text(json.dumps(feedback))
+    tight = {r.ref: (r.top2_margin, r.ssim_th, r.min_inliers) for r in artifacts.tightened(spark, f"{t}/tight.json").collect()}
+    assert tight == {"r0.png": (9.0, 0.95, None), "r1.png": (9.0, 0.95, 100000.0)}
+    cli.main(["match", f"{t}/v_reference", f"{t}/v_extracted", "--candidates", f"{t}/candidates", "--out", f"{t}/again", "--mutual-check", "--verify-photometric", "--feedback-in", f"{t}/tight.json"])
+    assert "A" not in {r.phase for r in spark.read.parquet(f"{t}/again/pairs").where("ref = 'r1.png'").collect()}
     small = pixels.encode_png(np.zeros((8, 8, 3), np.uint8))
     doc = spark.read.format("binaryFile").load(str(docs)).first().path
     spark.createDataFrame([(doc, "BinData/BIN0000.png", small), (doc, "BinData/none", small)], "doc string, stream string, png binary").write.parquet(f"{t}/todo")

@@ -41,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--feedback-in"), a.add_argument("--only-refs")
 
     a = stage.add_parser("match", help="candidates to scores and an assignment")
+    a.add_argument("--feedback-in")
     a.add_argument("references"), a.add_argument("extracted"), a.add_argument("--candidates", required=True), a.add_argument("--out", required=True)
     a.add_argument("--ratio", type=float, default=0.75), a.add_argument("--mutual-check", action="store_true"), a.add_argument("--ransac-th", type=float, default=5.0)
     a.add_argument("--min-inliers", type=int, default=12), a.add_argument("--min-inlier-ratio", type=float, default=0.22), a.add_argument("--enable-recall-sweep", action="store_true")
@@ -106,7 +107,8 @@ def match(spark: SparkSession, a: argparse.Namespace) -> None:
     p = pairing.Pairing(a.ratio, a.mutual_check, a.ransac_th, a.ssim_th, a.ncc_th, a.enable_ecc, a.use_gssim)
     pairing.scored(found, sides[0], sides[1], p).write.mode("overwrite").parquet(f"{a.out}/scores")
     r = matching.Rules(a.min_inliers, a.min_inlier_ratio, a.enable_recall_sweep, a.min_inliers_b, a.min_inlier_ratio_b, a.verify_photometric, a.ssim_th, a.ncc_th, a.top2_margin, a.top2_multiplier)
-    matching.classified(spark.read.parquet(f"{a.out}/scores"), r, cap=a.max_cands_per_ref).write.mode("overwrite").parquet(f"{a.out}/pairs")
+    overrides = artifacts.tightened(spark, a.feedback_in) if a.feedback_in else None
+    matching.classified(spark.read.parquet(f"{a.out}/scores"), r, overrides, a.max_cands_per_ref).write.mode("overwrite").parquet(f"{a.out}/pairs")
     pairs = spark.read.parquet(f"{a.out}/pairs")
     done = matching.assign_greedy(pairs) if a.assign == "greedy" else matching.assign_reuse(pairs)
     done.write.mode("overwrite").parquet(f"{a.out}/assigned")

@@ -61,6 +61,10 @@ def suggestions(scores: DataFrame, mapping: DataFrame, n: int = 20, only_unmatch
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max(1, n))
 
 
+# What an expanded reference takes in the next run.
+RADIUS_DELTA, HIST, LEAST = 4.0, 0.80, 12.0
+
+
 @dataclass(frozen=True)
 class Thresholds:
     ssim: float = 0.90
@@ -105,22 +109,28 @@ def feedback(refs: DataFrame, scores: DataFrame, mapping: DataFrame, suspects: D
     """One row for each reference and action: action (redo_preprocess, expand_candidates, tighten_verification), ref, and the values the next run takes."""
     none = F.lit(None).cast("double")
     redo = redo_refs(refs, scores).select(F.lit("redo_preprocess").alias("action"), "ref", none.alias("radius_delta"), none.alias("hist"), none.alias("min_candidates"), none.alias("top2_margin"), none.alias("top2_multiplier"), none.alias("ssim_th"), none.alias("ncc_th"))
-    expand = expand_refs(scores, mapping).select(F.lit("expand_candidates").alias("action"), "ref", F.lit(4.0).alias("radius_delta"), F.lit(0.80).alias("hist"), F.lit(12.0).alias("min_candidates"), *(none.alias(n) for n in ("top2_margin", "top2_multiplier", "ssim_th", "ncc_th")))
+    expand = expand_refs(scores, mapping).select(F.lit("expand_candidates").alias("action"), "ref", F.lit(RADIUS_DELTA).alias("radius_delta"), F.lit(HIST).alias("hist"), F.lit(LEAST).alias("min_candidates"), *(none.alias(n) for n in ("top2_margin", "top2_multiplier", "ssim_th", "ncc_th")))
     tight = tighten_refs(scores, mapping, suspects, t).select(F.lit("tighten_verification").alias("action"), "ref", *(none.alias(n) for n in ("radius_delta", "hist", "min_candidates")), F.lit(t.top2_margin).alias("top2_margin"), F.lit(t.top2_multiplier).alias("top2_multiplier"), F.lit(t.ssim).alias("ssim_th"), F.lit(t.ncc).alias("ncc_th"))
     return redo.unionByName(expand).unionByName(tight)
 
 
-def feedback_document(actions: DataFrame, hint: DataFrame, summary: DataFrame) -> DataFrame:
-    """The feedback as one JSON document; an export of the actions, which stay the base."""
+def feedback_document(actions: DataFrame, hint: DataFrame, summary: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """The feedback as one JSON document; an export of the actions, which stay the base. Values are the rows' own, or the defaults without rows; those of expanded references stand beside each of them too."""
     lists = actions.groupBy().pivot("action", ["redo_preprocess", "expand_candidates", "tighten_verification"]).agg(F.sort_array(F.collect_set("ref")))
+    own = F.struct("ref", F.col("radius_delta").cast("int").alias("phash_radius_delta"), F.col("hist").alias("hist_threshold"), F.col("min_candidates").cast("int").alias("min_cand_per_basis"))
+    values = actions.agg(
+        F.coalesce(F.max("radius_delta"), F.lit(RADIUS_DELTA)).cast("int").alias("delta"), F.coalesce(F.max("hist"), F.lit(HIST)).alias("hist"), F.coalesce(F.max("min_candidates"), F.lit(LEAST)).cast("int").alias("least"),
+        F.sort_array(F.collect_set(F.when(F.col("action") == "expand_candidates", own))).alias("per_ref"),
+        *(F.coalesce(F.max(n), F.lit(v)).alias(n) for n, v in (("top2_margin", t.top2_margin), ("top2_multiplier", t.top2_multiplier), ("ssim_th", t.ssim), ("ncc_th", t.ncc))),
+    )
     body = F.struct(
         F.lit("1").alias("version"), F.col("summary"),
         F.struct(
-            F.struct(F.col("redo_preprocess").alias("refs")).alias("redo_preprocess"),
-            F.struct(F.col("expand_candidates").alias("refs"), F.lit(4).alias("phash_radius_delta"), F.lit(0.80).alias("hist_threshold_new"), F.lit(12).alias("min_cand_per_basis")).alias("expand_candidates"),
-            F.struct(F.col("tighten_verification").alias("refs")).alias("tighten_verification"),
+            F.struct(F.col("redo_preprocess").alias("refs"), F.array().cast("array<string>").alias("extracted_refs")).alias("redo_preprocess"),
+            F.struct(F.col("expand_candidates").alias("refs"), F.col("delta").alias("phash_radius_delta"), F.col("hist").alias("hist_threshold_new"), F.col("least").alias("min_cand_per_basis"), "per_ref").alias("expand_candidates"),
+            F.struct(F.col("tighten_verification").alias("refs"), "top2_margin", "top2_multiplier", "ssim_th", "ncc_th").alias("tighten_verification"),
             F.struct(F.col("enabled")).alias("allow_reuse"),
         ).alias("actions"),
     )
     one = summary.select(F.struct("*").alias("summary"))
-    return lists.join(F.broadcast(hint)).join(F.broadcast(one)).select(F.to_json(body).alias("value"))
+    return lists.join(F.broadcast(values)).join(F.broadcast(hint)).join(F.broadcast(one)).select(F.to_json(body).alias("value"))  # a row each

@@ -99,10 +99,10 @@ def unresolved(mapping: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def streams_of(leaves: DataFrame, streams: DataFrame) -> DataFrame:
-    """The first stream (by name) of each leaf: equal base names in any case, with or without an extension."""
+    """The first stream (by name) under BinData of each leaf: equal base names in any case, with or without an extension."""
     name = F.lower(F.regexp_replace(keys.base_name(F.col("stream")), r"\.[^.]*$", ""))
     w = Window.partitionBy("leaf").orderBy("stream")
-    met = leaves.join(streams.select("stream", name.alias("_name")), F.lower("leaf") == F.col("_name"))
+    met = leaves.join(streams.where(keys.in_bin_folder(F.col("stream"))).select("stream", name.alias("_name")), F.lower("leaf") == F.col("_name"))
     return met.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "_name")
 
 

@@ -94,6 +94,8 @@ def assign_greedy(pairs: DataFrame, max_rounds: int = 10_000) -> DataFrame:
         turn = moved.select("ref", "at", "last")
         if moved.where("moved = 1").isEmpty():
             break
+    else:
+        raise RuntimeError(f"the assignment is not settled after {max_rounds} rounds")
     won = turn.select("ref", F.col("at").alias("rank"))
     return pairs.where("acceptable").join(won, ["ref", "rank"]).drop("rank")
 

@@ -322,7 +322,6 @@ def record_union(spark, sf_dir):
 
 @register(_INDEX, "SELECT * FROM src WHERE category = 'reference' AND src_relpath IN (SELECT src_relpath FROM src WHERE doc_id % 10 = 0)")
 def partial_selection(spark, sf_dir):
-    src = _index(spark, sf_dir).select("category", "src_relpath", "doc_id", "n_chars")
     docs = S.table(spark, sf_dir, "documents")
     src = docs.select(F.when(F.col("doc_id") % 2 == 0, "reference").otherwise("extracted").alias("category"), F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".png")).alias("src_relpath"), "doc_id", "n_chars")
     chosen = src.where("doc_id % 10 = 0").select(F.col("src_relpath").alias("ref"))
@@ -433,11 +432,11 @@ def legacy_leaf_map(spark, sf_dir):
     return I.legacy_leaf_map(rows.select(F.col("turn").alias("ord"), F.when(odd, entry).otherwise(other).alias("key"), F.when(odd, other).otherwise(entry).alias("value")))
 
 
-@register(sql="SELECT 'bin' || d.doc_id AS leaf, min('BinData/Bin' || d.doc_id || e.ext) AS stream FROM documents d, (VALUES ('.png'), ('.jpg')) AS e(ext) WHERE d.doc_id % 2 = 0 GROUP BY d.doc_id")
+@register(sql="SELECT 'bin' || d.doc_id AS leaf, min('BinData/Bin' || d.doc_id || e.ext) AS stream FROM documents d, (VALUES ('.png'), ('.jpg')) AS e(ext) GROUP BY d.doc_id")
 def stream_lookup(spark, sf_dir):
-    docs = S.table(spark, sf_dir, "documents").where("doc_id % 2 = 0")
+    docs = S.table(spark, sf_dir, "documents")
     n = F.col("doc_id").cast("string")
-    streams = docs.select(F.explode(F.array(F.lit(".png"), F.lit(".jpg"))).alias("e"), n.alias("n")).select(F.concat(F.lit("BinData/Bin"), "n", "e").alias("stream"))
+    streams = docs.select(n.alias("n"), F.explode(F.array(F.lit(".png"), F.lit(".jpg"))).alias("e")).select(F.explode(F.array(F.concat(F.lit("BinData/Bin"), "n", "e"), F.concat(F.lit("Aside/Bin"), "n", "e"))).alias("stream"))
     return I.streams_of(docs.select(F.concat(F.lit("bin"), n).alias("leaf")), streams)
 
 

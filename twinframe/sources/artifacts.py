@@ -53,6 +53,19 @@ def overrides(spark: SparkSession, path: str) -> DataFrame:
     return wide.unionByName(named).unionByName(own)
 
 
+def tightened(spark: SparkSession, path: str) -> DataFrame:
+    """Overrides for matching from a feedback document: ref and, nullable, top2_margin, top2_multiplier, ssim_th, ncc_th, min_inliers, min_inlier_ratio.
+
+    A reference is named by its key, or by an object with values of its own, which go before the document's.
+    """
+    t = document(spark, path, FEEDBACK).select("actions.tighten_verification.*")
+    shared = ("top2_margin", "top2_multiplier", "ssim_th", "ncc_th")
+    own = lambda n: F.get_json_object("r", f"$.{n}")
+    rows = t.select(F.explode("refs").alias("r"), *shared).withColumn("_own", F.col("r").startswith("{"))
+    values = [F.coalesce(F.when(F.col("_own"), own(n)).cast("double"), F.col(n) if n in shared else F.lit(None)).alias(n) for n in (*shared, "min_inliers", "min_inlier_ratio")]
+    return rows.select(keys.normal_key(F.when(F.col("_own"), own("ref")).otherwise(F.col("r"))).alias("ref"), *values).where("ref IS NOT NULL")
+
+
 def targets(spark: SparkSession, path: str) -> DataFrame:
     """ref of every reference that a feedback document wants redone or expanded."""
     a = document(spark, path, FEEDBACK).select("actions.*")

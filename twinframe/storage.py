@@ -14,8 +14,11 @@ BROADCAST_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder in spark.checkpoint.dir. Where none is set, a temporary one, on a local master only: on a cluster its files would be lost."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="twinframe-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
