@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from twinframe.llm.common import map_slices, written
+from twinframe.llm.common import map_slices, text_slices, written
 
 END_ID = 2
 _FILE = "doc_id long, ids array<int>, part int, row long"
@@ -116,16 +116,19 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _encoded(rows: pa.RecordBatch, tokenizer_file: str, close: bytes) -> list[pa.Array]:
+    ids = word_encoder(tokenizer_file)(rows.column(1).to_pylist())
+    ends = np.cumsum([0, *(len(x) // 4 + 1 for x in ids)]).astype(np.int32)
+    flat = np.frombuffer(b"".join(x + close for x in ids), "<i4")
+    return [rows.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+
+
 def encode(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> DataFrame:
     """doc_id and ids (array<int>) of every row of docs, each closed by end_id."""
-
     close = np.array([end_id], "<u4").tobytes()
 
     def step(rows: pa.RecordBatch) -> pa.RecordBatch:
-        ids = word_encoder(tokenizer_file)(rows.column(1).to_pylist())
-        ends = np.cumsum([0, *(len(x) // 4 + 1 for x in ids)]).astype(np.int32)
-        flat = np.frombuffer(b"".join(x + close for x in ids), "<i4")
-        return pa.record_batch([rows.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "ids"])
+        return pa.record_batch(_encoded(rows, tokenizer_file, close), ["doc_id", "ids"])
 
     return map_slices(docs, ["doc_id", "text"], step, "doc_id long, ids array<int>")
 
@@ -137,22 +140,24 @@ def write(docs: DataFrame, tokenizer_file: str, path: str, partitions: int | Non
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     dealt = docs.select("doc_id", "text").repartitionByRange(n, *order).sortWithinPartitions(*order)
     options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": str(row_index_stride), "orc.stripe.size": str(stripe_bytes), "compression": "zstd"}
-    numbered(encode(dealt, tokenizer_file, end_id)).write.options(**options).orc(path)
+    numbered(dealt, tokenizer_file, end_id).write.options(**options).orc(path)
 
 
-def numbered(encoded: DataFrame) -> DataFrame:
-    """encoded (doc_id, ids) with part (the number of its task, which is its file's) and row (its place in the task's order)."""
+def numbered(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID) -> DataFrame:
+    """encode() with part (the number of the row's task, which is its file's) and row (its place in the task's order), in one Python worker."""
+    close = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, at = TaskContext.get().partitionId(), 0
-        for rows in batches:
-            n = rows.num_rows
-            yield pa.record_batch([*rows.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n))], ["doc_id", "ids", "part", "row"])
-            at += n
+        for batch in batches:
+            for rows in text_slices(batch):
+                n = rows.num_rows
+                yield pa.record_batch([*_encoded(rows, tokenizer_file, close), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n))], ["doc_id", "ids", "part", "row"])
+                at += n
 
-    return encoded.mapInArrow(run, _FILE)
+    return docs.select("doc_id", "text").mapInArrow(run, _FILE)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
