@@ -8,6 +8,10 @@ import zlib
 import numpy as np
 
 PNG_MAGIC = bytes.fromhex("89504E470D0A1A0A")
+# First row, first column, row step and column step of the seven passes of an interlaced PNG.
+ADAM7 = ((0, 0, 8, 8), (0, 4, 8, 8), (4, 0, 8, 4), (0, 2, 4, 4), (2, 0, 4, 2), (0, 1, 2, 2), (1, 0, 2, 1))
+#: Rows whose filters are undone together.
+BAND = 256
 
 
 def encode_png(image: np.ndarray, level: int = 3) -> bytes:
@@ -24,53 +28,102 @@ def encode_png(image: np.ndarray, level: int = 3) -> bytes:
 
 
 def decode_png(data: bytes) -> np.ndarray | None:
-    """Gray, gray + alpha, colour and colour + alpha PNGs of 8 bits without interlacing; None for anything else."""
+    """Pixels of 8 bits of any PNG: gray (alpha dropped), BGR or BGRA; palettes become colours, 16 bits their upper eight. None for anything else."""
     if not data.startswith(PNG_MAGIC):
         return None
-    at, body, head = 8, [], None
+    at, body, parts = 8, [], {}
     try:
         while at + 8 <= len(data):
             size, kind = struct.unpack(">I4s", data[at : at + 8])
             part = data[at + 8 : at + 8 + size]
-            if kind == b"IHDR":
-                head = struct.unpack(">IIBBBBB", part)
-            elif kind == b"IDAT":
+            if kind == b"IDAT":
                 body.append(part)
+            else:
+                parts.setdefault(kind, part)
             at += 12 + size
-        w, h, depth, colour, _, _, interlaced = head
-        channels = {0: 1, 4: 2, 2: 3, 6: 4}[colour]
-        if depth != 8 or interlaced:
-            return None
-        raw = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8).reshape(h, 1 + w * channels)
-    except (struct.error, zlib.error, KeyError, TypeError, ValueError):
+        w, h, depth, kind, _, _, interlaced = struct.unpack(">IIBBBBB", parts[b"IHDR"])
+        channels = {0: 1, 3: 1, 4: 2, 2: 3, 6: 4}[kind]
+        raw = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8)
+        image = np.zeros((h, w, channels), np.uint8)
+        for y, x, down, right in ADAM7 if interlaced else ((0, 0, 1, 1),):
+            rows, columns = len(range(y, h, down)), len(range(x, w, right))
+            if rows and columns:
+                stride = 1 + (columns * channels * depth + 7) // 8
+                image[y::down, x::right] = _samples(_filtered_rows(raw[: rows * stride].reshape(rows, stride), max(1, channels * depth // 8)), depth, columns, channels, kind != 3)
+                raw = raw[rows * stride :]
+        if kind == 3:
+            palette = np.frombuffer(parts[b"PLTE"], np.uint8).reshape(-1, 3)
+            if b"tRNS" in parts:
+                alpha = np.frombuffer(parts[b"tRNS"].ljust(len(palette), b"\xff")[: len(palette)], np.uint8)
+                palette = np.concatenate([palette, alpha[:, None]], axis=1)
+            image = palette[image[:, :, 0]]
+    except (struct.error, zlib.error, KeyError, TypeError, ValueError, IndexError):
         return None
-    out = np.zeros((h, w * channels), np.uint8)
-    before = np.zeros(w * channels, np.uint8)
-    for y in range(h):
-        out[y] = before = _unfiltered(int(raw[y, 0]), raw[y, 1:], before, channels)
-    image = out.reshape(h, w, channels)
-    if channels <= 2:
-        return image[:, :, 0]
-    return np.ascontiguousarray(image[:, :, [2, 1, 0, 3][:channels]])
+    if image.shape[2] <= 2:
+        return np.ascontiguousarray(image[:, :, 0])
+    return np.ascontiguousarray(image[:, :, [2, 1, 0, 3][: image.shape[2]]])
+
+
+def unpacked(rows: np.ndarray, depth: int, n: int) -> np.ndarray:
+    """The first n values of `depth` bits (1, 2, 4 or 8) of each row of bytes, high bits first."""
+    if depth == 8:
+        return rows[:, :n]
+    bits = np.unpackbits(rows, axis=1).reshape(len(rows), -1, depth)[:, :n]
+    return (bits << np.arange(depth - 1, -1, -1, dtype=np.uint8)).sum(axis=2, dtype=np.uint8)
+
+
+def _samples(rows: np.ndarray, depth: int, w: int, channels: int, spread: bool) -> np.ndarray:
+    if depth == 16:
+        rows, depth = rows[:, ::2], 8
+    values = unpacked(rows, depth, w * channels)
+    return (values * (255 // ((1 << depth) - 1)) if spread else values).reshape(len(rows), w, channels)
+
+
+def _filtered_rows(raw: np.ndarray, channels: int) -> np.ndarray:
+    """The rows (filter kind, then bytes) without their filters; runs of rows that need their left and upper neighbours go together."""
+    kinds, out = raw[:, 0], np.zeros((len(raw), raw.shape[1] - 1), np.uint8)
+    if kinds.max(initial=0) > 4:
+        raise ValueError("no such filter")
+    y, before = 0, np.zeros(raw.shape[1] - 1, np.uint8)
+    while y < len(raw):
+        n = 1
+        if kinds[y] > 2:
+            while n < BAND and y + n < len(raw) and kinds[y + n] > 0:
+                n += 1
+            out[y : y + n] = _unfiltered_band(kinds[y : y + n], raw[y : y + n, 1:], before, channels)
+        else:
+            out[y] = _unfiltered(int(kinds[y]), raw[y, 1:], before, channels)
+        y += n
+        before = out[y - 1]
+    return out
 
 
 def _unfiltered(kind: int, line: np.ndarray, above: np.ndarray, channels: int) -> np.ndarray:
     if kind == 0:
         return line
+    if kind == 1:
+        return np.cumsum(line.reshape(-1, channels), axis=0, dtype=np.uint8).ravel()
     if kind == 2:
         return line + above
-    out = np.zeros(len(line), np.int64)
-    for i in range(len(line)):
-        left, up, corner = (int(out[i - channels]) if i >= channels else 0), int(above[i]), (int(above[i - channels]) if i >= channels else 0)
-        if kind == 1:
-            guess = left
-        elif kind == 3:
-            guess = (left + up) // 2
-        else:
-            p = left + up - corner
-            guess = min((abs(p - left), 0, left), (abs(p - up), 1, up), (abs(p - corner), 2, corner))[2]
-        out[i] = (int(line[i]) + guess) & 255
-    return out.astype(np.uint8)
+    return _unfiltered_band(np.array([kind]), line[None], above, channels)[0]
+
+
+def _unfiltered_band(kinds: np.ndarray, lines: np.ndarray, above: np.ndarray, channels: int) -> np.ndarray:
+    """A diagonal at a time: a pixel depends on the diagonals before its own only, so all pixels of one are found together."""
+    n, w = len(lines), lines.shape[1] // channels
+    y, x = np.mgrid[:n, :w]
+    todo = np.zeros((w + n - 1, n, channels), np.int16)
+    todo[x + y, y] = lines.reshape(n, w, channels)
+    done = np.zeros((w + n + 1, n + 1, channels), np.int16)
+    done[1 : w + 1, 0] = above.reshape(w, channels)
+    for d in range(w + n - 1):
+        lo, hi = max(0, d - w + 1), min(n, d + 1)
+        left, up, corner, kind = done[d + 1, lo + 1 : hi + 1], done[d + 1, lo:hi], done[d, lo:hi], kinds[lo:hi, None]
+        to_left, to_up, to_corner = np.abs(up - corner), np.abs(left - corner), np.abs(left + up - 2 * corner)
+        nearest = np.where((to_left <= to_up) & (to_left <= to_corner), left, np.where(to_up <= to_corner, up, corner))
+        guess = np.where(kind == 4, nearest, np.where(kind == 3, (left + up) >> 1, np.where(kind == 2, up, np.where(kind == 1, left, 0))))
+        done[d + 2, lo + 1 : hi + 1] = (todo[d, lo:hi] + guess) & 255
+    return done[x + y + 2, y + 1].reshape(n, -1).astype(np.uint8)
 
 
 def colour(image: np.ndarray) -> np.ndarray:
