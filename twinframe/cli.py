@@ -6,10 +6,10 @@ import argparse
 import re
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinframe.functions import measures
+from twinframe.functions import keys, measures
 from twinframe.operators import candidates as C
 from twinframe.operators import evaluation as E
 from twinframe.operators import export, extraction, index, matching, pairing, patching
@@ -58,7 +58,10 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--suspect-top2-margin", type=float, default=6.0), a.add_argument("--suspect-top2-multiplier", type=float, default=1.40)
 
     a = stage.add_parser("patch", help="replacement images into documents")
-    a.add_argument("documents"), a.add_argument("replacements"), a.add_argument("--out", required=True), a.add_argument("--limit", type=int, default=0)
+    a.add_argument("documents"), a.add_argument("replacements", nargs="?"), a.add_argument("--out", required=True), a.add_argument("--limit", type=int, default=0)
+    a.add_argument("--mapping"), a.add_argument("--manifest"), a.add_argument("--references"), a.add_argument("--files")
+    a.add_argument("--jpeg-q-start", type=int, default=95), a.add_argument("--jpeg-q-min", type=int, default=10), a.add_argument("--jpeg-q-step", type=int, default=5)
+    a.add_argument("--downscale", default="0.9,0.8,0.7,0.6,0.5")
     return top
 
 
@@ -76,17 +79,23 @@ def extract(spark: SparkSession, a: argparse.Namespace) -> None:
     export.files(pictures.withColumn("out_path", F.concat(F.sha2("doc", 256), F.lit("/"), "out_path")), f"{a.output}/files").write.mode("overwrite").parquet(f"{a.output}/written")
 
 
-def preprocess(spark: SparkSession, a: argparse.Namespace) -> None:
-    found = images.folder(spark, a.input)
+def _below(spark: SparkSession, folder: str) -> DataFrame:
+    """rel and content of a folder's images."""
     # Spark's paths carry a scheme, so the root is found by its own name
-    name = re.escape(a.input.rstrip("/").rsplit("/", 1)[-1])
-    rows = found.select(F.regexp_replace("path", f"^.*?/{name}/", "").alias("rel"), "content")
+    name = re.escape(folder.rstrip("/").rsplit("/", 1)[-1])
+    return images.folder(spark, folder).select(F.regexp_replace("path", f"^.*?/{name}/", "").alias("rel"), "content")
+
+
+def preprocess(spark: SparkSession, a: argparse.Namespace) -> None:
+    rows = _below(spark, a.input)
     only = artifacts.listed(spark, a.only_refs) if a.only_refs else None
     rows = index.selected(rows, artifacts.targets(spark, a.feedback_in) if a.feedback_in else None, only, "rel")
     if a.max_files:
         rows = rows.orderBy("rel").limit(a.max_files)
     made = images.variants(rows, a.low_size, a.high_size if a.enable_high else None, a.pad_mode, a.pad_multiple, a.trim == "auto", a.colorspace == "lab", a.gray_clahe)
     made.withColumn("category", F.lit(a.category)).write.mode("overwrite").parquet(a.output)
+    lost = rows.join(spark.read.parquet(a.output).select("rel").distinct(), "rel", "left_anti")
+    images.unreadable(lost).write.mode("overwrite").parquet(f"{a.output.rstrip('/')}_unreadable")
 
 
 def _featured(spark: SparkSession, path: str):
@@ -130,11 +139,25 @@ def evaluate(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def patch(spark: SparkSession, a: argparse.Namespace) -> None:
     docs = spark.read.format("binaryFile").load(a.documents).select(F.col("path").alias("doc"), "content")
-    todo = spark.read.parquet(a.replacements)
+    if a.replacements:
+        todo = spark.read.parquet(a.replacements)
+    elif a.mapping and a.manifest and a.references:
+        pairs = spark.read.parquet(a.mapping).select((-F.col("score")).alias("ord"), "ref", "ex")
+        listed = artifacts.manifest(spark, a.manifest, lines=True).withColumnRenamed("source_file", "doc")
+        todo = index.replacements(pairs, listed, _below(spark, a.references).withColumnRenamed("rel", "ref"))
+    else:
+        raise SystemExit("patch takes a table of replacements, or --mapping, --manifest and --references")
     if a.limit:
         todo = todo.orderBy("doc", "stream").limit(a.limit)
-    patching.patched(docs, todo).write.mode("overwrite").parquet(a.out)
-    extraction.patch_summary(spark.read.parquet(a.out)).show()
+    sizes = spark.range(1).select(extraction.scales(a.downscale).alias("s")).first().s
+    e = patching.Encoding(a.jpeg_q_start, a.jpeg_q_min, a.jpeg_q_step, tuple(sizes))
+    patching.patched(docs, todo, e).write.mode("overwrite").parquet(a.out)
+    done = spark.read.parquet(a.out)
+    extraction.patch_summary(done).show()
+    if a.files:
+        # documents of equal name in several folders stay apart by their own folder's digest
+        named = done.where("content IS NOT NULL").select(F.concat(F.sha2("doc", 256), F.lit("/"), keys.base_name(F.col("doc"))).alias("name"), "content")
+        export.files(named, a.files, "name").write.mode("overwrite").parquet(f"{a.out.rstrip('/')}_files")
 
 
 def main(argv: list[str] | None = None) -> int:

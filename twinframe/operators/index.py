@@ -93,6 +93,21 @@ def leaf_map(mapping: DataFrame, manifest: DataFrame, reference_files: DataFrame
     return found.withColumn("_n", F.row_number().over(w)).where("_n = 1").select("leaf", "reference_path")
 
 
+def replacements(mapping: DataFrame, manifest: DataFrame, references: DataFrame) -> DataFrame:
+    """doc, stream, ref and png (the reference's bytes) for `patching.patched`, one for each stream: of several pairs the first by ord, then ref.
+
+    mapping: ord, ref, ex; manifest: doc, source, out_path; references: ref, content. ex is an image's path below the folder of written files
+    (a document's folder, then out_path), or its bare name where only one document has such a name. Pairs without a place or a reference file have no row.
+    """
+    source = F.regexp_replace("source", r"^(?i:HWPX?):", "")
+    places = manifest.select("doc", keys.slashes(source).alias("stream"), "out_path", F.concat(F.sha2("doc", 256), F.lit("/"), "out_path").alias("rel")).where(keys.in_bin_folder(F.col("stream")))
+    names = places.groupBy(keys.base_name(F.col("out_path")).alias("rel")).agg(F.count("*").alias("n"), F.min("doc").alias("doc"), F.min("stream").alias("stream")).where("n = 1")
+    known = places.select("rel", "doc", "stream").unionByName(names.select("rel", "doc", "stream"))
+    found = mapping.select("ord", "ref", F.col("ex").alias("rel")).join(known, "rel").join(references.select("ref"), "ref", "left_semi")
+    first = found.groupBy("doc", "stream").agg(F.min_by("ref", F.struct("ord", "ref")).alias("ref"))
+    return first.join(references.select("ref", F.col("content").alias("png")), "ref").select("doc", "stream", "ref", "png")
+
+
 def unresolved(mapping: DataFrame, manifest: DataFrame) -> DataFrame:
     """Mapped pairs whose extracted image has no manifest entry."""
     return mapping.join(manifest.select(keys.base_name(F.col("out_path")).alias("ex")), "ex", "left_anti")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinframe.kernels import geometry, pixels
+from twinframe.kernels import codecs, geometry, pixels
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ def described(images: DataFrame, p: Pairing = Pairing()) -> DataFrame:
             for at in range(0, whole.num_rows, DESCRIBED):
                 batch, out = whole.slice(at, DESCRIBED), []
                 for rel, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    image = pixels.decode_png(content or b"")
+                    image = codecs.decode(content or b"")
                     if image is not None:
                         points, found = geometry.keypoints(image, p.keypoints)
                         out.append((rel, content, points.astype("<f4").tobytes(), found.astype("<f4").tobytes()))
@@ -66,7 +66,7 @@ def scored(pairs: DataFrame, refs: DataFrame, extracted: DataFrame, p: Pairing =
         n, inliers = len(matches), int(good.sum())
         if h is None:
             return n, 0, 0.0, None, 0.0, 0.0, 0.0, 0.0, False, None
-        x, y = (pixels.gray(pixels.decode_png(i)) for i in (a, b))
+        x, y = (pixels.gray(codecs.decode(i)) for i in (a, b))
         y = geometry.warp_to_reference(x, y, h)
         similar, correlated, refined = geometry.ssim(x, y), geometry.ncc(x, y), False
         if p.ecc and (similar < max(0.9, p.ssim) or correlated < max(0.9, p.ncc)):

@@ -36,8 +36,10 @@ def variants(spark: SparkSession, path: str) -> DataFrame:
     return document(spark, path, MAPPING).select(F.inline("index"))
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    return document(spark, path, MANIFEST).select("source_file", F.explode("items").alias("i")).select("source_file", "i.*")
+def manifest(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Items of manifests: one document a file or, as `extract` writes them, one a line."""
+    whole = spark.read.schema(MANIFEST).json(path) if lines else document(spark, path, MANIFEST)
+    return whole.select("source_file", F.explode("items").alias("i")).select("source_file", "i.*")
 
 
 def mapping(spark: SparkSession, path: str) -> DataFrame:

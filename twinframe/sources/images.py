@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinframe.functions import keys
-from twinframe.kernels import pixels
+from twinframe.functions import keys, sniff
+from twinframe.kernels import codecs, pixels
 
 FEATURES = "rel string, w int, h int, block array<double>, hist array<double>, edge_density double"
 VARIANTS = "rel string, track string, channel string, w int, h int, trimmed array<int>, scale double, pad array<int>, png binary"
@@ -22,9 +22,18 @@ def folder(spark: SparkSession, path: str) -> DataFrame:
     return files.where(keys.is_image_file(F.col("path"))).select("path", "content")
 
 
-def decoded(spark: SparkSession, path: str) -> DataFrame:
-    """Spark's own image source (BGR bytes); unreadable files are dropped."""
-    return spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true").load(path)
+def unreadable(images: DataFrame) -> DataFrame:
+    """rel, bytes and kind (by the leading bytes; null if unknown) of images (rel, content) that cannot be decoded: formats without a reader, and damaged files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                one = batch.slice(at, 1)
+                if codecs.decode(one.column(1)[0].as_py() or b"") is None:
+                    yield one
+
+    rows = images.select("rel", "content").mapInArrow(run, "rel string, content binary")
+    return rows.select("rel", F.coalesce(F.octet_length("content"), F.lit(0)).alias("bytes"), sniff.image_ext(F.col("content")).alias("kind"))
 
 
 def _each(images: DataFrame, fn, schema: str, names: list[str]) -> DataFrame:
@@ -33,7 +42,7 @@ def _each(images: DataFrame, fn, schema: str, names: list[str]) -> DataFrame:
         for batch in batches:
             rows = []
             for rel, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                image = pixels.decode_png(content or b"")
+                image = codecs.decode(content or b"")
                 if image is not None:
                     rows += fn(rel, image)
             if rows:
