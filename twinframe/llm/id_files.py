@@ -31,12 +31,12 @@ _FILE = "doc_id long, ids array<int>, part int, row long"
 CACHE_ENTRIES = 300_000
 #: Longer words are encoded each time.
 CACHED_CHARS = 48
-# The tokenizer's own pattern, spelled out for code points below U+0250.
+# The tokenizer's own pattern, spelled out for code points below U+0250. Letters stand first: alternatives that begin alike keep their order.
 _LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", r"\t\n\v\f\r \x85\xa0"
-_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
-_ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t\n\v\f\r a-z0-9]+")
-# What is not spelled out, and what is but for its lower case (U+0130 and 23 capitals whose small letters lie at U+0253 or above).
-_OTHER = re.compile(rf"[^\x00-\u024f]|[{''.join(c for c in map(chr, range(0x250)) if len(c.lower()) > 1 or c.lower() > chr(0x24F))}]")
+_WORD = re.compile(f"[{_LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
+_ASCII_WORD = re.compile(r"[a-z]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\t\n\v\f\r a-z0-9]+")
+# All but what is spelled out and stays so in lower case (U+0130 and 23 capitals have small letters of two code points or at U+0253 or above).
+_OTHER = re.compile(f"[^{''.join(re.escape(c) for c in map(chr, range(0x250)) if len(c.lower()) == 1 and c.lower() <= chr(0x24F))}]")
 
 
 class Remembered(dict):
@@ -51,12 +51,22 @@ class Remembered(dict):
         return value
 
     def lacks(self, keys: set[str]) -> list[str]:
+        """Those of keys that neither generation holds; a full one turns."""
         if len(self) >= self.entries:
             self.old = dict(self)
             self.clear()
         return list(keys.difference(self, self.old))
 
 
+def _is_latin(text: str) -> bool:
+    """Whether all code points lie below U+0100, where lower case stays."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordEncoder:
     """Ids of texts, as little-endian 32-bit integers, word by word.
 
@@ -92,7 +102,9 @@ class WordEncoder:
             return text or []
         if text.isascii():
             return _ASCII_WORD.findall(text.lower())
-        return text if _OTHER.search(text) else _WORD.findall(text.lower())
+        if not _is_latin(text) and _OTHER.search(text):
+            return text
+        return _WORD.findall(text.lower())
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
