@@ -7,6 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+from twinframe.operators import extraction as X
 from twinframe.plans import catalogue
 
 # Assignment runs in rounds; a few queries over it stand for the others here, all run in the driver's gate.
@@ -45,6 +46,19 @@ def test_query(name, spark, sf, duck):
         assert len(got)
 
 
+def test_entry_manifest_beyond_four_digits(spark, tmp_path):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "repeat('text ', 50) AS text", "'src0' AS source")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = catalogue.QUERIES["entry_manifest"](spark, str(tmp_path)).toPandas()
+    assert got["ord"].max() > 10_000
+    assert rows(got) == rows(con.execute(catalogue.ORACLE["entry_manifest"]).df())
+    # the files themselves go to paths of their own
+    made = X.manifest(X.named_entries(catalogue._entries(spark, str(tmp_path))), min_bytes=200)
+    assert made.select("doc", "out_path").distinct().count() == len(got)
+
+
 def test_entry_points_name_the_same_queries():
     import __spark_entry__ as entry
 
