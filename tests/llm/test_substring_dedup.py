@@ -86,3 +86,30 @@ def test_least_owners(texts, length):
 def test_bad_lengths_are_refused(spark):
     with pytest.raises(ValueError):
         S.remove(documents(spark), length=20, gram=20)
+
+
+def test_ranges_of_buckets_take_turns(spark, monkeypatch):
+    monkeypatch.setattr(S, "SLICE", 2000)
+    rng = np.random.default_rng(5)
+    pool = ["".join(rng.choice(list("abcd "), 90)) for _ in range(12)]
+    texts = {i: "".join(pool[k][: rng.integers(40, 90)] for k in rng.integers(0, 12, 12)) for i in range(60)} | {60: "", 61: "short", 62: None}
+    docs, want = documents(spark, texts).repartition(5), brute(texts)
+    for hot in (S.HOT_SLICES, 1):
+        got = S.remove(docs, buckets=7, hot_slices=hot, turns=3).collect()
+        assert {r.doc_id: (r.n_bytes, len(r.kept), r.kept_sha256) for r in got} == {i: (n, n - g, sha) for i, (n, g, _, sha) in want.items()}
+
+
+def test_segments_lie_on_disk_once(spark, monkeypatch):
+    """Segments go to their buckets in a shuffle only: no table of them is written, and little is lost on small ones."""
+    rng = np.random.default_rng(6)
+    line = "".join(rng.choice(list("abcdefgh "), 4000))
+    tags = []
+    monkeypatch.setattr(S, "written", lambda df, tag, f=S.written: tags.append(tag) or f(df, tag))
+    monkeypatch.setattr(S, "fresh_path", lambda s, tag, f=S.fresh_path: tags.append(tag) or f(s, tag))
+    monkeypatch.setattr(S, "PASS_TEXT", 1.0)
+    docs = documents(spark, {i: line for i in range(6)})
+    assert {r.doc_id: len(r.kept) for r in S.remove(docs, buckets=4).collect()} == {0: 4000} | dict.fromkeys(range(1, 6), 0)
+    assert set(tags) == {"slices", "columns", "answers"} and tags.count("answers") > 1
+    one = [np.array([x]) for x in (7, 16, 15, 20)]
+    assert len(S.pack_segments(*one, np.frombuffer(line[:65].encode(), np.uint8))) < 65 + 30
+    assert [x.tolist() for x in S.unpack_segments(S.pack_segments(*one, np.arange(65, dtype=np.uint8)))] == [[7], [16], [15], [20], list(range(65))]

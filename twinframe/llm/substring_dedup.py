@@ -7,8 +7,9 @@ A byte goes when a string of `length` bytes that covers it also starts in a docu
    minimisers. Each slice sends the hashes of its distinct minimisers, six bytes each, to buckets; a bucket answers with two bits for each: whether it
    occurs in more than one document, and whether more than HOT_SLICES slices hold it.
 3. segments: the maximal runs of strings with one repeated minimiser, as distinct texts of 50 to 80 bytes with their smallest doc_id, go to the
-   buckets of their minimiser. Copies of a segment are one before anything moves, so a line of a third of all documents costs one entry a slice. A hot minimiser's
-   strings go one by one to the buckets of their own hashes, so that its many surroundings never meet in one bucket.
+   buckets of their minimiser, shuffled only, never written as a table too. Copies of a segment are one before anything moves, so a line of a third of all documents costs one entry a slice. A hot minimiser's
+   strings go one by one to the buckets of their own hashes, so that its many surroundings never meet in one bucket. Where much of the text is repeated, ranges of
+   buckets take turns (PASS_TEXT), and each turn reads the slices anew: the disk that segments take stays bounded, at the cost of CPU time.
 4. collection: a bucket's distinct segments are the multi-document collection. They are indexed column by column from the right: each round inserts one symbol of
    every text, and moves the transform and the common prefixes on (ColumnIndex). Segments without a common minimiser have no string in common, so a
    bucket is indexed in parts of about TOGETHER segments. Neighbours with a common prefix of `length` bytes are one string; its smallest doc_id goes back to the slices
@@ -25,8 +26,10 @@ Null and empty texts have no bytes. A null doc_id counts as greater than any oth
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinframe.llm.common import _byte_table, create, drop_written, fresh_path, mix, remove as remove_path, run_hashes, shuffles_end, text_bytes, text_slices, written
+from twinframe.llm.common import _byte_table, create, fresh_path, mix, remove as remove_path, run_hashes, shuffles_end, text_bytes, text_slices, written
 
 LENGTH = 50
 GRAM = 20
@@ -50,6 +53,8 @@ SLICE = 1 << 20
 #: Places whose grams are hashed at once, and segments that one index holds (more only if they share a minimiser).
 STRETCH = 1 << 16
 TOGETHER = 1536
+#: Bytes of segments that are shuffled at a time, at most, as a multiple of the text, and bytes counted for a segment.
+PASS_TEXT, SEGMENT_BYTES = 2.0, 80
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -66,6 +71,27 @@ def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def planes(a: np.ndarray) -> np.ndarray:
+    """The lowest bytes of all numbers, then the next lowest, and so on, which pack better than whole numbers."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T).ravel()
+
+
+def from_planes(data: np.ndarray, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(np.dtype(kind).itemsize, -1).T).ravel().view(kind)
+
+
+def pack_segments(owner: np.ndarray, counts: np.ndarray, name: np.ndarray, wide: np.ndarray, data: np.ndarray) -> bytes:
+    """The segments of a slice for a bucket: with many buckets there are few, so but four bytes stand before what is compressed."""
+    body = np.concatenate([planes(owner.astype("<i8")), counts.astype("u1"), name.astype("u1"), wide.astype("u1"), data])
+    return np.array([len(owner)], "<u4").tobytes() + zstandard.ZstdCompressor(level=1).compress(body.tobytes())
+
+
+def unpack_segments(blob: bytes) -> list[np.ndarray]:
+    n = int(np.frombuffer(blob, "<u4", 1)[0])
+    body = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[4:]), np.uint8)
+    return [from_planes(body[: 8 * n], "<i8"), body[8 * n : 9 * n], body[9 * n : 10 * n], body[10 * n : 11 * n], body[11 * n :]]
+
+
 def slices(docs: DataFrame) -> DataFrame:
     """slice, size, body: the ids of its documents (8 bytes each), their borders, and their texts end to end."""
 
@@ -190,14 +216,43 @@ def anchor_bits(packed: DataFrame, buckets: int, length: int, gram: int, hot_sli
     return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(answer, "slice long, bucket long, bits binary")
 
 
-def segments(packed: DataFrame, bits: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
-    """For each slice and bucket its distinct segments (blob), and for each slice (bucket -1) where they occur."""
-    known = bits.groupBy("slice").agg(F.collect_list(F.struct("bucket", "bits")).alias("known"))
+def known_files(bits: DataFrame, folder: str) -> tuple[dict[int, str], int]:
+    """What the buckets answered, in the shared folder: a file for the slices of each task of slices(), by that task's number; and how many anchors occur in several documents, slice by slice.
+
+    Slices that were shuffled to meet their answers would lie on disk twice.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        fs, path = opened_folder(folder)
+        name = f"known-{uuid.uuid4().hex}"
+        with fs.open_output_stream(f"{path}/{name}") as out, pa.ipc.new_stream(out, rows.schema) as file:
+            file.write_table(rows)
+        found = 0
+        for b in rows["bits"].to_pylist():
+            bit = np.unpackbits(np.frombuffer(b, np.uint8))
+            found += int(bit[: len(bit) // 2].sum())  # the first half, but for the bits that fill up the last byte
+        return pa.table([pa.array([rows["slice"][0].as_py() >> 32]), pa.array([name]), pa.array([found])], ["task", "name", "found"])
+
+    told = bits.groupBy(F.shiftright("slice", 32).alias("task")).applyInArrow(run, "task long, name string, found long").collect()
+    return {r.task: r.name for r in told}, sum(r.found for r in told)
+
+
+def segments(packed: DataFrame, folder: str, known: dict[int, str], buckets: int, length: int, gram: int, turn: int = 0, turns: int = 1) -> DataFrame:
+    """For each slice and bucket of this turn its distinct segments (blob), and for each slice (a bucket less than 0, in the order of turns) where they occur."""
+    low, high = turn * buckets // turns, (turn + 1) * buckets // turns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, path = opened_folder(folder)
+        held, by_slice = None, {}
         for batch in batches:
-            for name, body, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield table(name, *opened(body), answers or [])
+            for name, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if name >> 32 != held:
+                    held, by_slice = name >> 32, {}
+                    if held in known:
+                        with fs.open_input_stream(f"{path}/{known[held]}") as file, pa.ipc.open_stream(file) as rows:
+                            for r in rows.read_all().to_pylist():
+                                by_slice.setdefault(r["slice"], []).append(r)
+                yield table(name, *opened(body), by_slice.get(name, []))
 
     def table(slice_: int, ids: np.ndarray, cuts: np.ndarray, data: np.ndarray, answers: list[dict]) -> pa.RecordBatch:
         starts, counts, place, hashes, doc = minimisers(data, cuts, length, gram)
@@ -208,7 +263,8 @@ def segments(packed: DataFrame, bits: DataFrame, buckets: int, length: int, gram
             lo, hi = np.searchsorted(owner, (a["bucket"], a["bucket"] + 1))
             many[lo:hi], hot[lo:hi] = np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=2 * (hi - lo)).reshape(2, -1) > 0
         which = np.searchsorted(anchors, hashes) if len(anchors) else np.zeros(0, np.int64)
-        keep = many[which] if len(anchors) else np.zeros(0, bool)
+        # a hot minimiser's strings have buckets of their own, of any turn
+        keep = (many & (hot | (owner >= low) & (owner < high)))[which] if len(anchors) else np.zeros(0, bool)
         starts, counts, place, hashes, doc = starts[keep], counts[keep], place[keep], hashes[keep], doc[keep]
         # what names a segment's group: its minimiser, or the whole string where that is hot
         name, wide = place - starts, np.full(len(starts), gram)
@@ -222,26 +278,29 @@ def segments(packed: DataFrame, bits: DataFrame, buckets: int, length: int, gram
             name, wide = np.where(single, 0, name[take]), np.where(single, length, gram)
             hashes = hashes.copy()
             hashes[single] = mix(run_hashes(data, starts[single], starts[single] + length), 22)
+            own = bucket_of(hashes, buckets)
+            keep = (own >= low) & (own < high)
+            starts, counts, name, wide, hashes, doc = (x[keep] for x in (starts, counts, name, wide, hashes, doc))
         content = run_hashes(data, starts, starts + counts + (length - 1))
         by = np.lexsort((ids[doc], content, bucket_of(hashes, buckets)))
         starts, counts, name, wide, hashes, doc, content = (x[by] for x in (starts, counts, name, wide, hashes, doc, content))
         new = np.ones(len(by), bool)
         new[1:] = content[1:] != content[:-1]
         at = np.flatnonzero(new)  # the first of each is the one with the smallest doc_id
-        place_in = (np.cumsum(new) - 1).astype("<u4")
         owner = bucket_of(hashes[at], buckets)
         some = np.unique(owner)
-        names, blobs = [-1], [pack(place_in, starts.astype("<u4"), doc.astype("<u4"), counts.astype("u1"))]
+        names = [-1 - turn * buckets - int(mix(np.array([slice_]), 23)[0] % np.uint64(buckets))]
+        blobs = [pack(np.packbits(new), planes(starts.astype("<u4")))]
         for b in some.tolist():
             lo, hi = np.searchsorted(owner, (b, b + 1))
             own = at[lo:hi]
             sizes = counts[own] + (length - 1)
             where = np.repeat(starts[own] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
             names.append(b)
-            blobs.append(pack(ids[doc[own]].astype("<i8"), sizes.astype("<u2"), name[own].astype("u1"), wide[own].astype("u1"), data[where]))
+            blobs.append(pack_segments(ids[doc[own]], counts[own], name[own], wide[own], data[where]))
         return pa.record_batch([pa.array(np.full(len(names), slice_)), pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], ["slice", "bucket", "blob"])
 
-    return packed.join(known, "slice", "left").select("slice", "body", "known").mapInArrow(run, "slice long, bucket long, blob binary")
+    return packed.select("slice", "body").mapInArrow(run, "slice long, bucket long, blob binary")
 
 
 class Columns:
@@ -502,12 +561,14 @@ def _together(group: np.ndarray) -> Iterator[slice]:
 
 
 def answers(sent: DataFrame, buckets: int, length: int, folder: str | None = None, block: int = BLOCK) -> DataFrame:
-    """For each slice and bucket, in the order of its segments: runs of strings and their least doc_id (blob)."""
+    """For each slice and bucket, in the order of its segments: runs of strings and their least doc_id (blob). What is for no bucket passes."""
 
     def run(rows: pa.Table) -> pa.Table:
-        parts = [unpack(b, "<i8", "<u2", "u1", "u1", "u1") for b in rows["blob"].to_pylist()]
+        if rows["bucket"][0].as_py() < 0:
+            return rows.select(["slice", "bucket", "blob"])
+        parts = [unpack_segments(b) for b in rows["blob"].to_pylist()]
         owner, sizes, name, wide, data = (np.concatenate([p[k] for p in parts]) for k in range(5))
-        sizes, name, wide = (x.astype(np.int64) for x in (sizes, name, wide))
+        sizes, name, wide = sizes.astype(np.int64) + (length - 1), name.astype(np.int64), wide.astype(np.int64)
         ends = np.cumsum(sizes)
         starts = ends - sizes
         content = run_hashes(data, starts, ends)
@@ -543,50 +604,56 @@ def answers(sent: DataFrame, buckets: int, length: int, folder: str | None = Non
     return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(run, "slice long, bucket long, blob binary")
 
 
-def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes: bool = True, buckets: int | None = None, block: int = BLOCK, hot_slices: int = HOT_SLICES) -> DataFrame:
+def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes: bool = True, buckets: int | None = None, block: int = BLOCK, hot_slices: int = HOT_SLICES, turns: int | None = None) -> DataFrame:
     """doc_id, n_bytes, spans (removed byte intervals, maximal), kept_sha256 and, with keep_bytes, kept (the remaining bytes) of every row of docs.
 
+    turns: ranges of buckets whose segments are shuffled one after the other; by default as many as keep them within PASS_TEXT times the text.
     length may be up to 128 and at least 2 * gram; a gram is at least 8 bytes.
     """
     if not 8 <= gram <= length // 2 <= 64:
         raise ValueError("8 <= gram <= length / 2 <= 64")
     spark = docs.sparkSession
     packed = written(slices(docs), "slices")
+    total = packed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     if buckets is None:
-        total = packed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
-    bits = written(anchor_bits(packed, buckets, length, gram, hot_slices), "anchor-bits")
-    # segments and their places are one computation and two tables: the first is gone once it is answered
-    path = fresh_path(spark, "segments")
-    with shuffles_end(spark):
-        segments(packed, bits, buckets, length, gram).withColumn("sent", (F.col("bucket") >= 0).cast("int")).write.partitionBy("sent").parquet(path)
-    drop_written(bits)
-    schema = "slice long, bucket long, blob binary, sent int"
     folder = fresh_path(spark, "columns")  # goes whole, with what lost tasks leave there
     create(spark, folder)
-    found = written(answers(spark.read.schema(schema).parquet(path).where("sent = 1").drop("sent"), buckets, length, folder, block), "answers")
+    with shuffles_end(spark):
+        known, repeated = known_files(anchor_bits(packed, buckets, length, gram, hot_slices), folder)
+    turns = turns or min(buckets, max(1, math.ceil(repeated * SEGMENT_BYTES / (PASS_TEXT * max(1, total)))))
+    found = []
+    for turn in range(turns):
+        sent = segments(packed, folder, known, buckets, length, gram, turn, turns)
+        found.append(written(answers(sent, -(-buckets // turns), length, folder, block), "answers"))
     remove_path(spark, folder)
-    remove_path(spark, f"{path}/sent=1")
-    where = spark.read.schema(schema).parquet(path).where("sent = 0").select("slice", F.col("blob").alias("occurs"))
-    told = found.groupBy("slice").agg(F.array_sort(F.collect_list(F.struct("bucket", "blob"))).alias("told"))
+    told = reduce(DataFrame.unionByName, found).groupBy("slice").agg(F.array_sort(F.collect_list(F.struct("bucket", "blob"))).alias("told"))
     kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for body, occurs, told in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield marked(*opened(body), occurs, told or [])
+            for body, told in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                # what occurs where comes first, the last turn before the others
+                yield marked(*opened(body), [t["blob"] for t in told if t["bucket"] < 0][::-1], [t["blob"] for t in told if t["bucket"] >= 0])
 
-    def marked(ids: np.ndarray, cuts: np.ndarray, data: np.ndarray, occurs: bytes, told: list[dict]) -> pa.RecordBatch:
-        entry, starts, doc, _ = unpack(occurs, "<u4", "<u4", "<u4", "u1")
+    def marked(ids: np.ndarray, cuts: np.ndarray, data: np.ndarray, occurs: list[bytes], told: list[bytes]) -> pa.RecordBatch:
         delta = np.zeros(len(data) + 1, np.int64)
         if told:
-            parts = [unpack(t["blob"], "u1", "u1", "<i8") for t in told]
+            places, entry, known = [], [], 0
+            for blob in occurs:
+                new, starts = unpack(blob, "u1", "u1")
+                places.append(from_planes(starts, "<u4").astype(np.int64))
+                entry.append(known - 1 + np.cumsum(np.unpackbits(new, count=len(places[-1])), dtype=np.int64))
+                known += int(np.bitwise_count(new).sum())
+            starts, entry = np.concatenate(places), np.concatenate(entry)
+            doc = np.searchsorted(cuts, starts, side="right") - 1
+            parts = [unpack(blob, "u1", "u1", "<i8") for blob in told]
             n_runs, size, least = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in range(3))
             begin = np.cumsum(size) - size
             first = np.cumsum(n_runs) - n_runs
             n = n_runs[entry]
             take = np.repeat(first[entry] - np.cumsum(n) + n, n) + np.arange(n.sum())
-            begin = begin[take] - np.repeat(begin[first[entry]], n) + np.repeat(starts.astype(np.int64), n)
+            begin = begin[take] - np.repeat(begin[first[entry]], n) + np.repeat(starts, n)
             gone = least[take] < np.repeat(ids[doc], n)
             np.add.at(delta, begin[gone], 1)
             np.add.at(delta, (begin + size[take] + length - 1)[gone], -1)
@@ -609,7 +676,7 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_bytes:
         return pa.record_batch([*arrays, *([pa.array(kept, pa.binary())] if keep_bytes else [])], ["doc_id", "n_bytes", "spans", "kept_sha256", *(["kept"] if keep_bytes else [])])
 
     schema = "doc_id long, n_bytes long, spans array<struct<a:long,b:long>>, kept_sha256 string" + ", kept binary" * keep_bytes
-    return packed.join(where, "slice").join(told, "slice", "left").select("body", "occurs", "told").mapInArrow(run, schema)
+    return packed.join(told, "slice").select("body", "told").mapInArrow(run, schema)
 
 
 def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
